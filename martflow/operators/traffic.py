@@ -43,14 +43,17 @@ def repair_new_visitor(df: DataFrame, key: str = "mid", ts: str = "ts",
     order = _order(order, ts)
     visit_dt = to_date_str(F.col(ts), tz)
     seed = F.when(F.col(is_new) == "1", visit_dt).otherwise(previous_day_str(F.col(ts), tz))
-    keyed = df.filter(F.col(key).isNotNull())
-    first = keyed.groupBy(key).agg(
-        F.min_by(seed, F.struct(*[F.col(c) for c in order])).alias("__first_dt"))
+    first = df.filter(F.col(key).isNotNull()).groupBy(key).agg(
+        F.min_by(seed, F.struct(*[F.col(c) for c in order])).alias("__first_dt")) \
+        .withColumnRenamed(key, "__k")
+    # Null keys join nothing; a per-row salt keeps them from piling into one
+    # shuffle partition.  A hot real key is split by AQE's skew-join rule.
+    jk = F.coalesce(F.col(key).cast("string"),
+                    F.concat(F.lit("\u0000null"), F.rand().cast("string")))
     fixed = F.when((F.col(is_new) == "1") & (visit_dt != F.col("__first_dt")), F.lit("0")) \
         .otherwise(F.col(is_new))
-    out = keyed.join(first, key, "inner") \
-        .select(*[fixed.alias(c) if c == is_new else F.col(c) for c in df.columns])
-    return out.unionByName(df.filter(F.col(key).isNull()))
+    j = df.withColumn("__jk", jk).join(first, F.col("__jk") == F.col("__k").cast("string"), "left")
+    return j.select(*[fixed.alias(c) if c == is_new else F.col(c) for c in df.columns])
 
 
 # --------------------------------------------------------------------- O3

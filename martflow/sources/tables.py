@@ -20,6 +20,7 @@ change-log (``topic_db``)
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from martflow.functions.timefmt import ntz_to_millis
@@ -28,7 +29,22 @@ DATABASE = "gmall"  # fixed value: database name carried by change records
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return balanced(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def balanced(df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer splits than task slots over all slots.
+
+    Only a *small* input has fewer splits than slots (one file, one row
+    group); it is spread round-robin and kept in memory, which also stops
+    the optimizer from pushing expensive filters back into the single scan
+    task.  At warehouse scale a scan has thousands of splits and this is a
+    no-op.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    return df.repartition(slots).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def _dec2(c) -> F.Column:
