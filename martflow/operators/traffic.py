@@ -92,8 +92,8 @@ def unique_visitor_by_arrival(df: DataFrame, key: str, ts: str, arrival: Sequenc
     """
     d = df.withColumn(date_col, to_date_str(F.col(ts), tz))
     w = Window.partitionBy(key).orderBy(*[F.col(c) for c in arrival])
-    prev = F.lag(date_col).over(w)
-    return d.filter(prev.isNull() | (prev != F.col(date_col)))
+    d = d.withColumn("__prev", F.lag(date_col).over(w))
+    return d.filter(F.col("__prev").isNull() | (F.col("__prev") != F.col(date_col))).drop("__prev")
 
 
 # --------------------------------------------------------------------- O4
