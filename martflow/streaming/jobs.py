@@ -101,13 +101,16 @@ def interval_join_stream(left: DataFrame, right: DataFrame, key_l: str, key_r: s
 
 
 def order_pre_process_stream(env: DataFrame, retention_s: int = 905,
+                             side_retention_s: int | None = None,
                              delay: str = "10 seconds") -> DataFrame:
     """Job 6 joins on a change stream (J1, J2, O6) -- before the dictionary.
 
     The idle retention of the source system becomes an event-time bound:
     an order version joins a detail only within ``retention_s`` of it, and
-    activity/coupon rows within the same bound.  Both sides are watermarked
-    on the change time so Spark can drop join state.
+    activity/coupon rows within ``side_retention_s`` (default: the same).
+    All sides are watermarked on the change time so Spark can drop join
+    state; a detail without activity/coupon is emitted (with nulls) once the
+    watermark passes its time plus the bound.
     """
     ev = env.withColumn("change_time", F.timestamp_seconds(F.col("ts")))
     od = trade.order_details(ev.withColumn("ts", F.col("ts"))) \
@@ -121,12 +124,18 @@ def order_pre_process_stream(env: DataFrame, retention_s: int = 905,
         *[F.col("data")[k].alias("cou_" + k) for k in trade.COUPON_KEYS],
         F.col("change_time").alias("cou_time")).withWatermark("cou_time", delay)
     rng = F.expr(f"INTERVAL {retention_s} SECONDS")
+    side = F.expr(f"INTERVAL {side_retention_s or retention_s} SECONDS")
+    # Each join output keeps one event-time column (the detail's), so the
+    # next stateful join sees a single watermark.
     j = od.join(oi, (od["order_id"] == oi["oi_id"])
-                & oi["oi_time"].between(od["od_time"] - rng, od["od_time"] + rng), "inner")
+                & oi["oi_time"].between(od["od_time"] - rng, od["od_time"] + rng), "inner") \
+        .drop("oi_time")
     j = j.join(act, (j["id"] == act["act_order_detail_id"])
-               & act["act_time"].between(j["od_time"] - rng, j["od_time"] + rng), "leftOuter")
+               & act["act_time"].between(j["od_time"] - side, j["od_time"] + side), "leftOuter") \
+        .drop("act_time")
     j = j.join(cou, (j["id"] == cou["cou_order_detail_id"])
-               & cou["cou_time"].between(j["od_time"] - rng, j["od_time"] + rng), "leftOuter")
+               & cou["cou_time"].between(j["od_time"] - side, j["od_time"] + side), "leftOuter") \
+        .drop("cou_time")
     return j
 
 

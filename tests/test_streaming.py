@@ -1,6 +1,7 @@
 """Stream versus batch: replay the sf0.001 tables as file topics in several
 files (one file per micro-batch) and compare with the batch operators."""
 
+import json
 import os
 
 import pytest
@@ -55,6 +56,7 @@ def test_visitor_repair_stream_equals_batch(spark, scratch):
     got = {r.event_id: r.is_new for r in spark.read.parquet(f"{scratch}/out").collect()}
     want = {r.event_id: r.is_new for r in
             traffic.repair_new_visitor(src, order=["ts", "event_id"]).collect()}
+    assert len(got) == len(want), (len(got), len(want), sorted(set(want) - set(got))[:3], sorted(set(got) - set(want))[:3])
     assert got == want
 
 
@@ -65,6 +67,7 @@ def test_unique_visitor_stream_equals_batch(spark, scratch):
     _run(S.unique_visitor_stream(s, "mid", "ts", seq="event_id"), f"{scratch}/out", f"{scratch}/ck")
     got = sorted(r.event_id for r in spark.read.parquet(f"{scratch}/out").collect())
     want = sorted(r.event_id for r in traffic.unique_visitor(src, order=["ts", "event_id"]).collect())
+    assert len(got) == len(want), (len(got), len(want), sorted(set(want) - set(got))[:3], sorted(set(got) - set(want))[:3])
     assert got == want
 
 
@@ -83,6 +86,7 @@ def test_user_jump_stream_equals_batch(spark, scratch):
     got = sorted(r.event_id for r in spark.read.parquet(f"{scratch}/out").collect())
     want = sorted(r.event_id for r in traffic.user_jump(src, F.col("is_entry"), order=["ts", "event_id"],
                                                          within_ms=within).collect())
+    assert len(got) == len(want), (len(got), len(want), sorted(set(want) - set(got))[:3], sorted(set(got) - set(want))[:3])
     assert got == want
 
 
@@ -125,6 +129,7 @@ def test_base_log_stream_equals_batch(spark, scratch):
     pages = spark.read.json(f"{scratch}/out/page")
     got = sorted((r.common.mid, r.ts, r.common.is_new) for r in pages.collect())
     want = sorted((r.common["mid"], r.ts, r.common["is_new"]) for r in batch["page"].collect())
+    assert len(got) == len(want), (len(got), len(want), sorted(set(want) - set(got))[:3], sorted(set(got) - set(want))[:3])
     assert got == want
 
 
@@ -175,3 +180,40 @@ def test_dim_sync_stream_equals_batch(spark, scratch):
     for name, df in tables.items():
         cur = S.read_dimension(spark, f"{scratch}/dims", name)
         assert sorted(map(tuple, cur.collect())) == sorted(map(tuple, df.collect())), name
+
+
+def test_order_pre_process_stream_equals_batch(spark, scratch):
+    tables = ("order_detail", "order_info", "order_detail_activity", "order_detail_coupon")
+    env = T.topic_db(spark, SF001, tables)
+    topic = f"{scratch}/db"
+    # replay in change-time order, two files
+    mid_ts = env.agg(F.percentile_approx("ts", 0.5)).first()[0]
+    for i, cond in enumerate([F.col("ts") <= mid_ts, F.col("ts") > mid_ts]):
+        env.filter(cond).select(F.to_json(F.struct(*env.columns)).alias("value")).coalesce(1) \
+            .write.text(f"{topic}/batch={i}")
+    # flush changes far in the future for every source table move the watermark
+    # past all real rows (two files: the second runs after the first's watermark)
+    mx = env.agg(F.max("ts")).first()[0]
+    # (the test tables' order and ship dates are up to years apart)
+    for i, gap in enumerate([9000 * 86400, 18000 * 86400, 27000 * 86400]):
+        flush = [{"database": "d", "table": t, "type": "insert", "ts": mx + gap,
+                  "data": {"id": f"flush{i}", "order_id": "none", "order_detail_id": "none",
+                           "source_type": "Z"}} for t in tables]
+        spark.createDataFrame([(json.dumps(r),) for r in flush], "value string").coalesce(1) \
+            .write.text(f"{topic}/batch={2 + i}")
+    stream, _ = parse_envelope(read_topic(spark, topic, stream=True,
+                                          options={"maxFilesPerTrigger": "1"}))
+    joined = S.order_pre_process_stream(stream, retention_s=4000 * 86400, side_retention_s=60,
+                                        delay="0 seconds")
+    dic = T.base_dic(spark)
+    q = joined.writeStream.foreachBatch(
+        lambda b, i: S.with_dictionary(b, dic, F.lit(None).cast("timestamp"))
+        .withColumn("old", F.to_json("old")).write.mode("append").parquet(f"{scratch}/out")) \
+        .option("checkpointLocation", f"{scratch}/ck").trigger(availableNow=True).start()
+    q.awaitTermination(300)
+    assert q.exception() is None
+    got = sorted((r.id, r.type, r.activity_id, r.coupon_id) for r in spark.read.parquet(f"{scratch}/out").collect())
+    pre = trade.order_pre_process(env, dic, F.lit(None).cast("timestamp"))
+    want = sorted((r.id, r.type, r.activity_id, r.coupon_id) for r in pre.collect())
+    assert len(got) == len(want), (len(got), len(want), sorted(set(want) - set(got))[:3], sorted(set(got) - set(want))[:3])
+    assert got == want
