@@ -209,8 +209,8 @@ def interval_left_join(spark: SparkSession, sf: str) -> DataFrame:
 
 # -------------------------------------------------------------- upserts
 def upsert_latest(spark: SparkSession, sf: str) -> DataFrame:
-    li = T.table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate")
+    li = T.table(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                                         "l_quantity", "l_shipdate"])
     cur = upsert.latest(li, ["l_orderkey", "l_linenumber"], ["l_shipdate", "l_partkey", "l_suppkey"])
     return cur.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                       F.col("l_quantity").cast("bigint").alias("quantity"),

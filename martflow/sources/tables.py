@@ -28,8 +28,10 @@ from martflow.functions.timefmt import ntz_to_millis
 DATABASE = "gmall"  # fixed value: database name carried by change records
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return balanced(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+def table(spark: SparkSession, sf_dir: str, name: str, cols: list[str] | None = None) -> DataFrame:
+    """Read one given table, only the named columns (pruned at the scan)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return balanced(df.select(*cols) if cols else df)
 
 
 def balanced(df: DataFrame) -> DataFrame:
@@ -66,13 +68,13 @@ def _fmt(c) -> F.Column:
 # ----------------------------------------------------------------- events
 def traffic_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as flat behaviour rows: event_id, mid, ts (ms), is_new, is_entry."""
-    e = table(spark, sf_dir, "events")
+    e = table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type"])
     return e.select(
         "event_id", _text(F.col("user_id")).alias("mid"),
         ntz_to_millis(F.col("ts")).alias("ts"),
         F.when(F.col("event_type") == "signup", "1").otherwise("0").alias("is_new"),
         (F.col("event_type") == "view").alias("is_entry"),
-        "event_type", "value", "props")
+        "event_type")
 
 
 def log_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,7 +119,7 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     type 'bootstrap-insert' (passes); purchase -> type 'bootstrap-start' when
     value < 10 (control record), else 'insert'; view -> the bare object.
     """
-    e = table(spark, sf_dir, "events")
+    e = table(spark, sf_dir, "events", ["event_id", "event_type", "value", "props"])
     p, et = F.col("props"), F.col("event_type")
     wrap = lambda t: F.concat(F.lit('{"type":"' + t + '","data":'), p, F.lit("}"))
     value = (F.when(et == "error", F.expr("substring(props, 1, length(props) - 1)"))
@@ -132,7 +134,7 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def delimited_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``customer`` as ``id,name,ts`` lines; negative balance -> bad ts text,
     segment AUTOMOBILE -> missing field."""
-    c = table(spark, sf_dir, "customer")
+    c = table(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_acctbal", "c_mktsegment"])
     ts = F.when(F.col("c_acctbal") < 0, F.lit("bad")).otherwise(_text(F.col("c_custkey") * 1000))
     line = F.when(F.col("c_mktsegment") == "AUTOMOBILE",
                   F.concat_ws(",", _text(F.col("c_custkey")), F.col("c_name"))) \
@@ -275,14 +277,18 @@ def dimension_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         .unionByName(nat).unionByName(reg)
 
 
+LINEITEM_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                 "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_shipdate"]
+ORDERS_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"]
+
 TRADE_TABLES = ("order_detail", "order_info", "order_detail_activity", "order_detail_coupon",
                 "payment_info", "cart_info")
 
 
 def topic_db(spark: SparkSession, sf_dir: str, tables=TRADE_TABLES) -> DataFrame:
     """The change-log envelope for the requested source tables (parsed form)."""
-    li = table(spark, sf_dir, "lineitem")
-    orders = table(spark, sf_dir, "orders")
+    li = table(spark, sf_dir, "lineitem", LINEITEM_COLS)
+    orders = table(spark, sf_dir, "orders", ORDERS_COLS)
     build = {"order_detail": lambda: order_detail_changes(li),
              "order_detail_activity": lambda: activity_changes(li),
              "order_detail_coupon": lambda: coupon_changes(li),
