@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from martflow.operators import trade, traffic, upsert
+from martflow.session import cut_lineage
 from martflow.sources.envelope import parse_log
 
 
@@ -21,11 +22,14 @@ def base_log(raw: DataFrame, tz: str = "UTC") -> dict[str, DataFrame]:
     text, instead of forming one giant null key.
     """
     clean, dirty = parse_log(raw)
+    # One parse feeds the repair's aggregate and join: materialise it.
+    clean = cut_lineage(clean)
     no_key = F.col("common")["mid"].isNull()
     keyed = clean.filter(~no_key)
     dirty = dirty.unionByName(
         clean.filter(no_key).select(F.to_json(F.struct(*clean.columns)).alias("value")))
-    repaired = traffic.repair_log_new_visitor(keyed, tz=tz)
+    # The repaired log is the job's output (fanned out to five topics).
+    repaired = cut_lineage(traffic.repair_log_new_visitor(keyed, tz=tz))
     out = traffic.split_log(repaired)
     out["dirty"] = dirty
     return out

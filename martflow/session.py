@@ -36,6 +36,8 @@ DEFAULTS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Checkpoint files of collected DataFrames are removed by the cleaner.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -80,14 +82,29 @@ def tune(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and materialised intermediate tables.
 
-    Read from the session (``spark.checkpoint.dir``); never a machine-local
-    default on a cluster.  Raises when the cluster names none.
+    Read from the session (``spark.checkpoint.dir``).  Only a local-mode
+    session without one (tests, single-machine checks) gets a scratch
+    folder; on a cluster the setting is required, never a machine-local
+    default.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
-    return d.rstrip("/")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder")
+        d = tempfile.mkdtemp(prefix="martflow-ckpt-")
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
+    return (sc.getCheckpointDir() or d).rstrip("/")
+
+
+def cut_lineage(df):
+    """Materialise ``df`` in the shared checkpoint folder and continue from it.
+
+    Used where one expensive result feeds several branches (a parse read by
+    an aggregate and a join, a job output read by several consumers): the
+    work runs once, and a lost executor no longer forces recomputing the
+    whole lineage.
+    """
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
