@@ -18,8 +18,21 @@ DICT_BROADCAST_MAX_ROWS = 200_000
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """Cheap size proof: reads at most ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Cheap size proof: reads at most ``max_rows + 1`` rows.
+
+    The answer is remembered on the DataFrame object (a DataFrame is an
+    immutable plan), so a dictionary used by several joins is counted once.
+    """
+    proofs = getattr(df, "_row_bound_proofs", None)
+    if proofs is None:
+        proofs = {}
+        try:
+            df._row_bound_proofs = proofs
+        except AttributeError:
+            pass
+    if max_rows not in proofs:
+        proofs[max_rows] = df.limit(max_rows + 1).count() <= max_rows
+    return proofs[max_rows]
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = DICT_BROADCAST_MAX_ROWS) -> DataFrame:
@@ -29,12 +42,15 @@ def checked_broadcast(df: DataFrame, max_rows: int = DICT_BROADCAST_MAX_ROWS) ->
 
 def lookup_join(facts: DataFrame, dictionary: DataFrame, fact_key: str, dict_key: str,
                 how: str = "inner", max_rows: int = DICT_BROADCAST_MAX_ROWS,
-                dict_small: bool | None = None) -> DataFrame:
+                dict_small: bool | None = None, dict_cols: list[str] | None = None) -> DataFrame:
     """Join facts with a dictionary table; ``inner`` drops misses.
 
-    ``dict_small`` lets a caller that already proved the size skip the check.
+    ``dict_small`` lets a caller that already proved the size skip the check;
+    ``dict_cols`` narrows the dictionary after the (remembered) size proof.
     """
     small = has_at_most(dictionary, max_rows) if dict_small is None else dict_small
+    if dict_cols:
+        dictionary = dictionary.select(*dict_cols)
     d = F.broadcast(dictionary) if small else dictionary
     return facts.join(d, facts[fact_key] == d[dict_key], how)
 

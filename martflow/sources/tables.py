@@ -28,10 +28,21 @@ from martflow.functions.timefmt import ntz_to_millis
 DATABASE = "gmall"  # fixed value: database name carried by change records
 
 
+_TABLES: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, cols: list[str] | None = None) -> DataFrame:
-    """Read one given table, only the named columns (pruned at the scan)."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return balanced(df.select(*cols) if cols else df)
+    """Read one given table, only the named columns (pruned at the scan).
+
+    The DataFrame is built once per session, table and column list, so the
+    split check below runs once and queries share a balanced small input.
+    """
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"), name,
+           tuple(cols or ()))
+    if key not in _TABLES:
+        df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        _TABLES[key] = balanced(df.select(*cols) if cols else df)
+    return _TABLES[key]
 
 
 def balanced(df: DataFrame) -> DataFrame:
@@ -316,7 +327,10 @@ BASE_DIC_SCHEMA = ("dic_code string, dic_name string, parent_code string, "
 
 
 def base_dic(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(BASE_DIC_ROWS, BASE_DIC_SCHEMA)
+    key = (id(spark), spark.sparkContext.applicationId, "base_dic")
+    if key not in _TABLES:
+        _TABLES[key] = spark.createDataFrame(BASE_DIC_ROWS, BASE_DIC_SCHEMA)
+    return _TABLES[key]
 
 
 # The dimension config feed (table_process change records).

@@ -143,7 +143,7 @@ def with_dictionary(pre: DataFrame, base_dic: DataFrame, now: Column | None = No
     """Finish job 6 on one micro-batch of joined rows: dictionary join
     and the output projection."""
     from martflow.operators.joins import lookup_join
-    d = lookup_join(pre, base_dic.select("dic_code", "dic_name"), "source_type", "dic_code")
+    d = lookup_join(pre, base_dic, "source_type", "dic_code", dict_cols=trade.DIC_COLS)
     pt = now if now is not None else F.current_timestamp()
     return d.select(
         *[F.col(c) for c in trade.ORDER_DETAIL_KEYS if c != "source_type"],
