@@ -20,6 +20,8 @@ change-log (``topic_db``)
 
 from __future__ import annotations
 
+import os
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -54,6 +56,8 @@ def balanced(df: DataFrame) -> DataFrame:
     task.  At warehouse scale a scan has thousands of splits and this is a
     no-op.
     """
+    if os.environ.get("MARTFLOW_BALANCE_SMALL", "1") == "0":
+        return df
     slots = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= slots:
         return df
