@@ -82,18 +82,34 @@ def unique_visitor(df: DataFrame, key: str = "mid", ts: str = "ts",
                           else F.col("__r." + c).alias(c) for c in d.columns])
 
 
-def unique_visitor_by_arrival(df: DataFrame, key: str, ts: str, arrival: Sequence[str],
-                              tz: str = "UTC", date_col: str = "visit_dt") -> DataFrame:
+def unique_visitor_by_arrival(df: DataFrame, key: str, ts: str, arrival: str,
+                              tz: str = "UTC", date_col: str = "visit_dt",
+                              bucket: int = 1 << 16) -> DataFrame:
     """O3 when arrival order is not time order (out-of-order replay).
 
-    Literal closed form ``lag(date) over (key by arrival)``.  This keeps each
-    key in one window partition, so it is meant for replays of bounded
-    history; live data goes through the streaming processor.
+    ``arrival`` is a numeric arrival position (offset, sequence).  Emits a
+    row when the key's previous row *in arrival order* has no date or
+    another date.  Two levels, so no window holds a key's whole history:
+
+    1. rows are windowed per (key, ``floor(arrival / bucket)``): the
+       previous row inside the bucket;
+    2. a per-(key, bucket) summary (last date by arrival) is windowed per key
+       over buckets -- one small row per bucket -- and gives the first row
+       of each bucket its predecessor: the last row of the key's previous
+       non-empty bucket.
     """
-    d = df.withColumn(date_col, to_date_str(F.col(ts), tz))
-    w = Window.partitionBy(key).orderBy(*[F.col(c) for c in arrival])
-    d = d.withColumn("__prev", F.lag(date_col).over(w))
-    return d.filter(F.col("__prev").isNull() | (F.col("__prev") != F.col(date_col))).drop("__prev")
+    d = df.withColumn(date_col, to_date_str(F.col(ts), tz)) \
+        .withColumn("__b", F.floor(F.col(arrival) / F.lit(bucket)).cast("bigint"))
+    w = Window.partitionBy(key, "__b").orderBy(F.col(arrival))
+    d = d.withColumn("__prev", F.lag(date_col).over(w)) \
+        .withColumn("__first", F.lag(arrival).over(w).isNull())
+    last = d.groupBy(key, "__b").agg(F.max_by(F.col(date_col), F.col(arrival)).alias("__last"))
+    wb = Window.partitionBy(key).orderBy("__b")
+    carry = last.withColumn("__carry", F.lag("__last").over(wb)).select(key, "__b", "__carry")
+    j = d.join(carry, [key, "__b"], "left")
+    prev = F.when(F.col("__first"), F.col("__carry")).otherwise(F.col("__prev"))
+    return j.filter(prev.isNull() | (prev != F.col(date_col))) \
+        .select(*df.columns, date_col)
 
 
 # --------------------------------------------------------------------- O4

@@ -33,17 +33,27 @@ def _ckpt(spark: SparkSession, name: str, checkpoint: str | None) -> str:
 
 # ------------------------------------------------------------ traffic
 def visitor_repair_stream(df: DataFrame, key: str, ts: str = "ts", is_new: str = "is_new",
-                          seq: str | None = None, tz: str = "UTC") -> DataFrame:
-    """O2 on a stream: keyed first-visit state that never expires."""
+                          seq: str | None = None, tz: str = "UTC",
+                          by_arrival: bool = False) -> DataFrame:
+    """O2 on a stream: keyed first-visit state that never expires.  Rows of a
+    key inside a micro-batch are taken in (ts, seq) order, or in ``seq``
+    order alone with ``by_arrival``."""
     return df.groupBy(key).transformWithState(
-        FirstVisitProcessor(ts, is_new, seq, tz), df.schema, "Append", "None")
+        FirstVisitProcessor(ts, is_new, seq, tz, by_arrival), df.schema, "Append", "None")
 
 
 def unique_visitor_stream(df: DataFrame, key: str, ts: str = "ts", seq: str | None = None,
-                          tz: str = "UTC", ttl_ms: int | None = 86_400_000) -> DataFrame:
-    """O3/O5 on a stream: last-date state with a processing-time TTL."""
+                          tz: str = "UTC", ttl_ms: int | None = 86_400_000,
+                          by_arrival: bool = False) -> DataFrame:
+    """O3/O5 on a stream: last-date state with a processing-time TTL.
+
+    State with a TTL makes Spark run no-data batches to expire it, so an
+    ``availableNow`` trigger does not end on its own: run it with a
+    processing-time trigger, or pass ``ttl_ms=None`` for a bounded replay.
+    """
     return df.groupBy(key).transformWithState(
-        UniqueVisitorProcessor(ts, seq, tz, ttl_ms), df.schema, "Append", "ProcessingTime")
+        UniqueVisitorProcessor(ts, seq, tz, ttl_ms, by_arrival), df.schema, "Append",
+        "ProcessingTime")
 
 
 def user_jump_stream(df: DataFrame, key: str, ts: str = "ts", seq: str = "seq",

@@ -35,19 +35,28 @@ def date_of(ms: int, tz) -> str:
     return datetime.fromtimestamp(ms / 1000, tz).strftime("%Y-%m-%d")
 
 
+def _sort_key(ts: str, seq: str | None, by_arrival: bool):
+    """Order of the rows of one key inside a micro-batch: event time then
+    sequence, or the arrival sequence alone (``by_arrival``)."""
+    if by_arrival and seq:
+        return lambda r: r[seq]
+    return lambda r: (r[ts], r[seq] if seq else 0)
+
+
 class FirstVisitProcessor(StatefulProcessor):
     """O2: new-visitor repair.  State: first-visit date, never expires."""
 
     def __init__(self, ts: str = "ts", is_new: str = "is_new", seq: str | None = None,
-                 tz: str = "UTC"):
+                 tz: str = "UTC", by_arrival: bool = False):
         self.ts, self.is_new, self.seq, self.tzname = ts, is_new, seq, tz
+        self.key = _sort_key(ts, seq, by_arrival)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.tz = _zone(self.tzname)
         self.first = handle.getValueState("first_visit_dt", "dt string")
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: TimerValues):
-        ordered = sorted(rows, key=lambda r: (r[self.ts], r[self.seq] if self.seq else 0))
+        ordered = sorted(rows, key=self.key)
         first = self.first.get()[0] if self.first.exists() else None
         for r in ordered:
             d = r.asDict()
@@ -75,15 +84,16 @@ class UniqueVisitorProcessor(StatefulProcessor):
     """
 
     def __init__(self, ts: str = "ts", seq: str | None = None, tz: str = "UTC",
-                 ttl_ms: int | None = DAY_MS):
+                 ttl_ms: int | None = DAY_MS, by_arrival: bool = False):
         self.ts, self.seq, self.tzname, self.ttl_ms = ts, seq, tz, ttl_ms
+        self.key = _sort_key(ts, seq, by_arrival)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.tz = _zone(self.tzname)
         self.last = handle.getValueState("last_visit_dt", "dt string", self.ttl_ms)
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: TimerValues):
-        ordered = sorted(rows, key=lambda r: (r[self.ts], r[self.seq] if self.seq else 0))
+        ordered = sorted(rows, key=self.key)
         last = self.last.get()[0] if self.last.exists() else None
         for r in ordered:
             d = date_of(r[self.ts], self.tz)

@@ -3,6 +3,7 @@ files (one file per micro-batch) and compare with the batch operators."""
 
 import json
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -37,11 +38,32 @@ def _stream_parquet(spark, dirs, schema):
         .option("recursiveFileLookup", "true").parquet(os.path.dirname(dirs[0]))
 
 
-def _run(df, out, ckpt):
+def _run(df, out, ckpt, trigger=None):
     q = df.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt) \
-        .trigger(availableNow=True).outputMode("append").start()
-    q.awaitTermination(300)
+        .trigger(**(trigger or {"availableNow": True})).outputMode("append").start()
+    _drain(q)
+
+
+# State with a processing-time TTL keeps no-data batches running.
+TTL_TRIGGER = {"availableNow": True}
+
+
+def _drain(q, timeout=300):
+    """Wait until the query ends or has consumed its files, then stop it.
+
+    A query with processing-time TTL state keeps running no-data batches to
+    expire state and never ends on its own; it counts as drained at its
+    first batch without input after the data batches.
+    """
+    deadline = time.time() + timeout
+    while q.isActive and time.time() < deadline:
+        if q.awaitTermination(1):
+            break
+        prog = q.recentProgress
+        if any(p["numInputRows"] > 0 for p in prog) and prog[-1]["numInputRows"] == 0:
+            break
     assert q.exception() is None
+    q.stop()
 
 
 def _traffic(spark):
@@ -64,7 +86,8 @@ def test_unique_visitor_stream_equals_batch(spark, scratch):
     src = _traffic(spark).filter("is_entry")
     dirs = _chunks(src, f"{scratch}/in")
     s = _stream_parquet(spark, dirs, TRAFFIC_SCHEMA)
-    _run(S.unique_visitor_stream(s, "mid", "ts", seq="event_id"), f"{scratch}/out", f"{scratch}/ck")
+    _run(S.unique_visitor_stream(s, "mid", "ts", seq="event_id"), f"{scratch}/out", f"{scratch}/ck",
+         TTL_TRIGGER)
     got = sorted(r.event_id for r in spark.read.parquet(f"{scratch}/out").collect())
     want = sorted(r.event_id for r in traffic.unique_visitor(src, order=["ts", "event_id"]).collect())
     assert len(got) == len(want), (len(got), len(want), sorted(set(want) - set(got))[:3], sorted(set(got) - set(want))[:3])
@@ -118,8 +141,7 @@ def test_base_log_stream_equals_batch(spark, scratch):
     main, dirty = S.base_log_stream(spark, topic, f"{scratch}/out", checkpoint=f"{scratch}/ck",
                                     trigger={"availableNow": True})
     for q in (main, dirty):
-        q.awaitTermination(300)
-        assert q.exception() is None
+        _drain(q)
     batch = jobs.base_log(read_topic(spark, topic).select("value"))
     for name in ("page", "start", "action", "display", "error"):
         got = spark.read.text(f"{scratch}/out/{name}").count()
@@ -143,8 +165,7 @@ def test_lookup_stream_cart_add(spark, scratch):
     q = S.lookup_stream(spark, stream, lambda b, d: trade.cart_add(b, d).drop("pt"),
                         lambda: spark.read.parquet(dic_path), f"{scratch}/out",
                         checkpoint=f"{scratch}/ck")
-    q.awaitTermination(300)
-    assert q.exception() is None
+    _drain(q)
     got = spark.read.json(f"{scratch}/out").count()
     assert got == trade.cart_add(env, T.base_dic(spark)).count() > 0
 
@@ -172,8 +193,7 @@ def test_dim_sync_stream_equals_batch(spark, scratch):
     cfg_topic = f"{scratch}/cfg"
     cfg.select(F.to_json(F.struct(*cfg.columns)).alias("value")).coalesce(1).write.text(cfg_topic)
     q = S.dim_sync_stream(spark, topic, cfg_topic, f"{scratch}/dims", checkpoint=f"{scratch}/ck")
-    q.awaitTermination(300)
-    assert q.exception() is None
+    _drain(q)
     tables, rejected = jobs.dim_sync(env, cfg)
     assert sorted(tables) == ["dim_customer", "dim_part", "dim_supplier"]
     assert [r.source_table for r in rejected.collect()] == ["region"]
@@ -210,10 +230,21 @@ def test_order_pre_process_stream_equals_batch(spark, scratch):
         lambda b, i: S.with_dictionary(b, dic, F.lit(None).cast("timestamp"))
         .withColumn("old", F.to_json("old")).write.mode("append").parquet(f"{scratch}/out")) \
         .option("checkpointLocation", f"{scratch}/ck").trigger(availableNow=True).start()
-    q.awaitTermination(300)
-    assert q.exception() is None
+    _drain(q)
     got = sorted((r.id, r.type, r.activity_id, r.coupon_id) for r in spark.read.parquet(f"{scratch}/out").collect())
     pre = trade.order_pre_process(env, dic, F.lit(None).cast("timestamp"))
     want = sorted((r.id, r.type, r.activity_id, r.coupon_id) for r in pre.collect())
     assert len(got) == len(want), (len(got), len(want), sorted(set(want) - set(got))[:3], sorted(set(got) - set(want))[:3])
     assert got == want
+
+
+def test_unique_visitor_stream_by_arrival(spark, scratch):
+    # entries on d1, d1, d2, d1 in arrival order, all in one micro-batch -> 1st, 3rd, 4th
+    d1 = 1_700_000_000_000
+    rows = [(1, "m", d1, "1", True), (2, "m", d1 + 10, "1", True),
+            (3, "m", d1 + 86_400_000, "1", True), (4, "m", d1 + 20, "1", True)]
+    spark.createDataFrame(rows, TRAFFIC_SCHEMA).coalesce(1).write.parquet(f"{scratch}/in/batch=0")
+    s = _stream_parquet(spark, [f"{scratch}/in/batch=0"], TRAFFIC_SCHEMA)
+    _run(S.unique_visitor_stream(s, "mid", "ts", seq="event_id", by_arrival=True),
+         f"{scratch}/out", f"{scratch}/ck", TTL_TRIGGER)
+    assert sorted(r.event_id for r in spark.read.parquet(f"{scratch}/out").collect()) == [1, 3, 4]

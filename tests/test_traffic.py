@@ -53,8 +53,25 @@ def test_unique_visitor_arrival_order(spark):
     # entries on d1, d1, d2, d1 (arrival order) -> emit 1st, 3rd, 4th
     df = _rows(spark, [(1, "m", D1, "1"), (2, "m", D1 + 10, "1"), (3, "m", D1 + DAY, "1"),
                        (4, "m", D1 + 20, "1")])
-    got = sorted(r.seq for r in traffic.unique_visitor_by_arrival(df, "mid", "ts", ["seq"]).collect())
+    got = sorted(r.seq for r in traffic.unique_visitor_by_arrival(df, "mid", "ts", "seq").collect())
     assert got == [1, 3, 4]
+    # buckets of two rows: predecessors cross bucket edges
+    got = sorted(r.seq for r in traffic.unique_visitor_by_arrival(df, "mid", "ts", "seq", bucket=2).collect())
+    assert got == [1, 3, 4]
+
+
+def test_unique_visitor_by_arrival_matches_lag(spark):
+    rnd = random.Random(11)
+    rows = [(i, f"m{rnd.randint(0, 4)}", D1 + rnd.randint(-3, 3) * DAY + rnd.randint(0, 1000), "1")
+            for i in range(400)]
+    df = _rows(spark, rows)
+    w = Window.partitionBy("mid").orderBy("seq")
+    d = F.date_format(F.timestamp_millis("ts"), "yyyy-MM-dd")
+    x = df.withColumn("d", d).withColumn("p", F.lag(d).over(w))
+    want = sorted(r.seq for r in x.filter(F.col("p").isNull() | (F.col("p") != F.col("d"))).collect())
+    for b in (1, 7, 64, 1 << 16):
+        got = traffic.unique_visitor_by_arrival(df, "mid", "ts", "seq", bucket=b)
+        assert sorted(r.seq for r in got.collect()) == want, b
 
 
 def _jump(spark, rows, within=15_000):
