@@ -69,3 +69,29 @@ def test_delimited(spark):
     lines = spark.createDataFrame([("1,a,10",), ("2,b",), ("3,c,zz",), ("4,d,40,extra",)], "value string")
     got = sorted(tuple(r) for r in parse_delimited(lines, ["id", "name", "ts"], {"ts": "bigint"}).collect())
     assert got == [("1", "a", 10), ("4", "d", 40)]
+
+
+def test_parse_strict_fails_on_bad_text(spark):
+    import pytest
+    from martflow.sources.envelope import parse_strict
+    good = spark.createDataFrame([('{"table":"t","ts":1}',)], "value string")
+    assert parse_strict(good, ENVELOPE_SCHEMA).first().table == "t"
+    bad = spark.createDataFrame([("{oops",)], "value string")
+    with pytest.raises(Exception):
+        parse_strict(bad, ENVELOPE_SCHEMA).collect()
+
+
+def test_lists(spark):
+    from martflow.functions.timefmt import join_list, split_list
+    r = spark.createDataFrame([("id, name,x",)], "s string") \
+        .select(split_list("s").alias("a"), join_list(split_list("s"), "|").alias("j")).first()
+    assert r.a == ["id", " name", "x"] and r.j == "id| name|x"  # no trimming
+
+
+def test_read_dictionary(spark, scratch):
+    from martflow.sources.dictionary import read_dictionary
+    from martflow.sources.tables import base_dic
+    base_dic(spark).write.parquet(f"{scratch}/dic")
+    d = read_dictionary(spark, f"{scratch}/dic")
+    assert d.columns == ["dic_code", "dic_name", "parent_code", "create_time", "operate_time"]
+    assert d.count() == 5
