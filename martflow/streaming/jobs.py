@@ -273,3 +273,48 @@ def parse_config_feed_batch(spark: SparkSession, config_topic: str, fmt: str = "
     raw = read_topic(spark, config_topic, fmt=fmt)
     feed, bad = parse_config_feed(raw)
     return feed.withColumn("__arrival", F.monotonically_increasing_id()), bad
+
+
+# ------------------------------------------------------------ jobs 7-9
+PRE_PROCESS_SCHEMA = (
+    "id string, order_id string, sku_id string, sku_name string, order_price string, "
+    "sku_num string, create_time string, source_type string, source_id string, "
+    "split_total_amount string, split_activity_amount string, split_coupon_amount string, "
+    "split_original_amount string, od_ts bigint, order_status string, user_id string, "
+    "operate_time string, province_id string, oi_ts bigint, pt timestamp, activity_id string, "
+    "activity_rule_id string, coupon_id string, coupon_use_id string, type string, "
+    "old map<string,string>, row_op_ts timestamp")
+
+
+def read_pre_process(spark: SparkSession, path: str, *, stream: bool = True) -> DataFrame:
+    """The keyed pre-processing topic read back as a plain append log of
+    wide rows (tombstones dropped)."""
+    from martflow.sources.topics import read_keyed_topic
+    log = read_keyed_topic(spark, path, stream=stream)
+    return log.select(F.from_json("value", PRE_PROCESS_SCHEMA).alias("r")).select("r.*")
+
+
+def detail_streams(pre: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Jobs 7 and 8 on the pre-processing stream: stateless filters."""
+    return trade.order_detail(pre), trade.cancel_detail(pre)
+
+
+def pay_detail_stream(env: DataFrame, placed: DataFrame, base_dic: DataFrame, *,
+                      retention_s: int = 905, delay: str = "10 seconds") -> DataFrame:
+    """Job 9 on streams: successful payments ⋈ placed details on the order id
+    within ``retention_s`` of the detail's change time (J1, watermarks on
+    both sides), then the dictionary (J5, stream-static broadcast join)."""
+    from martflow.operators.joins import lookup_join
+    pay = trade._table(env, "payment_info", ("update",)) \
+        .filter(F.col("data")["payment_status"] == trade.PAYMENT_SUCCESS) \
+        .select(*[F.col("data")[k].alias("pi_" + k) for k in trade.PAYMENT_KEYS],
+                F.timestamp_seconds(F.col("ts")).alias("pay_time_ev")) \
+        .withWatermark("pay_time_ev", delay)
+    od = placed.withColumn("od_time", F.timestamp_seconds(F.col("od_ts"))) \
+        .withWatermark("od_time", delay)
+    rng = F.expr(f"INTERVAL {retention_s} SECONDS")
+    j = od.join(pay, (od["order_id"] == pay["pi_order_id"])
+                & pay["pay_time_ev"].between(od["od_time"] - rng, od["od_time"] + rng), "inner")
+    j = lookup_join(j, base_dic, "pi_payment_type", "dic_code", dict_cols=trade.DIC_COLS)
+    return j.select(*trade.DETAIL_COLUMNS, F.col("dic_name").alias("payment_type"),
+                    F.col("pi_create_time").alias("pay_time"))

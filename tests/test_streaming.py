@@ -248,3 +248,32 @@ def test_unique_visitor_stream_by_arrival(spark, scratch):
     _run(S.unique_visitor_stream(s, "mid", "ts", seq="event_id", by_arrival=True),
          f"{scratch}/out", f"{scratch}/ck", TTL_TRIGGER)
     assert sorted(r.event_id for r in spark.read.parquet(f"{scratch}/out").collect()) == [1, 3, 4]
+
+
+def test_detail_and_pay_streams_equal_batch(spark, scratch):
+    from martflow.sinks.topics import write_keyed
+    tables = ("order_detail", "order_info", "order_detail_activity", "order_detail_coupon", "payment_info")
+    env = T.topic_db(spark, SF001, tables)
+    dic = T.base_dic(spark)
+    clock = F.lit(None).cast("timestamp")
+    pre = trade.order_pre_process(env, dic, clock)
+    # job 6 output as a keyed topic, written in two batches
+    half = pre.agg(F.percentile_approx("od_ts", 0.5)).first()[0]
+    write_keyed(pre.filter(F.col("od_ts") <= half), f"{scratch}/pre", ["id"], batch_id=0)
+    write_keyed(pre.filter(F.col("od_ts") > half), f"{scratch}/pre", ["id"], batch_id=1)
+    pre_stream = S.read_pre_process(spark, f"{scratch}/pre")
+    placed, cancelled = S.detail_streams(pre_stream)
+    _run(cancelled.select("id", "order_status"), f"{scratch}/cancel", f"{scratch}/ck1")
+    got = sorted(tuple(r) for r in spark.read.parquet(f"{scratch}/cancel").collect())
+    want = sorted((r.id, r.order_status) for r in trade.cancel_detail(pre).collect())
+    assert got == want and len(got) > 0
+    # job 9: payments topic x placed stream (bound covers the test tables' date spread)
+    topic = f"{scratch}/db"
+    env.select(F.to_json(F.struct(*env.columns)).alias("value")).coalesce(1).write.text(f"{topic}/batch=0")
+    env_stream, _ = parse_envelope(read_topic(spark, topic, stream=True))
+    pay = S.pay_detail_stream(env_stream, placed, dic, retention_s=4000 * 86400, delay="0 seconds")
+    _run(pay.select("id", "payment_type", "pay_time"), f"{scratch}/pay", f"{scratch}/ck2")
+    got = sorted(tuple(r) for r in spark.read.parquet(f"{scratch}/pay").collect())
+    want = sorted((r.id, r.payment_type, r.pay_time)
+                  for r in trade.pay_detail(env, trade.order_detail(pre), dic).collect())
+    assert got == want and len(got) > 0
