@@ -58,8 +58,11 @@ def balanced(df: DataFrame) -> DataFrame:
     """
     if os.environ.get("MARTFLOW_BALANCE_SMALL", "1") == "0":
         return df
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= slots:
+            return df
+    except Exception:  # no RDD access (e.g. a remote session): leave the scan as is
         return df
     return df.repartition(slots).persist(StorageLevel.MEMORY_AND_DISK)
 
