@@ -260,7 +260,7 @@ def dim_sync_stream(spark: SparkSession, db_topic: str, config_topic: str, root:
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         feed, _ = parse_config_feed_batch(spark, config_topic, fmt)
-        cfg, _ = upsert.fold_config(feed)
+        cfg, _ = upsert.fold_config(feed, seq_col="__arrival")
         upsert_dimensions(spark, batch, cfg, root, batch_id)
 
     return env.writeStream.foreachBatch(sink) \
@@ -269,6 +269,8 @@ def dim_sync_stream(spark: SparkSession, db_topic: str, config_topic: str, root:
 
 
 def parse_config_feed_batch(spark: SparkSession, config_topic: str, fmt: str = "file"):
+    """The config feed as it stands now, with an arrival sequence that breaks
+    ties between changes of the same millisecond (file order, then line)."""
     from martflow.sources.envelope import parse_config_feed
     raw = read_topic(spark, config_topic, fmt=fmt)
     feed, bad = parse_config_feed(raw)
