@@ -130,6 +130,14 @@ DELIMITED_RECORDS = """
 SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, c_custkey * 1000 AS ts
 FROM customer WHERE c_acctbal >= 0 AND c_mktsegment <> 'AUTOMOBILE'"""
 
+DELIMITED_LEFT_JOIN = """
+SELECT n.id, n.name, s.sex, n.name_ts, s.sex_ts
+FROM (SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, c_custkey * 1000 AS name_ts
+      FROM customer WHERE c_acctbal >= 0 AND c_mktsegment <> 'AUTOMOBILE') n
+LEFT JOIN (SELECT CAST(s_suppkey AS VARCHAR) AS id, CASE WHEN s_acctbal < 0 THEN 'F' ELSE 'M' END AS sex,
+                  s_suppkey * 1000 + 500 AS sex_ts FROM supplier) s
+ON n.id = s.id"""
+
 TIME_FORMATS = """
 SELECT event_id, (epoch_us(ts) // 1000) AS ts,
   strftime(ts + INTERVAL 8 HOUR, '%Y-%m-%d') AS date_gmt8,
@@ -298,6 +306,7 @@ ORACLES: dict[str, str] = {
     "clean_json": CLEAN_JSON,
     "dirty_json": DIRTY_JSON,
     "delimited_records": DELIMITED_RECORDS,
+    "delimited_left_join": DELIMITED_LEFT_JOIN,
     "time_formats": TIME_FORMATS,
     "cart_add": CART_ADD,
     "order_pre_process": ORDER_PRE_PROCESS,

@@ -135,6 +135,17 @@ def delimited_records(spark: SparkSession, sf: str) -> DataFrame:
                            {"ts": "bigint"})
 
 
+def delimited_left_join(spark: SparkSession, sf: str) -> DataFrame:
+    """P5 + J3 + K7: two parsed record streams left-joined on id and kept as
+    the latest row per id (the keyed sink's current state)."""
+    names = parse_delimited(T.delimited_lines(spark, sf), ["id", "name", "ts"], {"ts": "bigint"})
+    sexes = parse_delimited(T.second_lines(spark, sf), ["id", "sex", "ts"], {"ts": "bigint"}) \
+        .withColumnRenamed("id", "sex_id").withColumnRenamed("ts", "sex_ts")
+    j = names.join(sexes, names["id"] == sexes["sex_id"], "left") \
+        .select("id", "name", "sex", F.col("ts").alias("name_ts"), "sex_ts")
+    return upsert.latest(j, ["id"], ["name_ts", "sex_ts"])
+
+
 def time_formats(spark: SparkSession, sf: str) -> DataFrame:
     e = T.traffic_rows(spark, sf).select("event_id", "ts")
     dt = to_datetime_str(F.col("ts"), "GMT+8")
@@ -241,6 +252,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_json": clean_json,
     "dirty_json": dirty_json,
     "delimited_records": delimited_records,
+    "delimited_left_join": delimited_left_join,
     "time_formats": time_formats,
     "cart_add": cart_add,
     "order_pre_process": order_pre_process,

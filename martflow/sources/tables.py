@@ -160,6 +160,15 @@ def delimited_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(line.alias("value"))
 
 
+def second_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``supplier`` as ``id,sex,ts`` lines (the second stream of the left-join
+    demos): sex 'F' for a negative balance, else 'M'."""
+    s = table(spark, sf_dir, "supplier", ["s_suppkey", "s_acctbal"])
+    sex = F.when(F.col("s_acctbal") < 0, F.lit("F")).otherwise(F.lit("M"))
+    line = F.concat_ws(",", _text(F.col("s_suppkey")), sex, _text(F.col("s_suppkey") * 1000 + 500))
+    return s.select(line.alias("value"))
+
+
 # --------------------------------------------------------------- topic_db
 def _env(df: DataFrame, table_name: str, typ, ts, data, old=None) -> DataFrame:
     return df.select(F.lit(DATABASE).alias("database"), F.lit(table_name).alias("table"),
