@@ -57,12 +57,7 @@ def repair_new_visitor(df: DataFrame, key: str = "mid", ts: str = "ts",
         F.min_by(seed, F.struct(*[F.col(c) for c in order])).alias("__first_dt"),
         F.count(F.lit(1)).alias("__n")))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    total = first.agg(F.sum("__n")).first()[0] or 0
-    slice_rows = max(total // (2 * parts), 1)
-    hot = first.filter(F.col("__n") > slice_rows) \
-        .select(key, F.ceil(F.col("__n") / F.lit(slice_rows)).cast("int").alias("__s")) \
-        .limit(2 * parts + 1).collect()
-    salts = {r[0]: int(r[1]) for r in hot}
+    salts = hot_key_salts(first, key, "__n", parts)
     if salts:
         hot_map = F.create_map(*[x for k, v in salts.items() for x in (F.lit(k), F.lit(v))])
         n_salt = F.coalesce(F.element_at(hot_map, F.col(key)), F.lit(1))
@@ -79,6 +74,21 @@ def repair_new_visitor(df: DataFrame, key: str = "mid", ts: str = "ts",
     return j.select(*[fixed.alias(c) if c == is_new else F.col(c) for c in df.columns])
 
 
+def hot_key_salts(counts: DataFrame, key: str, count_col: str, parts: int) -> dict:
+    """Keys holding more than half an average partition, with the number of
+    salts that cuts each into slices of about half a partition.
+
+    At most ``2 * parts`` keys can exceed that share, so the result is a
+    proven-small dict read on the driver.
+    """
+    total = counts.agg(F.sum(count_col)).first()[0] or 0
+    slice_rows = max(total // (2 * parts), 1)
+    hot = counts.filter(F.col(count_col) > slice_rows) \
+        .select(key, F.ceil(F.col(count_col) / F.lit(slice_rows)).cast("int").alias("__s")) \
+        .limit(2 * parts + 1).collect()
+    return {r[0]: int(r[1]) for r in hot}
+
+
 # --------------------------------------------------------------------- O3
 def unique_visitor(df: DataFrame, key: str = "mid", ts: str = "ts",
                    order: Sequence[str] | None = None, tz: str = "UTC",
