@@ -23,9 +23,10 @@ from __future__ import annotations
 import os
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martflow.functions.timefmt import ntz_to_millis
+from martflow.operators.sequence import bucketed_lag
 
 DATABASE = "gmall"  # fixed value: database name carried by change records
 
@@ -252,9 +253,14 @@ def payment_changes(orders: DataFrame) -> DataFrame:
 
 
 def cart_changes(li: DataFrame) -> DataFrame:
-    w = Window.partitionBy("l_orderkey", "l_linenumber").orderBy("l_shipdate", "l_partkey", "l_suppkey")
-    v = li.select("*", F.row_number().over(w).alias("__n"), F.lag("l_quantity").over(w).alias("__prev"))
-    first = F.col("__n") == 1
+    # Versions of one cart row, in (shipdate, partkey, suppkey) order: the
+    # previous quantity comes from a bucketed lag (30-day buckets of the
+    # ship date), so a cart row with very many versions is spread out.
+    days = F.floor(F.timestamp_diff("DAY", F.lit("1970-01-01").cast("timestamp_ntz"),
+                                    F.col("l_shipdate")) / F.lit(30)).cast("bigint")
+    v = bucketed_lag(li, ["l_orderkey", "l_linenumber"], ["l_shipdate", "l_partkey", "l_suppkey"],
+                     days, "l_quantity", "__prev", has_prev="__has_prev")
+    first = ~F.col("__has_prev")
     data = _m(("id", F.concat_ws("-", _text(F.col("l_orderkey")), _text(F.col("l_linenumber")))),
               ("user_id", _text(F.col("l_orderkey"))), ("sku_id", _text(F.col("l_partkey"))),
               ("cart_price", _text(_dec2(F.col("l_extendedprice")))),

@@ -73,3 +73,18 @@ def test_hot_key_is_salted_in_repair_join(spark):
     counts = df.groupBy("mid").agg(F.count(F.lit(1)).alias("n"))
     salts = traffic.hot_key_salts(counts, "mid", "n", 4)
     assert list(salts) == ["hot"] and salts["hot"] >= 2
+
+
+def test_bucketed_lag_matches_window_lag(spark):
+    import random
+    from martflow.operators.sequence import bucketed_lag
+    rnd = random.Random(5)
+    rows = [(rnd.choice(["hot", "hot", "hot", "a", "b"]), rnd.randint(0, 5000), i, rnd.randint(1, 50))
+            for i in range(3000)]
+    df = spark.createDataFrame(rows, "k string, t long, s long, v long")
+    w = Window.partitionBy("k").orderBy("t", "s")
+    want = {r.s: (r.p, r.p is not None or r.rn > 1) for r in
+            df.withColumn("p", F.lag("v").over(w)).withColumn("rn", F.row_number().over(w)).collect()}
+    for width in (1, 37, 1000, 10_000):
+        got = bucketed_lag(df, ["k"], ["t", "s"], F.floor(F.col("t") / width), "v", "p", has_prev="h")
+        assert {r.s: (r.p, r.h) for r in got.collect()} == want, width
