@@ -320,3 +320,43 @@ def pay_detail_stream(env: DataFrame, placed: DataFrame, base_dic: DataFrame, *,
     j = lookup_join(j, base_dic, "pi_payment_type", "dic_code", dict_cols=trade.DIC_COLS)
     return j.select(*trade.DETAIL_COLUMNS, F.col("dic_name").alias("payment_type"),
                     F.col("pi_create_time").alias("pay_time"))
+
+
+# ------------------------------------------------------------ jobs 3, 4
+def _page_stream(spark: SparkSession, page_topic: str, fmt: str, options: dict | None):
+    """The page topic parsed without a dirty output (P3: the page log was
+    cleaned by job 2), with the key and entry flag as columns."""
+    from martflow.sources.envelope import LOG_SCHEMA
+    raw = read_topic(spark, page_topic, fmt=fmt, stream=True, options=options)
+    recs = raw.select(F.from_json("value", LOG_SCHEMA).alias("r"), "value").select("r.*", "value")
+    # Pages are ordered by event time, as in the batch jobs; a Kafka offset
+    # would be the natural tie-breaker where the topic carries one.
+    return recs.select("value", F.col("common")["mid"].alias("mid"), "ts",
+                       F.col("page")["last_page_id"].isNull().alias("is_entry"),
+                       F.lit(0).cast("bigint").alias("seq"))
+
+
+def unique_visitor_job_stream(spark: SparkSession, page_topic: str, out: str, *,
+                              fmt: str = "file", options: dict | None = None,
+                              checkpoint: str | None = None, trigger: dict | None = None,
+                              ttl_ms: int | None = 86_400_000, tz: str = "UTC"):
+    """Job 3 as a stream: page topic -> session entries (F7) -> O3 state ->
+    append topic of the emitted page records (K1)."""
+    pages = _page_stream(spark, page_topic, fmt, options).filter("is_entry")
+    uv = unique_visitor_stream(pages, "mid", "ts", seq="seq", tz=tz, ttl_ms=ttl_ms)
+    return uv.select("value").writeStream.format("text").option("path", out) \
+        .option("checkpointLocation", _ckpt(spark, "unique_visitor", checkpoint)) \
+        .trigger(**(trigger or {"processingTime": "10 seconds"})).start()
+
+
+def user_jump_job_stream(spark: SparkSession, page_topic: str, out: str, *,
+                         fmt: str = "file", options: dict | None = None,
+                         checkpoint: str | None = None, trigger: dict | None = None,
+                         within_ms: int = traffic.BOUNCE_WITHIN_MS, delay: str = "2 seconds"):
+    """Job 4 as a stream: page topic -> O4 state with event-time timers ->
+    append topic of the bounced entry records (K1)."""
+    pages = _page_stream(spark, page_topic, fmt, options)
+    uj = user_jump_stream(pages, "mid", "ts", "seq", "is_entry", within_ms, delay)
+    return uj.select("value").writeStream.format("text").option("path", out) \
+        .option("checkpointLocation", _ckpt(spark, "user_jump", checkpoint)) \
+        .trigger(**(trigger or {"availableNow": True})).start()

@@ -276,3 +276,27 @@ def test_detail_and_pay_streams_equal_batch(spark, scratch):
     want = sorted((r.id, r.payment_type, r.pay_time)
                   for r in trade.pay_detail(env, trade.order_detail(pre), dic).collect())
     assert got == want and len(got) > 0
+
+
+def test_page_topic_jobs_equal_batch(spark, scratch):
+    # job 2 output (page topic) -> jobs 3 and 4 as streams
+    page = jobs.base_log(T.log_text(spark, SF001).select("value"))["page"]
+    page.select(F.to_json(F.struct(*page.columns)).alias("value")).coalesce(1) \
+        .write.text(f"{scratch}/page/batch=0")
+    uv = S.unique_visitor_job_stream(spark, f"{scratch}/page", f"{scratch}/uv",
+                                     checkpoint=f"{scratch}/ck1", trigger={"availableNow": True})
+    _drain(uv)
+    want_uv = jobs.unique_visitor_detail(page).count()
+    assert spark.read.text(f"{scratch}/uv").count() == want_uv > 0
+    # bounce with a 6 h limit; a flush page far in the future fires every timer
+    within = 6 * 3600 * 1000
+    mx = page.agg(F.max("ts")).first()[0]
+    flush = [json.dumps({"common": {"mid": "__flush__"}, "page": {"page_id": "x", "last_page_id": "y"},
+                         "ts": mx + k * within}) for k in (2, 4)]
+    for i, line in enumerate(flush):
+        spark.createDataFrame([(line,)], "value string").coalesce(1).write.text(f"{scratch}/page/batch={1 + i}")
+    uj = S.user_jump_job_stream(spark, f"{scratch}/page", f"{scratch}/uj", checkpoint=f"{scratch}/ck2",
+                                options={"maxFilesPerTrigger": "1"}, within_ms=within)
+    _drain(uj)
+    want_uj = jobs.user_jump_detail(page, within_ms=within).count()
+    assert spark.read.text(f"{scratch}/uj").count() == want_uj > 0
