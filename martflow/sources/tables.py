@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from martflow.functions.timefmt import ntz_to_millis
 from martflow.operators.sequence import bucketed_lag
 
-DATABASE = "gmall"  # fixed value: database name carried by change records
+DATABASE = "shop"  # database name carried by the adapted change records
 
 
 _TABLES: dict = {}
