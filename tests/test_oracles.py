@@ -9,6 +9,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF001
+from martflow.plans.queries import QUERIES
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
@@ -33,11 +34,11 @@ def con():
     return c
 
 
-def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+def test_every_warehouse_query_has_an_oracle():
+    assert set(QUERIES) <= set(E.oracle_sql())
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, key):
     df = E.queries()[key](spark, SF001)
     rows = [tuple(r) for r in df.collect()]
