@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from martflow.llm import near_dup, quality
+from martflow.llm import html_text, lang_crf, mixing, near_dup, quality, secrets, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +20,28 @@ def op2_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(_table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_near_dup)}
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(_table(spark, sf_dir, "pages"))
 
-ORACLES: dict[str, str] = {}
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.sampled(_table(spark, sf_dir, "documents"), carry=False)
+    return mixed.select("row.doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(secrets.find_secrets(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_table(spark, sf_dir, "pages"))
+
+
+def op10_lang_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lang_crf.identify(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_quality, op2_near_dup, op3_html_text, op4_mixing, op7_secrets, op9_url_filter, op10_lang_crf)}
+
+ORACLES = {"op4_mixing": mixing.ORACLE, "op7_secrets": secrets.ORACLE}
