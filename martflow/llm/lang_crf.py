@@ -59,7 +59,7 @@ class Field(NamedTuple):
     first: np.ndarray
 
 
-def _tables() -> tuple[np.ndarray, np.ndarray]:
+def letter_tables() -> tuple[np.ndarray, np.ndarray]:
     """Whether a code point is a letter, and its lower-case form, for the first 65,536."""
     letter, lower = np.zeros(1 << 16, bool), np.arange(1 << 16, dtype=np.uint32)
     for i in range(1 << 16):
@@ -155,7 +155,7 @@ def fit(sample: list[tuple[str, str]]) -> Field:
     """The field fitted to (language, window of text) pairs; the same pairs in the same order give the same field."""
     langs = sorted({lang for lang, _ in sample})
     size, draw = len(langs), np.random.default_rng(7)
-    words = Words([text.replace("\n", " ") for _, text in sample], _tables())
+    words = Words([text.replace("\n", " ") for _, text in sample], letter_tables())
     label = np.array([langs.index(lang) for lang, _ in sample], np.int64)[words.text]
     at, n = words.line_starts, words.line_lengths
     count = np.bincount(words.number, minlength=len(words.hash))
@@ -265,7 +265,7 @@ def predict(docs: DataFrame, field: Field | None, text: str, keep: list[str], pr
     fields = [T.StructField(f"{prefix}lang_pred", T.StringType()), T.StructField(f"{prefix}score", T.DoubleType())]
 
     def make():
-        tables = _tables()
+        tables = letter_tables()
 
         def work(texts):
             if field is None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martflow.llm import html_text, lang_crf, mixing, near_dup, quality, secrets, url_filter
+from martflow.llm import ann, html_text, lang_crf, mixing, near_dup, piece_codec, quality, secrets, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,10 +29,23 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("row.doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.filter("vec_id % 100 = 0"))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(secrets.find_secrets(_table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op8_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_codec.encode(_table(spark, sf_dir, "documents"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_table(spark, sf_dir, "pages"))
 
@@ -42,6 +55,7 @@ def op10_lang_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality, op2_near_dup, op3_html_text, op4_mixing, op7_secrets, op9_url_filter, op10_lang_crf)}
+    op1_quality, op2_near_dup, op3_html_text, op4_mixing, op5_toxicity,
+    op6_ann, op7_secrets, op8_piece_codec, op9_url_filter, op10_lang_crf)}
 
 ORACLES = {"op4_mixing": mixing.ORACLE, "op7_secrets": secrets.ORACLE}
