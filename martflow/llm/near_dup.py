@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martflow.llm.flat import Block, map_texts, mix
-from martflow.llm.staging import staged
+from martflow.llm.staging import fits_broadcast, staged
 
 #: Values that a sketch keeps, and how many of the united sketch's k values a pair has to share.
 SKETCH = 48
@@ -79,8 +79,8 @@ def _digest(values: np.ndarray) -> bytes:
     return hashlib.blake2b(values.tobytes(), digest_size=16).digest()
 
 
-def sketches(docs: DataFrame, doc: str, text: str, words: int, k: int) -> DataFrame:
-    """(doc, sig, n_shingles, sketch): class digest (null for an empty set), set size, k smallest hashes."""
+def sketches(docs: DataFrame, keep: list[str], text: str, words: int, k: int) -> DataFrame:
+    """(*keep, sig, n_shingles, sketch): class digest (null for an empty set), set size, k smallest hashes."""
     fields = [T.StructField("sig", T.BinaryType()), T.StructField("n_shingles", T.LongType()),
               T.StructField("sketch", T.ArrayType(T.LongType()))]
 
@@ -93,7 +93,7 @@ def sketches(docs: DataFrame, doc: str, text: str, words: int, k: int) -> DataFr
 
         return work
 
-    return map_texts(docs, make, fields, text, [doc])
+    return map_texts(docs, make, fields, text, keep)
 
 
 def full_sets(docs: DataFrame, text: str, words: int) -> DataFrame:
@@ -202,24 +202,53 @@ def class_links(docs: DataFrame, doc: str, text: str, classes: DataFrame, words:
     return labels
 
 
-def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80,
-                    k: int = SKETCH, least: int = LEAST) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every row of ``docs``.
+def judged(docs: DataFrame, doc: str, text: str, words: int, percent: int, k: int, least: int) -> DataFrame:
+    """(doc, tag, n_shingles, component, component_id) of every row.
 
-    Links rows whose sets of ``words``-word shingles have ``100 * intersection >= percent * union``.
+    ``tag`` is a hash of the text, ``component`` one of the class digests of the row's component (null for an empty set).
     """
-    rows = staged(sketches(docs, doc, text, words, k).withColumnRenamed(doc, "doc"), "sketches")
+    tagged = docs.select(F.col(doc).alias("doc"), F.col(text).cast("string").alias("text"), F.xxhash64(F.col(text)).alias("tag"))
+    rows = staged(sketches(tagged, ["doc", "tag"], "text", words, k), "sketches")
     classes = staged(rows.filter("sig IS NOT NULL").groupBy("sig").agg(
         F.min("doc").alias("doc"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")), "classes")
-    labels = class_links(docs, doc, text, classes, words, percent, k, least)
+    labels = class_links(tagged, "doc", "text", classes, words, percent, k, least)
     named = classes.select("sig", "doc")
-    if labels is not None:
+    if labels is None:
+        named = named.select("sig", F.col("sig").alias("component"), F.col("doc").alias("component_id"))
+    else:
         at = named.join(labels, "sig")
-        least_id = at.groupBy("label").agg(F.min("doc").alias("first"))
-        moved = at.join(least_id, "label").select("sig", "first")
-        named = named.join(moved, "sig", "left").select("sig", F.coalesce("first", "doc").alias("doc"))
-    named = named.withColumnRenamed("doc", "component_id")
+        moved = at.join(at.groupBy("label").agg(F.min("doc").alias("first")), "label").select("sig", "label", "first")
+        named = named.join(moved, "sig", "left").select(
+            "sig", F.coalesce("label", "sig").alias("component"),
+            F.when(F.col("label").isNull(), F.col("doc")).otherwise(F.col("first")).alias("component_id"))
     return (rows.drop("sketch").join(named, "sig", "left")
             .withColumn("component_id", F.when(F.col("sig").isNull(), F.col("doc")).otherwise(F.col("component_id")))
-            .select(F.col("doc").alias("doc_id"), "n_shingles", "component_id",
-                    F.col("doc").eqNullSafe(F.col("component_id")).alias("kept")))
+            .select("doc", "tag", "n_shingles", "component", "component_id"))
+
+
+def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80,
+                    k: int = SKETCH, least: int = LEAST) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of every row of ``docs``.
+
+    Links rows whose sets of ``words``-word shingles have ``100 * intersection >= percent * union``.
+    """
+    return judged(docs, doc, text, words, percent, k, least).select(
+        F.col("doc").alias("doc_id"), "n_shingles", "component_id", F.col("doc").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, doc: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80,
+                k: int = SKETCH, least: int = LEAST) -> DataFrame:
+    """``docs`` with one row of each component: of the smallest id (null last), then of the least text hash.  Rows without words all stay."""
+    rows = staged(judged(docs, doc, text, words, percent, k, least).select("doc", "tag", "component"), "judged")
+    rows = rows.filter("component IS NOT NULL").withColumn("own", F.struct(F.col("doc").isNull().alias("none"), "doc", "tag"))
+    firsts = rows.groupBy("component").agg(F.min("own").alias("first"))
+    rows = rows.join(firsts, "component").select("doc", "tag", F.col("own").eqNullSafe(F.col("first")).alias("stays"))
+    # (id, text) pairs that go, and those that stay but occur more than once: usually none or few
+    marks = rows.groupBy("doc", "tag").agg(F.max("stays").alias("stays"), F.count(F.lit(1)).alias("n")).filter("NOT stays OR n > 1")
+    marks = staged(marks.select(F.col("doc").alias("_d"), F.col("tag").alias("_t"), "stays"), "marks")
+    marks = F.broadcast(marks) if fits_broadcast(marks, 48) else marks
+    columns = docs.columns
+    wrapped = docs.select(F.struct(*[docs[f"`{c}`"] for c in columns]).alias("row"), F.col(doc).alias("d"), F.xxhash64(F.col(text)).alias("t"))
+    wrapped = wrapped.join(marks, F.col("d").eqNullSafe(F.col("_d")) & (F.col("t") == F.col("_t")), "left")
+    once = wrapped.filter("stays").dropDuplicates(["d", "t"])
+    return wrapped.filter("stays IS NULL").select("row.*").unionByName(once.select("row.*"))
