@@ -8,12 +8,12 @@
    exactly if the sets are no larger than ``k``.  So only the
    ``kept - least + 1`` rarest kept values of a class need inverted lists: two
    such sets meet in one of them.
-3. Lists generate pairs.  While lists hold many unlinked pairs, each list only
-   pairs its members with one pivot (another one each round), and members that
-   the verified links already join need no further pair: a group of m near
-   copies costs about m pairs, not m * m / 2.  What is still unlinked is then
-   paired in full, so no pair that shares a list goes untested unless a chain
-   of links already joins it.
+3. Lists generate pairs.  While they hold many unlinked pairs, each list only
+   pairs its members with one pivot, the member of most lists.  Members that
+   verified links already join need no further pair; for the others new
+   lists are made of what parts them from the pivot (:func:`difference_lists`),
+   which no link escapes either.  So a group of m near copies costs about m pairs
+   a round, not m * m / 2.  When few unlinked pairs are left, all are paired.
 4. A pair's overlap within the k smallest values of the united sketches
    estimates its similarity; pairs under ``least`` go.  Intersection and union
    of the full sets verify the rest.
@@ -43,7 +43,8 @@ from martflow.llm.staging import fits_broadcast, staged
 #: Values that a sketch keeps, and how many of the united sketch's k values a pair has to share.
 SKETCH = 48
 LEAST = 25
-#: Pivot rounds go on while the lists hold more unlinked pairs than this many for each entry, and each round links some.
+#: Pivot rounds go on while the lists hold more unlinked pairs than this many for each entry, at most so many rounds;
+#: then the pairs that are left are all tested.
 PAIRS_PER_ENTRY = 4
 MOST_ROUNDS = 8
 
@@ -150,7 +151,7 @@ def components(links: DataFrame) -> DataFrame:
         moved = lambda df, x: df.join(up.select(F.col("a").alias(x), "up"), x, "left").withColumn(x, F.coalesce("up", x)).drop("up")
         labels = up.select(F.col("a").alias("sig"), F.col("up").alias("label")) if labels is None else moved(labels, "label")
         labels = staged(labels, "labels")
-        edges = staged(moved(moved(edges, "a"), "b").filter("a <> b").distinct(), "links")
+        edges = staged(moved(moved(edges, "a"), "b").filter("a <> b").select("a", "b").distinct(), "links")
     return labels if labels is not None else links.select(F.col("a").alias("sig"), F.col("b").alias("label"))
 
 
@@ -167,6 +168,35 @@ def _unlinked(lists: DataFrame, labels: DataFrame | None) -> tuple[DataFrame, in
     return named, got["p"], got["n"]
 
 
+def measured(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b, near, n, apart): whether a and its pivot b are similar enough, a's size, and the shingles that only one of them has."""
+    grams = lambda x: sets.select(F.col("sig").alias(x), F.col("grams").alias(f"{x}g"))
+    both = (pairs.join(grams("a"), "a").join(grams("b"), "b")
+            .withColumn("apart", F.concat(F.array_except("ag", "bg"), F.array_except("bg", "ag"))))
+    # size(ag) + size(bg) is union + intersection, size(apart) is union - intersection
+    total = F.size("ag") + F.size("bg")
+    return both.select("a", "b", (100 * (total - F.size("apart")) >= percent * (total + F.size("apart"))).alias("near"),
+                       F.size("ag").alias("n"), "apart")
+
+
+def difference_lists(pivoted: DataFrame, percent: int) -> DataFrame:
+    """(v, sig): inverted lists over what parts the members of a list from their pivot.
+
+    With X and Y the differences of x and y from one pivot, x and y differ in
+    |X| + |Y| - 2 |X and Y| shingles, and similar ones in at most
+    (100 - percent) / percent of x's size.  So Y holds all of X but so many, or, if X
+    is that small, at least one of X unless both are linked to the pivot:
+    x and y meet in one of the rarest so many and one of X.  What all members have in common is gone.
+    """
+    entries = pivoted.select("a", "b", "n", F.size("apart").alias("all"), F.explode("apart").alias("e"))
+    shared = entries.groupBy("b", "e").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    own = entries.join(shared, ["b", "e"]).groupBy("a", "b", "n", "all").agg(F.array_sort(F.collect_list(F.struct("df", "e"))).alias("own"))
+    spare = F.floor((100 - percent) * F.col("n") / percent) + 1
+    own = own.withColumn("take", (F.least(spare, "all") - (F.col("all") - F.size("own"))).cast("int")).filter("take > 0")
+    return (own.select("a", "b", F.explode(F.slice("own", F.lit(1), F.col("take"))).alias("e"))
+            .select(F.xxhash64("b", "e.e").alias("v"), F.col("a").alias("sig")).distinct())
+
+
 def class_links(docs: DataFrame, doc: str, text: str, classes: DataFrame, words: int, percent: int, k: int, least: int) -> DataFrame | None:
     """(sig, label) of the linked classes, or None if no two classes share a list."""
     lists = staged(inverted_lists(classes, k, least, percent / 100), "entries")
@@ -175,8 +205,8 @@ def class_links(docs: DataFrame, doc: str, text: str, classes: DataFrame, words:
         return None
     listed = lists.select("sig").distinct()
     some = classes.join(listed, "sig")
-    wanted = some.select(F.col("doc").alias("w"), F.col("sig").alias("wsig"))
-    there = docs.join(wanted.select("w").distinct(), F.col(doc).eqNullSafe(F.col("w")), "left_semi")
+    wanted = some.select(F.col("doc").alias("w")).distinct()
+    there = docs.join(wanted, F.col(doc).eqNullSafe(F.col("w")), "left_semi")
     sets = staged(full_sets(there, text, words).join(listed, "sig", "left_semi").dropDuplicates(["sig"]), "sets")
     some = staged(some.select("sig", "sketch", "n_shingles"), "classes")
     links, labels, rounds = None, None, 0
@@ -185,20 +215,19 @@ def class_links(docs: DataFrame, doc: str, text: str, classes: DataFrame, words:
         if full:
             other = lists.select("v", F.col("sig").alias("b"), F.col("label").alias("other"))
             pairs = lists.join(other, "v").filter((F.col("sig") < F.col("b")) & (F.col("label") != F.col("other")))
-            pairs = pairs.select(F.col("sig").alias("a"), "b")
+            found = staged(verified(pairs.select(F.col("sig").alias("a"), "b").distinct(), some, sets, k, least, percent), "found")
         else:
-            pivot = lists.groupBy("v").agg(F.min(F.struct(F.xxhash64(F.lit(rounds), "sig").alias("h"), "sig", "label")).alias("p"))
-            pairs = lists.join(pivot.select("v", "p.sig", "p.label").toDF("v", "b", "other"), "v")
-            pairs = pairs.filter(F.col("label") != F.col("other")).select(F.least("sig", "b").alias("a"), F.greatest("sig", "b").alias("b"))
-        found = staged(verified(pairs.distinct(), some, sets, k, least, percent), "found")
+            # the member of most lists is likely the text that the others were made from
+            central = lists.groupBy("sig").agg(F.count(F.lit(1)).alias("held"))
+            pivot = lists.join(central, "sig").groupBy("v").agg(F.max(F.struct("held", "sig"))["sig"].alias("b"))
+            pairs = lists.join(pivot, "v").filter("sig <> b").select(F.col("sig").alias("a"), "b").distinct()
+            pivoted = staged(measured(pairs, sets, percent), "pivoted")
+            found = pivoted.filter("near").select("a", "b")
         links = found if links is None else links.union(found)
         labels, rounds = components(links), rounds + 1
         if full:
             break
-        lists, left, entries = _unlinked(lists.select("v", "sig"), labels)
-        if left == open_pairs:
-            rounds = MOST_ROUNDS
-        open_pairs = left
+        lists, open_pairs, entries = _unlinked(staged(difference_lists(pivoted, percent), "entries"), labels)
     return labels
 
 
