@@ -8,12 +8,13 @@
    exactly if the sets are no larger than ``k``.  So only the
    ``kept - least + 1`` rarest kept values of a class need inverted lists: two
    such sets meet in one of them.
-3. Lists generate pairs.  While they hold many unlinked pairs, each list only
+3. Lists generate pairs.  If they hold many, each list first
    pairs its members with one pivot, the member of most lists.  Members that
-   verified links already join need no further pair; for the others new
+   these links join need no further pair; for the others new
    lists are made of what parts them from the pivot (:func:`difference_lists`),
-   which no link escapes either.  So a group of m near copies costs about m pairs
-   a round, not m * m / 2.  When few unlinked pairs are left, all are paired.
+   which no link escapes either and where the group's common text is gone.  Long ones of these are
+   compared in blocks, which return links alone.  So a group of m near copies
+   yields about m pair rows, not m * m / 2.
 4. A pair's overlap within the k smallest values of the united sketches
    estimates its similarity; pairs under ``least`` go.  Intersection and union
    of the full sets verify the rest.
@@ -32,6 +33,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,10 +45,12 @@ from martflow.llm.staging import fits_broadcast, staged
 #: Values that a sketch keeps, and how many of the united sketch's k values a pair has to share.
 SKETCH = 48
 LEAST = 25
-#: Pivot rounds go on while the lists hold more unlinked pairs than this many for each entry, at most so many rounds;
-#: then the pairs that are left are all tested.
+#: Lists are paired by pivots if they hold more pairs than this many for each entry.
 PAIRS_PER_ENTRY = 4
-MOST_ROUNDS = 8
+#: Members up to which a difference list is paired by a join; members of a block; shingles compared at a time.
+SHORT = 8
+BLOCK = 1024
+COLUMNS = 4096
 
 
 def shingle_sets(texts: list, words: int) -> list[np.ndarray]:
@@ -156,16 +160,15 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _unlinked(lists: DataFrame, labels: DataFrame | None) -> tuple[DataFrame, int, int]:
-    """Lists with members of two components or more; how many pairs of different components they hold, and entries."""
+    """Lists with members of two components or more, with (label, held) for members in the list; their unlinked pairs, and entries."""
     named = (lists.withColumn("label", F.col("sig")) if labels is None else
              lists.join(labels, "sig", "left").withColumn("label", F.coalesce("label", "sig")))
     sizes = (named.groupBy("v", "label").agg(F.count(F.lit(1)).alias("m"))
-             .groupBy("v").agg(F.count(F.lit(1)).alias("parts"), F.sum("m").alias("n"), F.sum(F.col("m") * F.col("m")).alias("square"))
-             .filter("parts > 1").select("v", "n", ((F.col("n") * F.col("n") - F.col("square")) / 2).cast("long").alias("open")))
-    named = staged(named.join(sizes, "v").select("v", "sig", "label", "open"), "lists")
-    one = named.groupBy("v").agg(F.first("open").alias("open"), F.count(F.lit(1)).alias("n"))
-    got = one.agg(F.coalesce(F.sum("open"), F.lit(0)).alias("p"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
-    return named, got["p"], got["n"]
+             .groupBy("v").agg(F.count(F.lit(1)).alias("parts"), F.sum("m").alias("held"), F.sum(F.col("m") * F.col("m")).alias("square"))
+             .filter("parts > 1").select("v", "held", ((F.col("held") * F.col("held") - F.col("square")) / 2).cast("long").alias("open")))
+    sizes = staged(sizes, "open")
+    got = sizes.agg(F.coalesce(F.sum("open"), F.lit(0)).alias("p"), F.coalesce(F.sum("held"), F.lit(0)).alias("n")).first()
+    return staged(named.join(sizes.select("v", "held"), "v"), "lists"), got["p"], got["n"]
 
 
 def measured(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -180,7 +183,7 @@ def measured(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def difference_lists(pivoted: DataFrame, percent: int) -> DataFrame:
-    """(v, sig): inverted lists over what parts the members of a list from their pivot.
+    """(v, sig, b): inverted lists over what parts the members of a list from their pivot b.
 
     With X and Y the differences of x and y from one pivot, x and y differ in
     |X| + |Y| - 2 |X and Y| shingles, and similar ones in at most
@@ -194,11 +197,86 @@ def difference_lists(pivoted: DataFrame, percent: int) -> DataFrame:
     spare = F.floor((100 - percent) * F.col("n") / percent) + 1
     own = own.withColumn("take", (F.least(spare, "all") - (F.col("all") - F.size("own"))).cast("int")).filter("take > 0")
     return (own.select("a", "b", F.explode(F.slice("own", F.lit(1), F.col("take"))).alias("e"))
-            .select(F.xxhash64("b", "e.e").alias("v"), F.col("a").alias("sig")).distinct())
+            .select(F.xxhash64("b", "e.e").alias("v"), F.col("a").alias("sig"), "b"))
+
+
+def _block_links(percent: int):
+    """Links between two blocks of a list's members (or within one), enough of them to join what they join."""
+
+    def overlaps(left: list, right: list) -> np.ndarray:
+        flat = np.concatenate(left + right)
+        _, code, times = np.unique(flat, return_inverse=True, return_counts=True)
+        row = np.repeat(np.arange(len(left) + len(right)), [len(x) for x in left + right])
+        often = np.flatnonzero(times > 1)
+        place = np.full(len(times), -1)
+        place[often] = np.arange(len(often))
+        row, code = row[place[code] >= 0], place[code][place[code] >= 0]
+        order = np.argsort(code, kind="stable")
+        row, code = row[order], code[order]
+        out = np.zeros((len(left), len(right)), np.float32)
+        for low in range(0, len(often), COLUMNS):
+            a, b = np.searchsorted(code, (low, low + COLUMNS))
+            held = np.zeros((len(left) + len(right), min(COLUMNS, len(often) - low)), np.float32)
+            held[row[a:b], code[a:b] - low] = 1
+            out += held[:len(left)] @ held[len(left):].T
+        return out
+
+    def links(group: pd.DataFrame) -> pd.DataFrame:
+        one = group[group["block"] == group["i"]]
+        two = one if group["i"].iat[0] == group["j"].iat[0] else group[group["block"] == group["j"]]
+        pairs: list[tuple[bytes, bytes]] = []
+        if len(one) and len(two):
+            size = lambda g: (g["n"].to_numpy(), np.array([len(x) for x in g["apart"]]))
+            (n1, d1), (n2, d2) = size(one), size(two)
+            total = n1[:, None] + n2[None, :]
+            apart = d1[:, None] + d2[None, :] - 2 * overlaps(list(one["apart"]), list(two["apart"])).astype(np.int64)
+            near = 100 * (total - apart) >= percent * (total + apart)
+            names = {x: i for i, x in enumerate(dict.fromkeys([*one["label"], *two["label"]]))}
+            l1, l2 = (np.array([names[x] for x in g["label"]]) for g in (one, two))
+            near &= l1[:, None] != l2[None, :]
+            root = list(range(len(names)))
+
+            def top(x):
+                while root[x] != x:
+                    root[x] = x = root[root[x]]
+                return x
+
+            s1, s2 = list(one["sig"]), list(two["sig"])
+            for x, y in np.argwhere(near):
+                p, q = top(l1[x]), top(l2[y])
+                if p != q:
+                    root[p] = q
+                    pairs.append((s1[x], s2[y]))
+        return pd.DataFrame({"a": [p for p, _ in pairs], "b": [q for _, q in pairs]}, columns=["a", "b"], dtype=object)
+
+    return links
+
+
+def difference_links(lists: DataFrame, pivoted: DataFrame, percent: int) -> DataFrame:
+    """The links (a, b) between members of different components that share a difference list.
+
+    Short lists pair their members by a join; long ones are cut into blocks, and blocks of a
+    list meet in tasks that return links alone.
+    """
+    full = pivoted.select(F.col("a").alias("sig"), "b", "n", "apart")
+    rows = lists.join(full, ["sig", "b"]).select("v", "sig", "label", "held", "n", "apart")
+    short = rows.filter(F.col("held") <= SHORT)
+    side = lambda x: short.select(F.col("v"), *[F.col(c).alias(f"{x}_{c}") for c in ("sig", "label", "n", "apart")])
+    pairs = side("a").join(side("b"), "v").filter((F.col("a_sig") < F.col("b_sig")) & (F.col("a_label") != F.col("b_label")))
+    total = F.col("a_n") + F.col("b_n")
+    apart = F.size("a_apart") + F.size("b_apart") - 2 * F.size(F.array_intersect("a_apart", "b_apart"))
+    found = pairs.filter(100 * (total - apart) >= percent * (total + apart)).select(F.col("a_sig").alias("a"), F.col("b_sig").alias("b"))
+
+    blocks = F.ceil(F.col("held") / BLOCK).cast("int")
+    long = rows.filter(F.col("held") > SHORT).withColumn("block", F.pmod(F.xxhash64("sig"), blocks).cast("int"))
+    long = long.withColumn("k", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    long = long.select("v", F.least("block", "k").alias("i"), F.greatest("block", "k").alias("j"), "block", "sig", "label", "n", "apart")
+    far = long.groupBy("v", "i", "j").applyInPandas(_block_links(percent), "a binary, b binary")
+    return found.union(far)
 
 
 def class_links(docs: DataFrame, doc: str, text: str, classes: DataFrame, words: int, percent: int, k: int, least: int) -> DataFrame | None:
-    """(sig, label) of the linked classes, or None if no two classes share a list."""
+    """(sig, label) of the linked classes, or None if no two classes are linked."""
     lists = staged(inverted_lists(classes, k, least, percent / 100), "entries")
     lists, open_pairs, entries = _unlinked(lists, None)
     if not open_pairs:
@@ -208,27 +286,21 @@ def class_links(docs: DataFrame, doc: str, text: str, classes: DataFrame, words:
     wanted = some.select(F.col("doc").alias("w")).distinct()
     there = docs.join(wanted, F.col(doc).eqNullSafe(F.col("w")), "left_semi")
     sets = staged(full_sets(there, text, words).join(listed, "sig", "left_semi").dropDuplicates(["sig"]), "sets")
-    some = staged(some.select("sig", "sketch", "n_shingles"), "classes")
-    links, labels, rounds = None, None, 0
-    while open_pairs:
-        full = open_pairs <= PAIRS_PER_ENTRY * entries or rounds >= MOST_ROUNDS
-        if full:
-            other = lists.select("v", F.col("sig").alias("b"), F.col("label").alias("other"))
-            pairs = lists.join(other, "v").filter((F.col("sig") < F.col("b")) & (F.col("label") != F.col("other")))
-            found = staged(verified(pairs.select(F.col("sig").alias("a"), "b").distinct(), some, sets, k, least, percent), "found")
-        else:
-            # the member of most lists is likely the text that the others were made from
-            central = lists.groupBy("sig").agg(F.count(F.lit(1)).alias("held"))
-            pivot = lists.join(central, "sig").groupBy("v").agg(F.max(F.struct("held", "sig"))["sig"].alias("b"))
-            pairs = lists.join(pivot, "v").filter("sig <> b").select(F.col("sig").alias("a"), "b").distinct()
-            pivoted = staged(measured(pairs, sets, percent), "pivoted")
-            found = pivoted.filter("near").select("a", "b")
-        links = found if links is None else links.union(found)
-        labels, rounds = components(links), rounds + 1
-        if full:
-            break
-        lists, open_pairs, entries = _unlinked(staged(difference_lists(pivoted, percent), "entries"), labels)
-    return labels
+    if open_pairs <= PAIRS_PER_ENTRY * entries:
+        other = lists.select("v", F.col("sig").alias("b"))
+        pairs = lists.join(other, "v").filter(F.col("sig") < F.col("b")).select(F.col("sig").alias("a"), "b").distinct()
+        links = staged(verified(pairs, some.select("sig", "sketch", "n_shingles"), sets, k, least, percent), "found")
+    else:
+        # the member of most lists is likely the text that the others were made from
+        central = lists.groupBy("sig").agg(F.count(F.lit(1)).alias("lists"))
+        pivot = lists.join(central, "sig").groupBy("v").agg(F.max(F.struct("lists", "sig"))["sig"].alias("b"))
+        pairs = lists.join(pivot, "v").filter("sig <> b").select(F.col("sig").alias("a"), "b").distinct()
+        pivoted = staged(measured(pairs, sets, percent), "pivoted")
+        links = pivoted.filter("near").select("a", "b")
+        again, open_pairs, _ = _unlinked(staged(difference_lists(pivoted, percent), "entries"), components(links))
+        if open_pairs:
+            links = links.union(staged(difference_links(again, pivoted, percent), "found"))
+    return None if links.isEmpty() else components(links)
 
 
 def judged(docs: DataFrame, doc: str, text: str, words: int, percent: int, k: int, least: int) -> DataFrame:
