@@ -2,8 +2,8 @@
 
 * J1/J2/J3 equi inner / left outer joins are plain DataFrame joins; the
   planner shuffles both sides on the key and AQE splits skewed partitions.
-* J4/J5 dictionary (lookup) joins broadcast the dictionary only after its
-  row count is *proven* under a bound; beyond it the join stays a shuffle join.
+* J4/J5 dictionary (lookup) joins broadcast the dictionary only after its rows
+  and bytes are *proven* under a bound; beyond it the join stays a shuffle join.
 * J7 interval join: an equi-join on (key, time bucket) plus the exact range
   predicate, so a hot key is spread over its buckets.
 """
@@ -12,32 +12,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-# Largest dictionary we broadcast without a shuffle (rows).  Dictionaries are
-# code tables (tens to thousands of rows); anything above goes the shuffle way.
+# Largest dictionary we broadcast without a shuffle (rows, and bytes of their text).
 DICT_BROADCAST_MAX_ROWS = 200_000
+DICT_BROADCAST_MAX_BYTES = 32 << 20
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """Cheap size proof: reads at most ``max_rows + 1`` rows.
-
-    The answer is remembered on the DataFrame object (a DataFrame is an
-    immutable plan), so a dictionary used by several joins is counted once.
-    """
-    proofs = getattr(df, "_row_bound_proofs", None)
-    if proofs is None:
-        proofs = {}
-        try:
-            df._row_bound_proofs = proofs
-        except AttributeError:
-            pass
-    if max_rows not in proofs:
-        proofs[max_rows] = df.limit(max_rows + 1).count() <= max_rows
-    return proofs[max_rows]
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = DICT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only behind a row-count check; otherwise unchanged."""
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
+def has_at_most(df: DataFrame, max_rows: int, max_bytes: int = DICT_BROADCAST_MAX_BYTES) -> bool:
+    """Size proof at the time of the call: reads at most ``max_rows + 1`` rows, counts them and the bytes of their values."""
+    width = F.lit(0)
+    for c in df.columns:
+        width = width + F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0))
+    got = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
+    return got["n"] <= max_rows and (got["b"] or 0) <= max_bytes
 
 
 def lookup_join(facts: DataFrame, dictionary: DataFrame, fact_key: str, dict_key: str,
@@ -45,12 +31,12 @@ def lookup_join(facts: DataFrame, dictionary: DataFrame, fact_key: str, dict_key
                 dict_small: bool | None = None, dict_cols: list[str] | None = None) -> DataFrame:
     """Join facts with a dictionary table; ``inner`` drops misses.
 
-    ``dict_small`` lets a caller that already proved the size skip the check;
-    ``dict_cols`` narrows the dictionary after the (remembered) size proof.
+    ``dict_cols`` narrows the dictionary; it is broadcast if it is small now.  ``dict_small`` lets a
+    caller that has just proved the size skip the check; a stream's plan outlives its proof, so it passes False.
     """
-    small = has_at_most(dictionary, max_rows) if dict_small is None else dict_small
     if dict_cols:
         dictionary = dictionary.select(*dict_cols)
+    small = has_at_most(dictionary, max_rows) if dict_small is None else dict_small
     d = F.broadcast(dictionary) if small else dictionary
     return facts.join(d, facts[fact_key] == d[dict_key], how)
 

@@ -3,12 +3,12 @@
 Batch forms are closed forms of the per-key state machines (SURVEY 2.12),
 written so that no key's whole history has to sit in one task:
 
-* O2 repairs ``is_new`` from a per-key *aggregate* (``min_by`` with map-side
-  partial aggregation) joined back on (key, salt); hot keys are salted.
+* O2 repairs ``is_new`` from an aggregate per (key, day), joined on (key, day)
+  with the flagged rows alone.
 * O3 keeps the first row of each (key, date): one partial+final aggregate.
 * O4 judges each entry by its true successor using windows over
   (key, time bucket) instead of (key): buckets are as wide as the pattern
-  limit, and the first row of the next bucket is added as a look-ahead row.
+  limit, and each row is also a look-ahead row of the bucket before.
 
 Streaming forms live in :mod:`martflow.streaming.processors`.
 """
@@ -39,54 +39,27 @@ def repair_new_visitor(df: DataFrame, key: str = "mid", ts: str = "ts",
     later ``is_new='1'`` record on a *different* date becomes ``'0'``.
     Rows with a null key pass unchanged (they share no state).
 
-    Plan: one aggregate per key (``min_by`` with map-side partial
-    aggregation, plus the key's row count), materialised once; then the rows
-    are joined back on (key, salt).  A key holding more than half an average
-    shuffle partition is *hot*: its rows get a random salt in ``[0, s)``
-    with ``s`` chosen so each salted slice is about half a partition, and
-    its aggregate row is copied ``s`` times.  There are at most
-    ``2 * shuffle partitions`` hot keys, so their list (key, s) is a proven
-    small set read on the driver.  Null keys are spread by a random salt.
+    Plan: one aggregate to a row per (key, day) with map-side partial aggregation; a
+    window over a key's days finds its first date.  Only rows with
+    ``is_new='1'`` can change: they alone are joined, on (key, day), with the days to
+    be zeroed, so a hot key is spread over its days and the exchange lies
+    right under the join, where AQE can split what is left.
     """
-    from martflow.session import cut_lineage
     order = _order(order, ts)
-    spark = df.sparkSession
-    visit_dt = to_date_str(F.col(ts), tz)
-    seed = F.when(F.col(is_new) == "1", visit_dt).otherwise(previous_day_str(F.col(ts), tz))
-    first = cut_lineage(df.filter(F.col(key).isNotNull()).groupBy(key).agg(
-        F.min_by(seed, F.struct(*[F.col(c) for c in order])).alias("__first_dt"),
-        F.count(F.lit(1)).alias("__n")))
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    salts = hot_key_salts(first, key, "__n", parts)
-    if salts:
-        hot_map = F.create_map(*[x for k, v in salts.items() for x in (F.lit(k), F.lit(v))])
-        n_salt = F.coalesce(F.element_at(hot_map, F.col(key)), F.lit(1))
-    else:
-        n_salt = F.lit(1)
-    rows = df.withColumn("__salt", F.when(
-        F.col(key).isNull(), F.floor(F.rand() * F.lit(parts))).otherwise(
-        F.floor(F.rand() * n_salt)).cast("int"))
-    right = first.select(F.col(key).alias("__k"), "__first_dt",
-                         F.explode(F.sequence(F.lit(0), n_salt.cast("int") - 1)).alias("__ks"))
-    fixed = F.when((F.col(is_new) == "1") & (visit_dt != F.col("__first_dt")), F.lit("0")) \
-        .otherwise(F.col(is_new))
-    j = rows.join(right, (rows[key] == right["__k"]) & (rows["__salt"] == right["__ks"]), "left")
-    return j.select(*[fixed.alias(c) if c == is_new else F.col(c) for c in df.columns])
-
-
-def hot_key_salts(counts: DataFrame, key: str, count_col: str, parts: int) -> dict:
-    """Keys holding more than half an average partition, with the number of
-    salts that cuts each into slices of about half a partition.
-
-    At most ``2 * parts`` keys can exceed that share, so the result is a
-    proven-small dict read on the driver.
-    """
-    total = counts.agg(F.sum(count_col)).first()[0] or 0
-    slice_rows = max(total // (2 * parts), 1)
-    hot = counts.filter(F.col(count_col) > slice_rows) \
-        .select(key, F.ceil(F.col(count_col) / F.lit(slice_rows)).cast("int").alias("__s")) \
-        .limit(2 * parts + 1).collect()
-    return {r[0]: int(r[1]) for r in hot}
+    visit = to_date_str(F.col(ts), tz)
+    flag = F.coalesce((F.col(is_new) == "1") & F.col(key).isNotNull(), F.lit(False))
+    seed = F.when(F.col(is_new) == "1", visit).otherwise(previous_day_str(F.col(ts), tz))
+    days = df.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("__k"), visit.alias("__d")).agg(
+        F.min(F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], seed.alias("seed"))).alias("__first"),
+        F.max(flag).alias("__flag"))
+    first = F.min("__first").over(Window.partitionBy("__k"))["seed"]
+    zero = days.withColumn("__dt", first).filter(F.col("__flag") & (F.col("__d") != F.col("__dt"))) \
+        .select("__k", "__d", F.lit(True).alias("__zero"))
+    flagged = df.filter(flag).withColumn("__day", visit)
+    j = flagged.join(zero, (flagged[key] == zero["__k"]) & (flagged["__day"] == zero["__d"]), "left")
+    fixed = F.when(F.col("__zero"), F.lit("0")).otherwise(F.col(is_new))
+    j = j.select(*[fixed.alias(c) if c == is_new else F.col(c) for c in df.columns])
+    return df.filter(~flag).unionByName(j)
 
 
 # --------------------------------------------------------------------- O3
@@ -156,25 +129,21 @@ def user_jump(df: DataFrame, is_entry: Column, key: str = "mid", ts: str = "ts",
     ``within_ms`` later.  Equality counts as timeout.
 
     Plan: rows are bucketed by ``floor(ts / within_ms)``; a successor that
-    can stop a bounce lies in the same or the next bucket, and in the next
-    bucket only the first row can be a successor.  So each (key, bucket)
-    window holds its own rows plus one look-ahead row -- no window holds a
-    key's whole history.
+    can stop a bounce lies in the same or the next bucket.  Each row goes to
+    its own bucket and, stripped to the order columns and the entry flag, to
+    the one before: one scan, one exchange, and no window holds a key's whole history.
     """
     order = _order(order, ts)
     if order[0] != ts:
         raise ValueError("order must be led by the event time column")
     ordk = [F.col(c) for c in order]
-    base = df.withColumn("__entry", F.coalesce(is_entry.cast("boolean"), F.lit(False))) \
-        .withColumn("__b", F.floor(F.col(ts) / F.lit(within_ms)).cast("bigint")) \
-        .withColumn("__own", F.lit(True))
-    probe = [F.col(c) for c in order] + [F.col("__entry")]
-    heads = base.groupBy(key, "__b").agg(
-        F.min_by(F.struct(*probe), F.struct(*ordk)).alias("__h")) \
-        .select(F.col(key), (F.col("__b") - 1).alias("__b"),
-                *[F.col("__h." + c).alias(c) for c in order + ["__entry"]],
-                F.lit(False).alias("__own"))
-    both = base.unionByName(heads, allowMissingColumns=True)
+    b = F.floor(F.col(ts) / F.lit(within_ms)).cast("bigint")
+    own, needed = F.col("__at.own"), {key, *order}
+    both = df.withColumn("__entry", F.coalesce(is_entry.cast("boolean"), F.lit(False))) \
+        .withColumn("__at", F.explode(F.array(F.struct(b.alias("b"), F.lit(True).alias("own")),
+                                              F.struct((b - 1).alias("b"), F.lit(False).alias("own"))))) \
+        .select(*[F.col(c) if c in needed else F.when(own, F.col(c)).alias(c) for c in df.columns],
+                "__entry", F.col("__at.b").alias("__b"), own.alias("__own"))
     w = Window.partitionBy(key, "__b").orderBy(*ordk)
     nxt_ts = F.lead(ts).over(w)
     nxt_entry = F.lead("__entry").over(w)
@@ -205,50 +174,73 @@ def user_jump_matches_and_timeouts(df: DataFrame, is_entry: Column, key: str = "
             judged.filter(F.col("jump_kind") == "timeout").select(*cols))
 
 
-def union_outputs(*dfs: DataFrame) -> DataFrame:
-    """Bag union by column name."""
-    out = dfs[0]
-    for d in dfs[1:]:
-        out = out.unionByName(d)
-    return out
+# ------------------------------------------------------------------ X1-X5
+# Open records: fields are read and replaced by name, all others pass on as they came.
+def keyed_log(raw: DataFrame, value: str = "value", keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """P1 for job 2: ``(clean, dirty)``; clean has ``keep``, the text, and the
+    fields the jobs read: ``mid``, ``is_new``, ``ts``, ``is_entry`` (F7).
+
+    Dirty: text that is no JSON object, and records without ``common.mid`` or ``ts``.
+    """
+    tagged = raw.withColumn("__v", F.try_parse_json(F.col(value)))
+    get = lambda path, kind: F.try_variant_get("__v", path, kind)
+    rows = tagged.select(*keep, F.col(value).alias("value"), get("$.common.mid", "string").alias("mid"),
+                         get("$.common.is_new", "string").alias("is_new"), get("$.ts", "bigint").alias("ts"),
+                         get("$.page.last_page_id", "string").isNull().alias("is_entry"))
+    ok = F.col("mid").isNotNull() & F.col("ts").isNotNull()
+    return rows.filter(ok), rows.filter(~ok).select(*keep, "value")
+
 
+def _put(record: Column, **fields: Column) -> Column:
+    """The map with fields set; a null removes the field, as the serialiser of the source system does."""
+    names = [F.lit(k) for k in fields]
+    rest = F.map_filter(record, lambda k, v: ~k.isin(*names))
+    put = F.create_map(*[x for k, v in fields.items() for x in (F.lit(k), v)])
+    return F.map_filter(F.map_concat(rest, put), lambda k, v: v.isNotNull() & ~F.is_variant_null(v))
 
-# ------------------------------------------------------------------ X1-X5
-def split_log(log: DataFrame) -> dict[str, DataFrame]:
-    """Split parsed log records into five outputs.
 
-    * ``error``:   the ``err`` text alone, from every record that has one (X1)
-    * ``start``:   whole record (without ``err``) when ``start`` is present (X2)
-    * ``action``:  one row per ``actions`` element of a page record, with the
-      record's ``common``, ``ts`` and ``page`` (X3)
+def _text(record: Column) -> Column:
+    """JSON text of a map of variants, keys in order."""
+    return F.to_json(F.to_variant_object(record))
+
+
+def split_open_log(log: DataFrame, fixed: str = "is_new", keep: Sequence[str] = ()) -> dict[str, DataFrame]:
+    """The records of the five outputs as text (``value``), each with ``keep``.
+
+    * ``error``:   the ``err`` object alone, of every record that has one (X1)
+    * ``start``:   the record without ``err`` if it has ``start`` (X2)
+    * ``action``:  each element of a page record's ``actions``, with the
+      record's ``common``, ``ts`` and ``page`` put into it (X3)
     * ``display``: likewise for ``displays`` (X4)
-    * ``page``:    page record without ``err``, ``actions``, ``displays`` (X5)
+    * ``page``:    the record without ``err``, ``actions``, ``displays`` (X5)
+
+    ``fixed`` names the repaired ``common.is_new`` (null: leave it).
     """
-    err = log.filter(F.col("err").isNotNull()).select("err")
-    rec = log.drop("err")
-    start = rec.filter(F.col("start").isNotNull())
-    pages = rec.filter(F.col("start").isNull())
-    actions = pages.select("common", "page", "ts", F.explode("actions").alias("action"))
-    displays = pages.select("common", "page", "ts", F.explode("displays").alias("display"))
-    page = pages.drop("actions", "displays", "start")
-    return {"page": page, "start": start, "action": actions, "display": displays, "error": err}
+    void = F.lit(None).cast("variant")
+    as_map = lambda v: F.try_variant_get(v, "$", "map<string,variant>")
+    elements = lambda name: F.try_variant_get(F.col("__m")[name], "$", "array<map<string,variant>>")
+    rec = log.withColumn("__m", as_map(F.try_parse_json("value")))
+    common = as_map(F.col("__m")["common"])
+    common = F.when(F.col(fixed).isNotNull(), F.to_variant_object(_put(common, is_new=F.col(fixed).cast("variant")))) \
+        .otherwise(F.col("__m")["common"])
+    err = F.col("__m")["err"]
+    present = lambda c: c.isNotNull() & ~F.is_variant_null(c)
+    error = rec.filter(present(err)).select(*keep, F.to_json(err).alias("value"))
+    rec = rec.withColumn("__m", _put(F.col("__m"), common=common, err=void))
+    is_start = F.coalesce(present(F.col("__m")["start"]), F.lit(False))
+    start = rec.filter(is_start).select(*keep, _text(F.col("__m")).alias("value"))
+    pages = rec.filter(~is_start)
+
+    def each(name: str) -> DataFrame:
+        m = F.col("__m")
+        rows = pages.select(*keep, "__m", F.explode(elements(name)).alias("__e"))
+        return rows.select(*keep, _text(_put(F.col("__e"), common=m["common"], ts=m["ts"], page=m["page"])).alias("value"))
+
+    page = pages.select(*keep, _text(_put(F.col("__m"), actions=void, displays=void)).alias("value"))
+    return {"page": page, "start": start, "action": each("actions"), "display": each("displays"), "error": error}
 
 
 def set_common_field(common: str, field: str, value: Column) -> Column:
     """overwrite one key of an open map column."""
     return F.map_concat(F.map_filter(F.col(common), lambda k, v: k != F.lit(field)),
                         F.create_map(F.lit(field), value))
-
-
-def repair_log_new_visitor(log: DataFrame, order: Sequence[str] | None = None,
-                           tz: str = "UTC") -> DataFrame:
-    """O2 on parsed log records: key ``common.mid``, flag ``common.is_new``."""
-    cols = log.columns
-    flat = log.withColumn("__mid", F.col("common")["mid"]) \
-        .withColumn("__is_new", F.col("common")["is_new"])
-    fixed = repair_new_visitor(flat, key="__mid", ts="ts", is_new="__is_new",
-                               order=order or ["ts"], tz=tz)
-    changed = F.coalesce(F.col("__is_new") != F.col("common")["is_new"], F.lit(False))
-    common = F.when(changed, set_common_field("common", "is_new", F.col("__is_new"))) \
-        .otherwise(F.col("common"))
-    return fixed.select(*[common.alias(c) if c == "common" else F.col(c) for c in cols])

@@ -6,94 +6,68 @@ streaming forms are in :mod:`martflow.streaming.jobs`.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Sequence
 
-from martflow.operators import trade, traffic, upsert
-from martflow.session import cut_lineage
-from martflow.sources.envelope import parse_log
+from pyspark.sql import DataFrame, functions as F
+
+from martflow.operators import traffic, upsert
 
 
 # ------------------------------------------------------------------ job 2
-def base_log(raw: DataFrame, tz: str = "UTC") -> dict[str, DataFrame]:
+def base_log(raw: DataFrame, tz: str = "UTC", arrival: Sequence[str] = ()) -> dict[str, DataFrame]:
     """Job 2: clean (P1) -> repair ``is_new`` per ``common.mid`` (O2) -> split
-    into page / start / action / display / error (X1-X5); plus ``dirty``.
+    into page / start / action / display / error texts (X1-X5); plus ``dirty``.
 
-    Records without ``common.mid`` cannot be keyed: they go to ``dirty`` as
-    text, instead of forming one giant null key.
+    ``arrival`` names the columns of ``raw`` that give the order of arrival; they break ties of the event time and pass
+    to the outputs, as do ``mid``, ``ts`` and ``is_entry``.  Without them records of one
+    visitor in the same millisecond have no order, and the repair may differ between runs.
+    Records without ``common.mid`` or ``ts`` cannot be keyed: they go to ``dirty`` as they came.
+    The plan is lazy; where several outputs are written, land the clean records first.
     """
-    clean, dirty = parse_log(raw)
-    # One parse feeds the repair's aggregate and join: materialise it.
-    clean = cut_lineage(clean)
-    no_key = F.col("common")["mid"].isNull()
-    keyed = clean.filter(~no_key)
-    dirty = dirty.unionByName(
-        clean.filter(no_key).select(F.to_json(F.struct(*clean.columns)).alias("value")))
-    # The repaired log is the job's output (fanned out to five topics).
-    repaired = cut_lineage(traffic.repair_log_new_visitor(keyed, tz=tz))
-    out = traffic.split_log(repaired)
-    out["dirty"] = dirty
-    return out
+    clean, dirty = traffic.keyed_log(raw, keep=arrival)
+    return {**split_log(clean, tz, arrival), "dirty": dirty}
 
 
-def _flat_page(page: DataFrame) -> DataFrame:
-    return page.withColumn("mid", F.col("common")["mid"])
+def split_log(clean: DataFrame, tz: str = "UTC", arrival: Sequence[str] = ()) -> dict[str, DataFrame]:
+    """The five outputs of job 2 from its clean records (:func:`traffic.keyed_log`)."""
+    keep = ["mid", "ts", "is_entry", *arrival]
+    out = traffic.split_open_log(traffic.repair_new_visitor(clean, order=["ts", *arrival], tz=tz), keep=keep)
+    out["error"] = traffic.split_open_log(clean, keep=keep)["error"]  # the repair doesn't touch it
+    return out
 
 
 # ------------------------------------------------------------------ job 3
-def unique_visitor_detail(page: DataFrame, tz: str = "UTC") -> DataFrame:
+def unique_visitor_detail(page: DataFrame, tz: str = "UTC", arrival: Sequence[str] = ()) -> DataFrame:
     """Job 3: session entries (F7: no ``last_page_id``) -> first per (mid, day) (O3)."""
-    entries = _flat_page(page).filter(F.col("page")["last_page_id"].isNull())
-    return traffic.unique_visitor(entries, key="mid", ts="ts", tz=tz).drop("mid", "visit_dt")
+    return traffic.unique_visitor(page.filter("is_entry"), key="mid", ts="ts", order=["ts", *arrival], tz=tz).drop("visit_dt")
 
 
 # ------------------------------------------------------------------ job 4
-def user_jump_detail(page: DataFrame, within_ms: int = traffic.BOUNCE_WITHIN_MS) -> DataFrame:
+def user_jump_detail(page: DataFrame, within_ms: int = traffic.BOUNCE_WITHIN_MS, arrival: Sequence[str] = ()) -> DataFrame:
     """Job 4: entry followed by an entry, or by nothing, within the limit."""
-    p = _flat_page(page)
-    return traffic.user_jump(p, F.col("page")["last_page_id"].isNull(), key="mid", ts="ts",
-                             within_ms=within_ms).drop("mid")
-
-
-# ------------------------------------------------------------------ jobs 5-9
-def cart_add(env: DataFrame, base_dic: DataFrame, now: Column | None = None) -> DataFrame:
-    return trade.cart_add(env, base_dic, now)
-
-
-def order_pre_process(env: DataFrame, base_dic: DataFrame, now: Column | None = None) -> DataFrame:
-    return trade.order_pre_process(env, base_dic, now)
-
-
-def order_detail(pre: DataFrame) -> DataFrame:
-    return trade.order_detail(pre)
-
-
-def cancel_detail(pre: DataFrame) -> DataFrame:
-    return trade.cancel_detail(pre)
-
-
-def pay_detail(env: DataFrame, placed: DataFrame, base_dic: DataFrame) -> DataFrame:
-    return trade.pay_detail(env, placed, base_dic)
+    return traffic.user_jump(page, F.col("is_entry"), key="mid", ts="ts", order=["ts", *arrival], within_ms=within_ms)
 
 
 # ------------------------------------------------------------------ job 1
-def dim_sync(env: DataFrame, config_changes: DataFrame, *, as_of: str | None = None,
-             order_cols=("ts",)) -> tuple[dict[str, DataFrame], DataFrame]:
+def dim_sync(env: DataFrame, config_changes: DataFrame, *, order_cols: Sequence[str], as_of: str | None = None,
+             config_seq: str | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
     """Job 1: route dimension changes by the config and merge them per key.
 
     Returns ``({sink_table: merged rows}, rejected config rows)``.  With
     ``as_of`` (a data time column in the config's time unit) each change is
     routed by the config valid at its time; otherwise by the final config.
-    The config is a few dozen rows: it is folded by Spark and its column
-    lists are read on the driver to shape each dimension table (K5).
+    ``order_cols`` order the changes of a key, arrival last; ``config_seq`` orders config changes of one millisecond.
+    The config has a row for each source table: it is folded by Spark, its column
+    lists are read on the driver to shape each dimension table (K5), at most ``upsert.MOST_DIMENSIONS``.
     """
-    cfg, rejected = upsert.fold_config(config_changes)
+    cfg, rejected = upsert.fold_config(config_changes, seq_col=config_seq)
     if as_of:
-        routed = upsert.route_dimensions(env, upsert.config_intervals(config_changes),
+        routed = upsert.route_dimensions(env, upsert.config_intervals(config_changes, seq_col=config_seq),
                                          time_col=as_of)
     else:
         routed = upsert.route_dimensions(env, cfg)
     tables = {}
-    for row in cfg.select("sink_table", "sink_columns", "sink_pk").collect():
+    for row in upsert.config_rows(cfg):
         cols = row["sink_columns"].split(",")
         part = routed.filter(F.col("sink_table") == row["sink_table"])
         merged = upsert.merge_columns(part, ["pk"], "data",
@@ -104,7 +78,7 @@ def dim_sync(env: DataFrame, config_changes: DataFrame, *, as_of: str | None = N
 
 
 def dim_sync_wide(env: DataFrame, config_changes: DataFrame, columns: list[str],
-                  order_cols=("ts",)) -> DataFrame:
+                  order_cols: Sequence[str]) -> DataFrame:
     """Job 1 as one table: every dimension row with ``sink_table``, ``id`` and
     the union of configured columns (nulls where a table lacks a column).
 

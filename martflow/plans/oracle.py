@@ -291,7 +291,83 @@ SELECT 'dim_supplier', CAST(s_suppkey AS VARCHAR), s_name, CAST(s_nationkey AS V
   CAST({_d2('s_acctbal')} AS VARCHAR), NULL, NULL
 FROM supplier"""
 
+# Job 2 on open records: the expected texts, spelled out with keys in order.
+def _open(ties: bool) -> str:
+    ts = "epoch_us(date_trunc('hour', ts)) // 1000" if ties else "epoch_us(ts) // 1000"
+    return f"""
+traffic AS (
+  SELECT event_id, CAST(user_id AS VARCHAR) AS mid, ({ts}) AS ts,
+         CASE WHEN event_type = 'signup' THEN '1' ELSE '0' END AS is_new, event_type,
+         CAST(json_extract(props, '$.k') AS BIGINT) AS k
+  FROM events), {_REPAIR},
+open AS (
+  SELECT *, '{{"device":{{"area":' || k || ',"ch":"web"}},"is_new":"' || is_new_fixed || '","mid":"' || mid || '"}}' AS common,
+    '{{"during_time":' || k || CASE WHEN event_type <> 'view' THEN ',"last_page_id":"home"' ELSE '' END
+      || ',"page_id":"' || event_type || '"}}' AS page,
+    '"extra":{{"v":[1,' || k || ']}}' AS extra
+  FROM repaired)"""
+
+
+LOG_TOPIC_START = f"""WITH {_open(False)}
+SELECT event_id, '{{"common":' || common || ',' || extra || ',"start":{{"entry":"icon","loading_time":' || k || '}},"ts":' || ts || '}}' AS value
+FROM open WHERE event_type = 'signup'"""
+
+LOG_TOPIC_ERROR = f"""WITH {_open(False)}
+SELECT event_id, '{{"error_code":' || k || ',"msg":"app crash"}}' AS value FROM open WHERE event_type = 'error'"""
+
+LOG_TOPIC_ACTION = f"""WITH {_open(False)}
+SELECT event_id, '{{"action_id":"click","common":' || common || ',"item":' || k || ',"page":' || page || ',"ts":' || ts || '}}' AS value
+FROM open WHERE event_type = 'click'
+UNION ALL
+SELECT event_id, '{{"action_id":"favor_add","common":' || common || ',"item":' || (k + 1) || ',"page":' || page || ',"ts":' || ts || '}}'
+FROM open WHERE event_type = 'click'"""
+
+LOG_TOPIC_DISPLAY = f"""WITH {_open(False)}
+SELECT event_id, '{{"common":' || common || ',"item":' || k || ',"order":1,"page":' || page || ',"ts":' || ts || '}}' AS value
+FROM open WHERE event_type IN ('purchase', 'view')"""
+
+LOG_TOPIC_PAGE = f"""WITH {_open(False)}
+SELECT event_id, '{{"common":' || common || ',' || extra || ',"page":' || page || ',"ts":' || ts || '}}' AS value
+FROM open WHERE event_type <> 'signup'"""
+
+VISITOR_REPAIR_TIES = f"""WITH {_open(True)}
+SELECT event_id, mid, ts, is_new_fixed AS is_new FROM repaired"""
+
+PAGE_USER_JUMP_TIES = f"""WITH {_open(True)}
+SELECT event_id, mid, ts FROM (
+  SELECT *, lead(ts) OVER w AS next_ts, lead(event_type = 'view') OVER w AS next_entry
+  FROM open WHERE event_type <> 'signup' WINDOW w AS (PARTITION BY mid ORDER BY ts, event_id))
+WHERE event_type = 'view' AND (next_ts IS NULL OR next_ts - ts >= {_JUMP_MS} OR next_entry)"""
+
+ORDER_CURRENT = f"""WITH {_DIC}, {_OD}
+SELECT id, type, order_status, oi_ts FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY oi_ts DESC) AS rn FROM pre) WHERE rn = 1"""
+
+CONFIG_FOLD = """
+SELECT lower(r_name) AS source_table, 'dim_' || lower(r_name) AS sink_table, 'id,name' AS sink_columns, 'id' AS sink_pk
+FROM region WHERE r_regionkey % 2 = 1"""
+
+DICTIONARY_FILE = """
+SELECT c_custkey, n_name AS dic_name, n_name || ',' || c_mktsegment AS joined, 2 AS parts
+FROM customer JOIN nation ON c_nationkey = n_nationkey"""
+
+ORDER_WITHIN_BOUND = f"""
+SELECT {_DETAIL_ID} AS id, o_orderstatus AS status, epoch_us(o_orderdate) // 1000 AS order_ts
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+WHERE o_orderdate BETWEEN l_shipdate - INTERVAL 30 DAY AND l_shipdate + INTERVAL 30 DAY"""
+
 ORACLES: dict[str, str] = {
+    "log_topic_start": LOG_TOPIC_START,
+    "log_topic_error": LOG_TOPIC_ERROR,
+    "log_topic_action": LOG_TOPIC_ACTION,
+    "log_topic_display": LOG_TOPIC_DISPLAY,
+    "log_topic_page": LOG_TOPIC_PAGE,
+    "visitor_repair_ties": VISITOR_REPAIR_TIES,
+    "page_user_jump_ties": PAGE_USER_JUMP_TIES,
+    "order_current": ORDER_CURRENT,
+    "config_fold": CONFIG_FOLD,
+    "dictionary_file": DICTIONARY_FILE,
+    "order_within_bound": ORDER_WITHIN_BOUND,
     "visitor_repair": VISITOR_REPAIR,
     "unique_visitor": UNIQUE_VISITOR,
     "unique_visitor_entry": UNIQUE_VISITOR_ENTRY,

@@ -8,21 +8,26 @@ JSON text so both engines compare the same values.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from martflow.functions.jsonfn import map_json
-from martflow.functions.timefmt import previous_day_str, to_date_str, to_datetime_str, to_ts
+from martflow.functions.timefmt import join_list, ntz_to_millis, previous_day_str, split_list, to_date_str, to_datetime_str, to_ts
 from martflow.operators import joins, trade, traffic, upsert
 from martflow.plans import jobs
+from martflow.session import checkpoint_root
+from martflow.sinks.topics import write_keyed
 from martflow.sources import tables as T
 from martflow.sources.delimited import parse_delimited
-from martflow.sources.envelope import ENVELOPE_SCHEMA, split_clean_dirty
+from martflow.sources.envelope import CONFIG_CHANGE_SCHEMA, ENVELOPE_SCHEMA, split_clean_dirty
+from martflow.sources.topics import read_keyed_topic
 
 USER_JUMP_WITHIN_MS = 6 * 3600 * 1000   # test mapping: events are minutes apart
 INTERVAL_MS = 3600 * 1000               # test mapping: click/purchase within 1 h
+BOUND_MS = 30 * 86_400_000              # test mapping: ship and order date within 30 days
 
 
 def _fixed_clock() -> F.Column:
@@ -57,58 +62,71 @@ def user_jump(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _log_outputs(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return jobs.base_log(T.log_text(spark, sf).select("value"))
+    return jobs.base_log(T.log_text(spark, sf), arrival=["event_id"])
+
+
+def _at(path: str) -> F.Column:
+    return F.get_json_object("value", path)
 
 
 def log_split_page(spark: SparkSession, sf: str) -> DataFrame:
     p = _log_outputs(spark, sf)["page"]
-    return p.select(F.col("common")["mid"].alias("mid"), F.col("common")["is_new"].alias("is_new"),
-                    "ts", F.col("page")["page_id"].alias("page_id"),
-                    F.col("page")["last_page_id"].alias("last_page_id"),
-                    F.col("page")["item"].alias("item"))
+    return p.select("mid", _at("$.common.is_new").alias("is_new"), "ts", _at("$.page.page_id").alias("page_id"),
+                    _at("$.page.last_page_id").alias("last_page_id"), _at("$.page.item").alias("item"))
 
 
 def log_split_start(spark: SparkSession, sf: str) -> DataFrame:
     s = _log_outputs(spark, sf)["start"]
-    return s.select(F.col("common")["mid"].alias("mid"), F.col("common")["is_new"].alias("is_new"),
-                    "ts", F.get_json_object("start", "$.entry").alias("entry"))
+    return s.select("mid", _at("$.common.is_new").alias("is_new"), "ts", _at("$.start.entry").alias("entry"))
 
 
 def log_split_action(spark: SparkSession, sf: str) -> DataFrame:
     a = _log_outputs(spark, sf)["action"]
-    return a.select(F.col("common")["mid"].alias("mid"), "ts",
-                    F.col("page")["page_id"].alias("page_id"),
-                    F.col("action")["action_id"].alias("action_id"),
-                    F.col("action")["item"].alias("item"))
+    return a.select("mid", "ts", _at("$.page.page_id").alias("page_id"), _at("$.action_id").alias("action_id"),
+                    _at("$.item").alias("item"))
 
 
 def log_split_display(spark: SparkSession, sf: str) -> DataFrame:
     d = _log_outputs(spark, sf)["display"]
-    return d.select(F.col("common")["mid"].alias("mid"), "ts",
-                    F.col("page")["page_id"].alias("page_id"),
-                    F.col("display")["item"].alias("item"),
-                    F.col("display")["order"].alias("display_order"))
+    return d.select("mid", "ts", _at("$.page.page_id").alias("page_id"), _at("$.item").alias("item"),
+                    _at("$.order").alias("display_order"))
 
 
 def log_split_error(spark: SparkSession, sf: str) -> DataFrame:
     e = _log_outputs(spark, sf)["error"]
-    return e.select(F.get_json_object("err", "$.error_code").alias("error_code"),
-                    F.get_json_object("err", "$.msg").alias("msg"))
+    return e.select(_at("$.error_code").alias("error_code"), _at("$.msg").alias("msg"))
+
+
+def _log_topic(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    """The texts that job 2 writes to one of its topics."""
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        out = jobs.base_log(T.open_log_lines(spark, sf), arrival=["event_id"])
+        return out[name].select("event_id", "value")
+    return query
 
 
 def page_unique_visitor(spark: SparkSession, sf: str) -> DataFrame:
     """Job 3 on the page log produced by job 2 (entries: no last_page_id)."""
-    page = _log_outputs(spark, sf)["page"]
-    u = jobs.unique_visitor_detail(page)
-    return u.select(F.col("common")["mid"].alias("mid"), "ts",
-                    F.col("page")["page_id"].alias("page_id"))
+    u = jobs.unique_visitor_detail(_log_outputs(spark, sf)["page"], arrival=["event_id"])
+    return u.select("mid", "ts", _at("$.page.page_id").alias("page_id"))
 
 
 def page_user_jump(spark: SparkSession, sf: str) -> DataFrame:
     """Job 4 on the page log produced by job 2."""
-    page = _log_outputs(spark, sf)["page"]
-    j = jobs.user_jump_detail(page, within_ms=USER_JUMP_WITHIN_MS)
-    return j.select(F.col("common")["mid"].alias("mid"), "ts")
+    j = jobs.user_jump_detail(_log_outputs(spark, sf)["page"], within_ms=USER_JUMP_WITHIN_MS, arrival=["event_id"])
+    return j.select("mid", "ts")
+
+
+def visitor_repair_ties(spark: SparkSession, sf: str) -> DataFrame:
+    """O2 where many records of a visitor share a millisecond: arrival decides."""
+    clean, _ = traffic.keyed_log(T.open_log_lines(spark, sf, minute_ties=True), keep=["event_id"])
+    return traffic.repair_new_visitor(clean, order=["ts", "event_id"]).select("event_id", "mid", "ts", "is_new")
+
+
+def page_user_jump_ties(spark: SparkSession, sf: str) -> DataFrame:
+    """O4 where many records of a visitor share a millisecond: arrival decides."""
+    page = jobs.base_log(T.open_log_lines(spark, sf, minute_ties=True), arrival=["event_id"])["page"]
+    return jobs.user_jump_detail(page, within_ms=USER_JUMP_WITHIN_MS, arrival=["event_id"]).select("event_id", "mid", "ts")
 
 
 # ------------------------------------------------------------- parsing
@@ -157,7 +175,8 @@ def time_formats(spark: SparkSession, sf: str) -> DataFrame:
 
 # --------------------------------------------------------------- trade
 def _env(spark, sf, tables):
-    return T.topic_db(spark, sf, tables)
+    """The change-log from its text lines (bad and control lines among them), parsed once."""
+    return trade.land_changes(T.topic_db_lines(spark, sf, tables))[0]
 
 
 def cart_add(spark: SparkSession, sf: str) -> DataFrame:
@@ -168,29 +187,63 @@ def cart_add(spark: SparkSession, sf: str) -> DataFrame:
 _PRE_TABLES = ("order_detail", "order_info", "order_detail_activity", "order_detail_coupon")
 
 
-def _pre(spark, sf, tables=_PRE_TABLES):
-    env = _env(spark, sf, tables)
-    return env, trade.order_pre_process(env, T.base_dic(spark), _fixed_clock())
+def _pre(spark, sf):
+    return trade.order_pre_process(_env(spark, sf, _PRE_TABLES), T.base_dic(spark), _fixed_clock())
 
 
 def order_pre_process(spark: SparkSession, sf: str) -> DataFrame:
-    _, pre = _pre(spark, sf)
-    return pre.drop("pt", "row_op_ts").withColumn("old", map_json(F.col("old")))
+    return _pre(spark, sf).drop("pt", "row_op_ts").withColumn("old", map_json(F.col("old")))
 
 
 def order_detail(spark: SparkSession, sf: str) -> DataFrame:
-    _, pre = _pre(spark, sf)
-    return trade.order_detail(pre).drop("pt", "row_op_ts")
+    return trade.order_detail(_pre(spark, sf)).drop("pt", "row_op_ts")
 
 
 def cancel_detail(spark: SparkSession, sf: str) -> DataFrame:
-    _, pre = _pre(spark, sf)
-    return trade.cancel_detail(pre).drop("pt", "row_op_ts")
+    return trade.cancel_detail(_pre(spark, sf)).drop("pt", "row_op_ts")
 
 
 def pay_detail(spark: SparkSession, sf: str) -> DataFrame:
-    env, pre = _pre(spark, sf, _PRE_TABLES + ("payment_info",))
-    return trade.pay_detail(env, trade.order_detail(pre), T.base_dic(spark)).drop("pt", "row_op_ts")
+    env, dic = _env(spark, sf, _PRE_TABLES + ("payment_info",)), T.base_dic(spark)
+    paid = trade.payments(env).select("pi_order_id")
+    pre = trade.order_pre_process(env, dic, _fixed_clock(), orders=paid)
+    return trade.pay_detail(env, trade.order_detail(pre), dic).drop("pt", "row_op_ts")
+
+
+def order_current(spark: SparkSession, sf: str) -> DataFrame:
+    """K3 + S6 + K7: job 6 through a keyed topic; the last version of each detail."""
+    path = f"{checkpoint_root(spark)}/topics/order-{uuid.uuid4().hex}"
+    write_keyed(_pre(spark, sf), path, ["id"], order=F.col("oi_ts"), batch_id=0)
+    cur = upsert.latest(read_keyed_topic(spark, path), ["key"], ["batch_id", "offset"])
+    return cur.select(F.get_json_object("key", "$.id").alias("id"), _at("$.type").alias("type"),
+                      _at("$.order_status").alias("order_status"), F.col("offset").alias("oi_ts"))
+
+
+def config_fold(spark: SparkSession, sf: str) -> DataFrame:
+    """S5 + O8: the config feed from JSON text; changes of one millisecond in order of arrival."""
+    feed, _ = split_clean_dirty(T.config_lines(spark, sf), CONFIG_CHANGE_SCHEMA, keep=("seq",))
+    live, _ = upsert.fold_config(feed, seq_col="seq")
+    return live.select("source_table", "sink_table", "sink_columns", "sink_pk")
+
+
+def dictionary_file(spark: SparkSession, sf: str) -> DataFrame:
+    """S4 + J4: a dictionary read from a file (``nation``), joined to ``customer``; D6 on its names."""
+    dic = spark.read.format("parquet").load(f"{sf.rstrip('/')}/nation.parquet").select(
+        F.col("n_nationkey").cast("string").alias("dic_code"), F.col("n_name").alias("dic_name"))
+    c = T.table(spark, sf, "customer", ["c_custkey", "c_nationkey", "c_mktsegment"])
+    j = joins.lookup_join(c.withColumn("code", F.col("c_nationkey").cast("string")), dic, "code", "dic_code")
+    return j.select("c_custkey", "dic_name", join_list(F.array("dic_name", "c_mktsegment")).alias("joined"),
+                    F.size(split_list(join_list(F.array("dic_name", "c_mktsegment")))).alias("parts"))
+
+
+def order_within_bound(spark: SparkSession, sf: str) -> DataFrame:
+    """O6 in batch form: details joined with order versions at most 30 days off."""
+    li = T.table(spark, sf, "lineitem", T.LINEITEM_COLS)
+    o = T.table(spark, sf, "orders", T.ORDERS_COLS)
+    od = li.select(T.detail_id().alias("id"), F.col("l_orderkey").alias("lk"), ntz_to_millis(F.col("l_shipdate")).alias("lts"))
+    oi = o.select(F.col("o_orderkey").alias("rk"), F.col("o_orderstatus").alias("status"), ntz_to_millis(F.col("o_orderdate")).alias("rts"))
+    j = joins.interval_join(od, oi, "lk", "rk", "lts", "rts", -BOUND_MS, BOUND_MS)
+    return j.select("id", "status", F.col("rts").alias("order_ts"))
 
 
 # --------------------------------------------------------------- joins
@@ -233,7 +286,7 @@ DIM_COLUMNS = ["name", "nation_id", "acctbal", "brand", "size"]
 
 def dim_sync(spark: SparkSession, sf: str) -> DataFrame:
     env = T.dimension_changes(spark, sf)
-    out = jobs.dim_sync_wide(env, T.config_feed(spark), DIM_COLUMNS)
+    out = jobs.dim_sync_wide(env, T.config_feed(spark), DIM_COLUMNS, ["ts"])
     return out.select("sink_table", "id", *DIM_COLUMNS)
 
 
@@ -263,4 +316,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "interval_left_join": interval_left_join,
     "upsert_latest": upsert_latest,
     "dim_sync": dim_sync,
+    **{f"log_topic_{name}": _log_topic(name) for name in ("start", "error", "action", "display", "page")},
+    "visitor_repair_ties": visitor_repair_ties,
+    "page_user_jump_ties": page_user_jump_ties,
+    "order_current": order_current,
+    "config_fold": config_fold,
+    "dictionary_file": dictionary_file,
+    "order_within_bound": order_within_bound,
 }

@@ -1,14 +1,15 @@
 """Session construction and shared-folder helpers.
 
-On a cluster the session already exists; :func:`tune` only adds settings
-that are unset, so cluster-level choices win.  Tests and the bench build
-a local session through :func:`build_session`.
+On a cluster the session already exists.  Tests and the bench build a local
+session through :func:`build_session`.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -46,8 +47,8 @@ def build_session(master: str | None = None, app_name: str = "martflow",
                   extra: dict | None = None) -> SparkSession:
     """Local/test session with the warehouse defaults.
 
-    ``spark.checkpoint.dir`` is set to a fresh scratch folder only when the
-    caller did not name one (tests); a cluster names its shared folder.
+    A local session that names no ``spark.checkpoint.dir`` gets a scratch
+    folder when one is first needed; a cluster names its shared folder.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -57,8 +58,6 @@ def build_session(master: str | None = None, app_name: str = "martflow",
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
-    if "spark.checkpoint.dir" not in conf:
-        conf["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="martflow-ckpt-")
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -66,19 +65,6 @@ def build_session(master: str | None = None, app_name: str = "martflow",
     return spark
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply :data:`DEFAULTS` for runtime-settable keys that are still unset."""
-    for k, v in DEFAULTS.items():
-        if k.startswith("spark.ui") or k.endswith("providerClass"):
-            continue
-        try:
-            if spark.conf.get(k, None) is None:
-                spark.conf.set(k, v)
-        except Exception:  # static conf on a running session
-            pass
-    return spark
-
-
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and materialised intermediate tables.
 
@@ -90,7 +76,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        if not sc.master.startswith("local"):
+        if not re.match(r"local(\[|$)", sc.master):
             raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder")
         d = tempfile.mkdtemp(prefix="martflow-ckpt-")
     if sc.getCheckpointDir() is None:
@@ -98,13 +84,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     return (sc.getCheckpointDir() or d).rstrip("/")
 
 
-def cut_lineage(df):
-    """Materialise ``df`` in the shared checkpoint folder and continue from it.
-
-    Used where one expensive result feeds several branches (a parse read by
-    an aggregate and a join, a job output read by several consumers): the
-    work runs once, and a lost executor no longer forces recomputing the
-    whole lineage.
-    """
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def land(df, name: str, partition_by: tuple[str, ...] = ()):
+    """Write ``df`` once as a parquet table in the shared folder and return the
+    table read back: for results that several views read.  A lost executor then costs a
+    re-read of files, not the lineage that led to them."""
+    spark, schema = df.sparkSession, df.schema
+    path = f"{checkpoint_root(spark)}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.partitionBy(*partition_by).parquet(path)
+    back = spark.read.schema(schema).parquet(path)
+    return back.select(*[c for c in df.columns])

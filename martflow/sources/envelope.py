@@ -2,8 +2,8 @@
 
 * ``topic_db``  change-log envelope: fixed outer schema, open ``data``/``old``
   maps (numbers inside become text).
-* ``topic_log`` behaviour log: ``common``/``page`` are open maps, ``start`` and
-  ``err`` are kept as raw JSON text, ``actions``/``displays`` arrays of maps.
+* ``topic_log`` behaviour log: open records, see ``operators/traffic.keyed_log``;
+  :data:`LOG_SCHEMA` is what the page jobs read of them.
 * config change feed (Debezium style ``before/after/op/ts_ms``).
 
 Parsing never drops a record silently: :func:`split_clean_dirty` returns the
@@ -32,11 +32,7 @@ ENVELOPE_SCHEMA = T.StructType([
 
 LOG_SCHEMA = T.StructType([
     T.StructField("common", MAP_SS),
-    T.StructField("start", S),
     T.StructField("page", MAP_SS),
-    T.StructField("err", S),
-    T.StructField("actions", T.ArrayType(MAP_SS)),
-    T.StructField("displays", T.ArrayType(MAP_SS)),
     T.StructField("ts", T.LongType()),
 ])
 
@@ -88,22 +84,17 @@ def split_clean_dirty(raw: DataFrame, schema: T.StructType, value: str = "value"
     return clean, dirty
 
 
-def parse_strict(raw: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
+def parse_strict(raw: DataFrame, schema: T.StructType, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """Parse with no dirty output; malformed text fails the job."""
-    return raw.select(F.from_json(F.col(value), schema, {"mode": "FAILFAST"}).alias("_r")) \
-        .select("_r.*")
+    return raw.select(*keep, F.from_json(F.col(value), schema, {"mode": "FAILFAST"}).alias("_r")) \
+        .select(*keep, "_r.*")
 
 
-def parse_envelope(raw: DataFrame, value: str = "value", route_control: bool = True):
+def parse_envelope(raw: DataFrame, value: str = "value", route_control: bool = True, keep: tuple[str, ...] = ()):
     """S3: ``topic_db`` text -> (envelope rows, dirty rows)."""
-    return split_clean_dirty(raw, ENVELOPE_SCHEMA, value, route_control=route_control)
+    return split_clean_dirty(raw, ENVELOPE_SCHEMA, value, route_control=route_control, keep=keep)
 
 
-def parse_log(raw: DataFrame, value: str = "value"):
-    """``topic_log`` text -> (log rows, dirty rows)."""
-    return split_clean_dirty(raw, LOG_SCHEMA, value)
-
-
-def parse_config_feed(raw: DataFrame, value: str = "value"):
+def parse_config_feed(raw: DataFrame, value: str = "value", keep: tuple[str, ...] = ()):
     """Config change feed text -> (change rows, dirty rows)."""
-    return split_clean_dirty(raw, CONFIG_CHANGE_SCHEMA, value)
+    return split_clean_dirty(raw, CONFIG_CHANGE_SCHEMA, value, keep=keep)

@@ -20,52 +20,17 @@ change-log (``topic_db``)
 
 from __future__ import annotations
 
-import os
-
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from martflow.functions.timefmt import ntz_to_millis
-from martflow.operators.sequence import bucketed_lag
 
 DATABASE = "shop"  # database name carried by the adapted change records
 
 
-_TABLES: dict = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str, cols: list[str] | None = None) -> DataFrame:
-    """Read one given table, only the named columns (pruned at the scan).
-
-    The DataFrame is built once per session, table and column list, so the
-    split check below runs once and queries share a balanced small input.
-    """
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"), name,
-           tuple(cols or ()))
-    if key not in _TABLES:
-        df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-        _TABLES[key] = balanced(df.select(*cols) if cols else df)
-    return _TABLES[key]
-
-
-def balanced(df: DataFrame) -> DataFrame:
-    """Spread a scan that yields fewer splits than task slots over all slots.
-
-    Only a *small* input has fewer splits than slots (one file, one row
-    group); it is spread round-robin and kept in memory, which also stops
-    the optimizer from pushing expensive filters back into the single scan
-    task.  At warehouse scale a scan has thousands of splits and this is a
-    no-op.
-    """
-    if os.environ.get("MARTFLOW_BALANCE_SMALL", "1") == "0":
-        return df
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= slots:
-            return df
-    except Exception:  # no RDD access (e.g. a remote session): leave the scan as is
-        return df
-    return df.repartition(slots).persist(StorageLevel.MEMORY_AND_DISK)
+    """Read one given table, only the named columns (pruned at the scan)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return df.select(*cols) if cols else df
 
 
 def _dec2(c) -> F.Column:
@@ -131,6 +96,39 @@ def log_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("event_id", F.to_json(rec).alias("value"))
 
 
+def open_log_lines(spark: SparkSession, sf_dir: str, minute_ties: bool = False) -> DataFrame:
+    """``events`` as ``topic_log`` lines that go beyond any fixed schema (+ event_id).
+
+    Each line holds a number inside ``page``, a nested object in ``common``, a
+    top-level field that no job reads (``extra``) and, for clicks, an element
+    with a ``ts`` of its own.  signup -> start log, other types -> page log.
+    With ``minute_ties`` times are cut to the hour, so that many lines of a
+    visitor share a millisecond and only their arrival tells them apart.
+    """
+    e = table(spark, sf_dir, "events")
+    if minute_ties:
+        e = e.withColumn("ts", F.date_trunc("hour", "ts"))
+    k = F.from_json(F.col("props"), "k BIGINT")["k"]
+    et = F.col("event_type")
+    common = F.struct(_text(F.col("user_id")).alias("mid"),
+                      F.when(et == "signup", "1").otherwise("0").alias("is_new"),
+                      F.struct(F.lit("web").alias("ch"), k.alias("area")).alias("device"))
+    page = F.when(et != "signup", F.struct(
+        et.alias("page_id"), F.when(et != "view", F.lit("home")).alias("last_page_id"),
+        k.alias("during_time")))
+    start = F.when(et == "signup", F.struct(F.lit("icon").alias("entry"), k.alias("loading_time")))
+    err = F.when(et == "error", F.struct(k.alias("error_code"), F.lit("app crash").alias("msg")))
+    actions = F.when(et == "click", F.array(
+        F.struct(F.lit("click").alias("action_id"), k.alias("item"), F.lit(1).alias("ts")),
+        F.struct(F.lit("favor_add").alias("action_id"), (k + 1).alias("item"), F.lit(2).alias("ts"))))
+    displays = F.when(et.isin("purchase", "view"), F.array(F.struct(k.alias("item"), F.lit(1).alias("order"))))
+    rec = F.struct(common.alias("common"), start.alias("start"), page.alias("page"), err.alias("err"),
+                   actions.alias("actions"), displays.alias("displays"),
+                   F.struct(F.array(F.lit(1), k).alias("v")).alias("extra"),
+                   ntz_to_millis(F.col("ts")).alias("ts"))
+    return e.select("event_id", F.to_json(rec).alias("value"))
+
+
 def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text records with dirty rows, built from ``events.props`` (P1/P2 input).
 
@@ -253,14 +251,11 @@ def payment_changes(orders: DataFrame) -> DataFrame:
 
 
 def cart_changes(li: DataFrame) -> DataFrame:
-    # Versions of one cart row, in (shipdate, partkey, suppkey) order: the
-    # previous quantity comes from a bucketed lag (30-day buckets of the
-    # ship date), so a cart row with very many versions is spread out.
-    days = F.floor(F.timestamp_diff("DAY", F.lit("1970-01-01").cast("timestamp_ntz"),
-                                    F.col("l_shipdate")) / F.lit(30)).cast("bigint")
-    v = bucketed_lag(li, ["l_orderkey", "l_linenumber"], ["l_shipdate", "l_partkey", "l_suppkey"],
-                     days, "l_quantity", "__prev", has_prev="__has_prev")
-    first = ~F.col("__has_prev")
+    # A cart row has a handful of versions, so one window per cart row will do;
+    # operators/sequence.bucketed_lag is the form for keys of any length.
+    w = Window.partitionBy("l_orderkey", "l_linenumber").orderBy("l_shipdate", "l_partkey", "l_suppkey")
+    v = li.withColumns({"__prev": F.lag("l_quantity").over(w), "__n": F.row_number().over(w)})
+    first = F.col("__n") == 1
     data = _m(("id", F.concat_ws("-", _text(F.col("l_orderkey")), _text(F.col("l_linenumber")))),
               ("user_id", _text(F.col("l_orderkey"))), ("sku_id", _text(F.col("l_partkey"))),
               ("cart_price", _text(_dec2(F.col("l_extendedprice")))),
@@ -335,6 +330,33 @@ def topic_db(spark: SparkSession, sf_dir: str, tables=TRADE_TABLES) -> DataFrame
     return out
 
 
+def topic_db_lines(spark: SparkSession, sf_dir: str, tables=TRADE_TABLES) -> DataFrame:
+    """The change-log as JSON lines, with bad and control lines mixed in: for
+    each F order a cut-off line, for each P order a bootstrap start line."""
+    env = topic_db(spark, sf_dir, tables)
+    lines = env.select(F.to_json(F.struct("database", "table", "type", "ts", "data", "old")).alias("value"))
+    o = table(spark, sf_dir, "orders", ["o_orderkey", "o_orderstatus"]).filter(F.col("o_orderstatus").isin("F", "P"))
+    control = F.format_string('{"database":"%s","table":"order_info","type":"bootstrap-start","ts":%d,"data":{}}',
+                              F.lit(DATABASE), F.col("o_orderkey"))
+    cut = F.format_string('{"table":"order_info","type":"insert","data":{"id":"%d"', F.col("o_orderkey"))
+    return lines.unionByName(o.select(F.when(F.col("o_orderstatus") == "P", control).otherwise(cut).alias("value")))
+
+
+def config_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dimension config feed as JSON lines (``seq`` = arrival), for every
+    name in ``region``: created without columns, then fixed in the same
+    millisecond, and for every second one deleted again."""
+    r = table(spark, sf_dir, "region")
+    row = lambda cols: F.struct(F.lower(F.col("r_name")).alias("source_table"),
+                                F.concat(F.lit("dim_"), F.lower(F.col("r_name"))).alias("sink_table"),
+                                cols.alias("sink_columns"), F.lit("id").alias("sink_pk"))
+    some = lambda n, op, cols, side: r.filter((F.col("r_regionkey") % 2 == 0) | F.lit(op != "d")).select(
+        (F.col("r_regionkey") * 10 + n).cast("bigint").alias("seq"),
+        F.to_json(F.struct(row(cols).alias(side), F.lit(op).alias("op"), F.lit(1000).alias("ts_ms"))).alias("value"))
+    return (some(0, "c", F.lit(None).cast("string"), "after").unionByName(some(1, "u", F.lit("id,name"), "after"))
+            .unionByName(some(2, "d", F.lit("id,name"), "before")))
+
+
 # ------------------------------------------------------- small code tables
 # The dictionary (base_dic) -- source types and payment types.
 BASE_DIC_ROWS = [
@@ -349,10 +371,7 @@ BASE_DIC_SCHEMA = ("dic_code string, dic_name string, parent_code string, "
 
 
 def base_dic(spark: SparkSession) -> DataFrame:
-    key = (id(spark), spark.sparkContext.applicationId, "base_dic")
-    if key not in _TABLES:
-        _TABLES[key] = spark.createDataFrame(BASE_DIC_ROWS, BASE_DIC_SCHEMA)
-    return _TABLES[key]
+    return spark.createDataFrame(BASE_DIC_ROWS, BASE_DIC_SCHEMA)
 
 
 # The dimension config feed (table_process change records).

@@ -12,37 +12,47 @@ Checkpoints live under the shared ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from martflow.functions.timefmt import previous_day_str, to_date_str
 from martflow.operators import trade, traffic, upsert
 from martflow.operators.joins import stream_interval_join
 from martflow.session import checkpoint_root
-from martflow.sinks.topics import write_append, write_keyed
-from martflow.sources.envelope import parse_envelope, parse_log
-from martflow.sources.topics import read_topic
-from martflow.streaming.processors import (FirstVisitProcessor, UniqueVisitorProcessor,
-                                           UserJumpProcessor)
+from martflow.sinks.topics import fan_out, write_append, write_keyed
+from martflow.sources.envelope import LOG_SCHEMA, parse_config_feed, parse_envelope, parse_strict
+from martflow.sources.topics import ARRIVAL, read_topic
+from martflow.streaming.processors import BEFORE, VISIT, FirstVisitProcessor, UniqueVisitorProcessor, UserJumpProcessor
 
 
 def _ckpt(spark: SparkSession, name: str, checkpoint: str | None) -> str:
     return checkpoint or f"{checkpoint_root(spark)}/streams/{name}"
 
 
+def _order(ts: str, seq: str | Sequence[str] | None, by_arrival: bool) -> list[str]:
+    """Order of a key's rows inside a micro-batch: event time then arrival, or arrival alone."""
+    arrival = [seq] if isinstance(seq, str) else list(seq or ())
+    return arrival if by_arrival and arrival else [ts, *arrival]
+
+
+def _dated(df: DataFrame, ts: str, tz: str) -> DataFrame:
+    return df.withColumns({VISIT: to_date_str(F.col(ts), tz), BEFORE: previous_day_str(F.col(ts), tz)})
+
+
 # ------------------------------------------------------------ traffic
 def visitor_repair_stream(df: DataFrame, key: str, ts: str = "ts", is_new: str = "is_new",
-                          seq: str | None = None, tz: str = "UTC",
+                          seq: str | Sequence[str] | None = None, tz: str = "UTC",
                           by_arrival: bool = False) -> DataFrame:
     """O2 on a stream: keyed first-visit state that never expires.  Rows of a
     key inside a micro-batch are taken in (ts, seq) order, or in ``seq``
-    order alone with ``by_arrival``."""
-    return df.groupBy(key).transformWithState(
-        FirstVisitProcessor(ts, is_new, seq, tz, by_arrival), df.schema, "Append", "None")
+    order alone with ``by_arrival``.  Null keys must be filtered out first."""
+    return _dated(df, ts, tz).groupBy(key).transformWithStateInPandas(
+        FirstVisitProcessor(_order(ts, seq, by_arrival), is_new, df.columns), df.schema, "Append", "None")
 
 
-def unique_visitor_stream(df: DataFrame, key: str, ts: str = "ts", seq: str | None = None,
+def unique_visitor_stream(df: DataFrame, key: str, ts: str = "ts", seq: str | Sequence[str] | None = None,
                           tz: str = "UTC", ttl_ms: int | None = 86_400_000,
                           by_arrival: bool = False) -> DataFrame:
     """O3/O5 on a stream: last-date state with a processing-time TTL.
@@ -51,54 +61,53 @@ def unique_visitor_stream(df: DataFrame, key: str, ts: str = "ts", seq: str | No
     ``availableNow`` trigger does not end on its own: run it with a
     processing-time trigger, or pass ``ttl_ms=None`` for a bounded replay.
     """
-    return df.groupBy(key).transformWithState(
-        UniqueVisitorProcessor(ts, seq, tz, ttl_ms, by_arrival), df.schema, "Append",
-        "ProcessingTime")
+    return _dated(df, ts, tz).groupBy(key).transformWithStateInPandas(
+        UniqueVisitorProcessor(_order(ts, seq, by_arrival), df.columns, ttl_ms), df.schema, "Append", "ProcessingTime")
 
 
-def user_jump_stream(df: DataFrame, key: str, ts: str = "ts", seq: str = "seq",
+def user_jump_stream(df: DataFrame, key: str, ts: str = "ts", seq: str | Sequence[str] = "seq",
                      is_entry: str = "is_entry", within_ms: int = traffic.BOUNCE_WITHIN_MS,
                      delay: str = "2 seconds") -> DataFrame:
     """O4/W1/W3 on a stream: watermark ``delay`` on the event time, entries
-    judged when the watermark passes ``ts + within``."""
-    w = df.withColumn("event_time", F.timestamp_millis(F.col(ts))) \
-        .withWatermark("event_time", delay)
-    return w.groupBy(key).transformWithState(
-        UserJumpProcessor(w.schema, ts, seq, is_entry, within_ms), w.schema, "Append",
-        "EventTime")
+    judged when the watermark passes ``ts + within``; rows are freed then, too."""
+    w = df.withColumn("event_time", F.timestamp_millis(F.col(ts))).withWatermark("event_time", delay)
+    return w.groupBy(key).transformWithStateInPandas(
+        UserJumpProcessor(df.schema, _order(ts, seq, False), ts, is_entry, within_ms), df.schema, "Append", "EventTime")
 
 
 def base_log_stream(spark: SparkSession, log_topic: str, out_root: str, *, fmt: str = "file",
+                    options: dict | None = None, out_fmt: str = "file", out_options: dict | None = None,
                     tz: str = "UTC", checkpoint: str | None = None, trigger: dict | None = None):
     """Job 2 as a stream: parse -> O2 state per mid -> split and fan out (K6).
 
+    ``options`` go to the reader, ``out_options`` to the writers; with ``out_fmt='kafka'`` the topics are
+    ``page``, ``start``, ``action``, ``display``, ``error`` and ``dirty``.  Records without ``mid`` or ``ts`` go to dirty.
     Returns the two started queries ``(main, dirty)``.
     """
-    raw = read_topic(spark, log_topic, fmt=fmt, stream=True)
-    clean, dirty = parse_log(raw)
-    keyed = clean.filter(F.col("common")["mid"].isNotNull()) \
-        .withColumn("mid", F.col("common")["mid"]) \
-        .withColumn("is_new_fixed", F.col("common")["is_new"])
-    repaired = visitor_repair_stream(keyed, "mid", "ts", "is_new_fixed", tz=tz)
+    raw = read_topic(spark, log_topic, fmt=fmt, stream=True, options=options, arrival=True)
+    clean, dirty = traffic.keyed_log(raw, keep=ARRIVAL)
+    repaired = visitor_repair_stream(clean, "mid", "ts", "is_new", seq=ARRIVAL, tz=tz)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        fixed = F.when(F.col("is_new_fixed").isNotNull(), traffic.set_common_field(
-            "common", "is_new", F.col("is_new_fixed"))).otherwise(F.col("common"))
-        recs = batch.withColumn("common", fixed).drop("mid", "is_new_fixed") \
-            .persist(StorageLevel.MEMORY_AND_DISK)
-        for name, df in traffic.split_log(recs).items():
-            write_append(df, f"{out_root}/{name}", batch_id=batch_id)
-        recs.unpersist()
+        records = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        fan_out(traffic.split_open_log(records), out_root, batch_id=batch_id, fmt=out_fmt, options=out_options)
+        records.unpersist()
 
     ck = _ckpt(spark, "base_log", checkpoint)
     t = trigger or {"availableNow": True}
     main = repaired.writeStream.foreachBatch(sink).option("checkpointLocation", f"{ck}/main") \
         .trigger(**t).start()
-    bad = dirty.writeStream.format("text").option("path", f"{out_root}/dirty") \
-        .option("checkpointLocation", f"{ck}/dirty").trigger(**t).start()
+    bad = _text_sink(dirty, f"{out_root}/dirty" if out_fmt == "file" else "dirty", out_fmt, out_options, f"{ck}/dirty", t)
     return main, bad
 
 
+def _text_sink(df: DataFrame, topic: str, fmt: str, options: dict | None, checkpoint: str, trigger: dict):
+    """Append the texts of a stream to a topic, a folder for each micro-batch."""
+    return df.select("value").writeStream.foreachBatch(
+        lambda batch, batch_id: write_append(batch, topic, fmt=fmt, batch_id=batch_id, options=options, serialise=False)) \
+        .option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
 # --------------------------------------------------------------- joins
 def interval_join_stream(left: DataFrame, right: DataFrame, key_l: str, key_r: str,
                          ts_l: str, ts_r: str, lower_ms: int, upper_ms: int,
@@ -118,6 +127,8 @@ def order_pre_process_stream(env: DataFrame, retention_s: int = 905,
     The idle retention of the source system becomes an event-time bound:
     an order version joins a detail only within ``retention_s`` of it, and
     activity/coupon rows within ``side_retention_s`` (default: the same).
+    Counted from the detail's change time: an order version later than the bound is lost, so choose
+    ``retention_s`` by how late a cancellation may come (the default is the source system's idle time).
     All sides are watermarked on the change time so Spark can drop join
     state; a detail without activity/coupon is emitted (with nulls) once the
     watermark passes its time plus the bound.
@@ -171,121 +182,144 @@ def with_dictionary(pre: DataFrame, base_dic: DataFrame, now: Column | None = No
 def lookup_stream(spark: SparkSession, env_stream: DataFrame,
                   build: Callable[[DataFrame, DataFrame], DataFrame],
                   load_dictionary: Callable[[], DataFrame], out: str, *,
-                  keyed: list[str] | None = None, checkpoint: str | None = None,
+                  keyed: list[str] | None = None, order: Column | None = None,
+                  fmt: str = "file", options: dict | None = None, checkpoint: str | None = None,
                   name: str = "lookup", trigger: dict | None = None):
     """Run ``build(batch, dictionary)`` per micro-batch with the dictionary
     *re-read for each batch* (J4: the dictionary as of processing time).
 
     Output is an append topic, or a keyed topic (K3) when ``keyed`` names
-    the key columns.
+    the key columns and ``order`` the order of a key's versions.
     """
     def sink(batch: DataFrame, batch_id: int) -> None:
         res = build(batch, load_dictionary())
         if keyed:
-            write_keyed(res, out, keyed, batch_id=batch_id)
+            write_keyed(res, out, keyed, order=order, batch_id=batch_id, fmt=fmt, options=options)
         else:
-            write_append(res, out, batch_id=batch_id)
+            write_append(res, out, batch_id=batch_id, fmt=fmt, options=options)
 
     return env_stream.writeStream.foreachBatch(sink) \
         .option("checkpointLocation", _ckpt(spark, name, checkpoint)) \
         .trigger(**(trigger or {"availableNow": True})).start()
 
 
-def dimension_version(root: str, table_name: str) -> str:
-    return f"{root}/{table_name}"
+COMMIT_SCHEMA = "sink_table string, version bigint, query_id string, batch_id bigint"
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def read_dimension(spark: SparkSession, root: str, table_name: str,
-                   before: int | None = None) -> DataFrame | None:
-    """Current content of a dimension table: its newest version (older than
-    ``before`` when given, so a retried batch never reads its own output)."""
-    path = dimension_version(root, table_name)
-    try:
-        versions = spark.read.parquet(path)
-    except Exception:  # no version yet
-        return None
-    if before is not None:
-        versions = versions.filter(F.col("version") < before)
-    latest = versions.agg(F.max("version")).first()[0]
-    if latest is None:
-        return None
-    return versions.filter(F.col("version") == latest).drop("version")
+def _commits(spark: SparkSession, root: str) -> DataFrame:
+    """The versions that were written whole: one row for each, with the query and micro-batch that wrote it."""
+    path = f"{root}/_commits"
+    if not _exists(spark, path):
+        return spark.createDataFrame([], COMMIT_SCHEMA)
+    return spark.read.schema(COMMIT_SCHEMA).parquet(path)
+
+
+def read_dimension(spark: SparkSession, root: str, table_name: str) -> DataFrame | None:
+    """Current content of a dimension table: its newest committed version; None if it has none.
+    Any error of the storage fails the call, it never reads as "no version yet"."""
+    last = _commits(spark, root).filter(F.col("sink_table") == table_name).agg(F.max("version")).first()[0]
+    return None if last is None else spark.read.parquet(f"{root}/{table_name}/version={last}").drop("version")
 
 
 def upsert_dimensions(spark: SparkSession, batch_env: DataFrame, config: DataFrame,
-                      root: str, batch_id: int, *, drop_deletes: bool = False) -> dict[str, int]:
+                      root: str, batch_id: int, *, query_id: str = "batch", order_cols: Sequence[str] = ("ts",),
+                      drop_deletes: bool = False) -> dict[str, int]:
     """K4/K5/O7 for one micro-batch: route the batch by the config (J6, F8),
-    merge each dimension's changes column-wise into its current version and
-    write the result as version ``batch_id`` (a retry overwrites the same
-    version).  Returns rows written per table.
+    merge each touched dimension's changes column-wise into its current version and
+    write the result as its next version.  A dimension that has no version yet gets an
+    empty one (K5).  Versions have a counter of their own, so a new stream checkpoint goes on from the last;
+    the commit log names the query and micro-batch, so a retry finds its version done.
+    ``order_cols`` order the changes of a key, arrival last.  The version before the last stays for readers,
+    older ones are deleted.  Returns the version written per table.
     """
-    routed = upsert.route_dimensions(batch_env, config, drop_deletes=drop_deletes) \
-        .withColumn("__seq", F.struct(F.lit(batch_id).cast("bigint").alias("b"),
-                                      F.col("ts").alias("t")))
+    commits = _commits(spark, root).groupBy("sink_table").agg(
+        F.max("version").alias("version"),
+        F.max(F.when((F.col("query_id") == query_id) & (F.col("batch_id") == batch_id), F.col("version"))).alias("own"))
+    done = {r["sink_table"]: (r["version"], r["own"]) for r in commits.limit(2 * upsert.MOST_DIMENSIONS).collect()}
+    routed = upsert.route_dimensions(batch_env, config, drop_deletes=drop_deletes).persist(StorageLevel.MEMORY_AND_DISK)
+    touched = {r[0] for r in routed.select("sink_table").distinct().limit(upsert.MOST_DIMENSIONS).collect()}
     written = {}
-    for row in config.select("sink_table", "sink_columns", "sink_pk").collect():
-        cols = row["sink_columns"].split(",")
-        upsert.dimension_schema(row["sink_columns"], row["sink_pk"])  # K5 check
-        pk = row["sink_pk"]
-        new = routed.filter(F.col("sink_table") == row["sink_table"]).select("pk", "data", "__seq")
-        cur = read_dimension(spark, root, row["sink_table"], before=batch_id)
-        if cur is not None:
-            as_changes = cur.select(
-                F.col(pk).alias("pk"),
-                F.map_from_arrays(F.array(*[F.lit(c) for c in cols]),
-                                  F.array(*[F.col(c) for c in cols])).alias("data"),
-                F.struct(F.lit(-1).cast("bigint").alias("b"), F.lit(0).cast("bigint").alias("t"))
-                .alias("__seq"))
-            # Columns that were never written are null in the table; drop them
-            # so a later partial change does not lose to a stored null.
-            as_changes = as_changes.withColumn(
-                "data", F.map_filter("data", lambda k, v: v.isNotNull()))
-            new = as_changes.unionByName(new)
-        merged = upsert.merge_columns(new, ["pk"], "data", [c for c in cols if c != pk], ["__seq"])
-        out = merged.select(*[(F.col("pk") if c == pk else F.col(c)).alias(c) for c in cols]) \
-            .withColumn("version", F.lit(batch_id).cast("bigint"))
-        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-            .partitionBy("version").parquet(dimension_version(root, row["sink_table"]))
-        written[row["sink_table"]] = batch_id
+    for row in upsert.config_rows(config):
+        name, pk, cols = row["sink_table"], row["sink_pk"], row["sink_columns"].split(",")
+        schema = upsert.dimension_schema(row["sink_columns"], pk)
+        last, own = done.get(name, (None, None))
+        if own is not None or last is not None and name not in touched:
+            continue
+        version = 0 if last is None else last + 1
+        out = spark.createDataFrame([], schema)
+        if name in touched:
+            order = lambda new, *rest: F.struct(F.lit(new).alias("new"), *rest).alias("__seq")
+            given = [F.col(c).alias(f"o{i}") for i, c in enumerate(order_cols)]
+            new = routed.filter(F.col("sink_table") == name).select("pk", "data", order(1, *given))
+            cur = read_dimension(spark, root, name)
+            if cur is not None:
+                have = [c for c in cols if c in cur.columns]  # a column added to the config starts as null
+                none = [F.lit(None).cast(batch_env.schema[c].dataType).alias(f"o{i}") for i, c in enumerate(order_cols)]
+                as_changes = cur.select(F.col(pk).alias("pk"), F.map_filter(  # never-written columns are null: leave them out
+                    F.map_from_arrays(F.array(*[F.lit(c) for c in have]), F.array(*[F.col(c) for c in have])),
+                    lambda k, v: v.isNotNull()).alias("data"), order(0, *none))
+                new = as_changes.unionByName(new)
+            merged = upsert.merge_columns(new, ["pk"], "data", [c for c in cols if c != pk], ["__seq"])
+            out = merged.select(*[(F.col("pk") if c == pk else F.col(c)).alias(c) for c in cols])
+        out.write.mode("overwrite").parquet(f"{root}/{name}/version={version}")
+        spark.createDataFrame([(name, version, query_id, batch_id)], COMMIT_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/_commits")
+        if version > 1:
+            _delete(spark, f"{root}/{name}/version={version - 2}")
+        written[name] = version
+    routed.unpersist()
     return written
 
 
 def dim_sync_stream(spark: SparkSession, db_topic: str, config_topic: str, root: str, *,
-                    fmt: str = "file", checkpoint: str | None = None,
+                    fmt: str = "file", options: dict | None = None, config_options: dict | None = None,
+                    query_id: str = "dim_sync", checkpoint: str | None = None,
                     trigger: dict | None = None):
     """Job 1 as a stream: per micro-batch, fold the config feed *as of now*
     (O8; a data row whose config is not there yet is dropped, as in the
-    source system) and upsert the routed rows into the dimension tables."""
-    env, _ = parse_envelope(read_topic(spark, db_topic, fmt=fmt, stream=True))
+    source system) and upsert the routed rows into the dimension tables.
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        feed, _ = parse_config_feed_batch(spark, config_topic, fmt)
-        cfg, _ = upsert.fold_config(feed, seq_col="__arrival")
-        upsert_dimensions(spark, batch, cfg, root, batch_id)
+    Dirty change records go to ``root/_dirty``, rejected config rows and dirty config text to ``root/_rejected``.
+    """
+    raw = read_topic(spark, db_topic, fmt=fmt, stream=True, options=options, arrival=True)
 
-    return env.writeStream.foreachBatch(sink) \
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        env, dirty = parse_envelope(batch, keep=ARRIVAL)
+        write_append(dirty, f"{root}/_dirty", batch_id=batch_id, serialise=False)
+        feed, bad = parse_config_feed_batch(spark, config_topic, fmt, config_options)
+        cfg, rejected = upsert.fold_config(feed, seq_col="__arrival")
+        write_append(bad.select("value").unionByName(rejected.select(F.to_json(F.struct(*rejected.columns)).alias("value"))),
+                     f"{root}/_rejected", batch_id=batch_id, serialise=False)
+        upsert_dimensions(spark, env, cfg, root, batch_id, query_id=query_id, order_cols=("ts", *ARRIVAL))
+        batch.unpersist()
+
+    return raw.writeStream.foreachBatch(sink) \
         .option("checkpointLocation", _ckpt(spark, "dim_sync", checkpoint)) \
         .trigger(**(trigger or {"availableNow": True})).start()
 
 
-def parse_config_feed_batch(spark: SparkSession, config_topic: str, fmt: str = "file"):
+def parse_config_feed_batch(spark: SparkSession, config_topic: str, fmt: str = "file", options: dict | None = None):
     """The config feed as it stands now, with an arrival sequence that breaks
-    ties between changes of the same millisecond (file order, then line)."""
-    from martflow.sources.envelope import parse_config_feed
-    raw = read_topic(spark, config_topic, fmt=fmt)
-    feed, bad = parse_config_feed(raw)
-    return feed.withColumn("__arrival", F.monotonically_increasing_id()), bad
+    ties between changes of the same millisecond."""
+    raw = read_topic(spark, config_topic, fmt=fmt, options=options, arrival=True)
+    feed, bad = parse_config_feed(raw, keep=ARRIVAL)
+    return feed.withColumn("__arrival", F.struct(*ARRIVAL)), bad
 
 
 # ------------------------------------------------------------ jobs 7-9
-PRE_PROCESS_SCHEMA = (
-    "id string, order_id string, sku_id string, sku_name string, order_price string, "
-    "sku_num string, create_time string, source_type string, source_id string, "
-    "split_total_amount string, split_activity_amount string, split_coupon_amount string, "
-    "split_original_amount string, od_ts bigint, order_status string, user_id string, "
-    "operate_time string, province_id string, oi_ts bigint, pt timestamp, activity_id string, "
-    "activity_rule_id string, coupon_id string, coupon_use_id string, type string, "
-    "old map<string,string>, row_op_ts timestamp")
+# Column types of the wide order row that are not text.
+_TYPED = {"od_ts": "bigint", "oi_ts": "bigint", "pt": "timestamp", "row_op_ts": "timestamp", "old": "map<string,string>"}
+PRE_PROCESS_SCHEMA = ", ".join(f"{c} {_TYPED.get(c, 'string')}" for c in trade.PRE_PROCESS_COLUMNS)
 
 
 def read_pre_process(spark: SparkSession, path: str, *, stream: bool = True) -> DataFrame:
@@ -302,10 +336,15 @@ def detail_streams(pre: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def pay_detail_stream(env: DataFrame, placed: DataFrame, base_dic: DataFrame, *,
-                      retention_s: int = 905, delay: str = "10 seconds") -> DataFrame:
+                      bound_s: int, delay: str = "10 seconds") -> DataFrame:
     """Job 9 on streams: successful payments ⋈ placed details on the order id
-    within ``retention_s`` of the detail's change time (J1, watermarks on
-    both sides), then the dictionary (J5, stream-static broadcast join)."""
+    (J1, watermarks on both sides), then the dictionary (J5).
+
+    The source system keeps payments and details for ever; a stream here must bound its state, so
+    ``bound_s`` says how far a payment may lie from its detail's change time.  A payment without a
+    detail within it is not lost: it comes out with ``late`` true (and null detail columns) once the watermark has
+    passed the bound, to be counted and kept by the caller.
+    """
     from martflow.operators.joins import lookup_join
     pay = trade._table(env, "payment_info", ("update",)) \
         .filter(F.col("data")["payment_status"] == trade.PAYMENT_SUCCESS) \
@@ -314,49 +353,47 @@ def pay_detail_stream(env: DataFrame, placed: DataFrame, base_dic: DataFrame, *,
         .withWatermark("pay_time_ev", delay)
     od = placed.withColumn("od_time", F.timestamp_seconds(F.col("od_ts"))) \
         .withWatermark("od_time", delay)
-    rng = F.expr(f"INTERVAL {retention_s} SECONDS")
-    j = od.join(pay, (od["order_id"] == pay["pi_order_id"])
-                & pay["pay_time_ev"].between(od["od_time"] - rng, od["od_time"] + rng), "inner")
-    j = lookup_join(j, base_dic, "pi_payment_type", "dic_code", dict_cols=trade.DIC_COLS)
+    rng = F.expr(f"INTERVAL {bound_s} SECONDS")
+    j = pay.join(od, (od["order_id"] == pay["pi_order_id"])
+                 & pay["pay_time_ev"].between(od["od_time"] - rng, od["od_time"] + rng), "leftOuter")
+    j = lookup_join(j, base_dic, "pi_payment_type", "dic_code", dict_cols=trade.DIC_COLS, dict_small=False)
     return j.select(*trade.DETAIL_COLUMNS, F.col("dic_name").alias("payment_type"),
-                    F.col("pi_create_time").alias("pay_time"))
+                    F.col("pi_create_time").alias("pay_time"), F.col("pi_order_id").alias("paid_order_id"),
+                    F.col("id").isNull().alias("late"))
 
 
 # ------------------------------------------------------------ jobs 3, 4
 def _page_stream(spark: SparkSession, page_topic: str, fmt: str, options: dict | None):
     """The page topic parsed without a dirty output (P3: the page log was
-    cleaned by job 2), with the key and entry flag as columns."""
-    from martflow.sources.envelope import LOG_SCHEMA
-    raw = read_topic(spark, page_topic, fmt=fmt, stream=True, options=options)
-    recs = raw.select(F.from_json("value", LOG_SCHEMA).alias("r"), "value").select("r.*", "value")
-    # Pages are ordered by event time, as in the batch jobs; a Kafka offset
-    # would be the natural tie-breaker where the topic carries one.
+    cleaned by job 2, bad text fails the job), with the key, the entry flag and
+    the arrival order as columns.  Pages without a key or time are no visitor's."""
+    raw = read_topic(spark, page_topic, fmt=fmt, stream=True, options=options, arrival=True)
+    recs = parse_strict(raw, LOG_SCHEMA, keep=("value", *ARRIVAL))
     return recs.select("value", F.col("common")["mid"].alias("mid"), "ts",
-                       F.col("page")["last_page_id"].isNull().alias("is_entry"),
-                       F.lit(0).cast("bigint").alias("seq"))
+                       F.col("page")["last_page_id"].isNull().alias("is_entry"), *ARRIVAL) \
+        .filter(F.col("mid").isNotNull() & F.col("ts").isNotNull())
 
 
 def unique_visitor_job_stream(spark: SparkSession, page_topic: str, out: str, *,
                               fmt: str = "file", options: dict | None = None,
+                              out_fmt: str = "file", out_options: dict | None = None,
                               checkpoint: str | None = None, trigger: dict | None = None,
                               ttl_ms: int | None = 86_400_000, tz: str = "UTC"):
     """Job 3 as a stream: page topic -> session entries (F7) -> O3 state ->
     append topic of the emitted page records (K1)."""
     pages = _page_stream(spark, page_topic, fmt, options).filter("is_entry")
-    uv = unique_visitor_stream(pages, "mid", "ts", seq="seq", tz=tz, ttl_ms=ttl_ms)
-    return uv.select("value").writeStream.format("text").option("path", out) \
-        .option("checkpointLocation", _ckpt(spark, "unique_visitor", checkpoint)) \
-        .trigger(**(trigger or {"processingTime": "10 seconds"})).start()
+    uv = unique_visitor_stream(pages, "mid", "ts", seq=ARRIVAL, tz=tz, ttl_ms=ttl_ms)
+    return _text_sink(uv, out, out_fmt, out_options, _ckpt(spark, "unique_visitor", checkpoint),
+                      trigger or {"processingTime": "10 seconds"})
 
 
 def user_jump_job_stream(spark: SparkSession, page_topic: str, out: str, *,
                          fmt: str = "file", options: dict | None = None,
+                         out_fmt: str = "file", out_options: dict | None = None,
                          checkpoint: str | None = None, trigger: dict | None = None,
                          within_ms: int = traffic.BOUNCE_WITHIN_MS, delay: str = "2 seconds"):
     """Job 4 as a stream: page topic -> O4 state with event-time timers ->
     append topic of the bounced entry records (K1)."""
     pages = _page_stream(spark, page_topic, fmt, options)
-    uj = user_jump_stream(pages, "mid", "ts", "seq", "is_entry", within_ms, delay)
-    return uj.select("value").writeStream.format("text").option("path", out) \
-        .option("checkpointLocation", _ckpt(spark, "user_jump", checkpoint)) \
-        .trigger(**(trigger or {"availableNow": True})).start()
+    uj = user_jump_stream(pages, "mid", "ts", ARRIVAL, "is_entry", within_ms, delay)
+    return _text_sink(uj, out, out_fmt, out_options, _ckpt(spark, "user_jump", checkpoint), trigger or {"availableNow": True})

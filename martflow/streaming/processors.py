@@ -1,76 +1,51 @@
 """Stateful processors for the streaming forms of O2, O3, O4 (+ O5, W1, W3, W5).
 
-Used with ``df.groupBy(key).transformWithState(...)`` (row-based).  State is
-per key and tiny (one date, or the rows of one key that are still inside
-the pattern window), held by the RocksDB state store.  Rows of one key
-inside a micro-batch arrive unordered, so every processor sorts them by
-(event time, sequence) first.
+Used with ``df.groupBy(key).transformWithStateInPandas(...)``: rows move in Arrow
+batches, and dates come as columns worked out before the call.  State is per
+key (one date, or the rows of one key that are still inside the pattern window), held
+by the RocksDB state store.  Rows of one key inside a micro-batch arrive
+unordered, so every processor sorts them first.
 """
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta, timezone
-from typing import Any, Iterator
-from zoneinfo import ZoneInfo
+from collections.abc import Iterator, Sequence
+from typing import Any
 
-from pyspark.sql import Row
-from pyspark.sql.streaming.stateful_processor import (ExpiredTimerInfo, StatefulProcessor,
-                                                      StatefulProcessorHandle, TimerValues)
+import pandas as pd
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 from pyspark.sql.types import StructType
 
 DAY_MS = 86_400_000
+#: Columns that the callers add: the date of the event time and the day before it.
+VISIT, BEFORE = "__visit_dt", "__before_dt"
 
 
-def _zone(tz: str):
-    if tz.upper() in ("UTC", "GMT", "Z"):
-        return timezone.utc
-    if tz.upper().startswith(("GMT+", "GMT-", "UTC+", "UTC-")):
-        sign = 1 if tz[3] == "+" else -1
-        hh, _, mm = tz[4:].partition(":")
-        return timezone(sign * timedelta(hours=int(hh), minutes=int(mm or 0)))
-    return ZoneInfo(tz)
-
-
-def date_of(ms: int, tz) -> str:
-    return datetime.fromtimestamp(ms / 1000, tz).strftime("%Y-%m-%d")
-
-
-def _sort_key(ts: str, seq: str | None, by_arrival: bool):
-    """Order of the rows of one key inside a micro-batch: event time then
-    sequence, or the arrival sequence alone (``by_arrival``)."""
-    if by_arrival and seq:
-        return lambda r: r[seq]
-    return lambda r: (r[ts], r[seq] if seq else 0)
+def _sorted(rows: Iterator[pd.DataFrame], columns: Sequence[str], order: Sequence[str]) -> pd.DataFrame:
+    """The rows in order.  Spark names input columns after the output's, so those beyond it are named here."""
+    df = pd.concat([r.set_axis([*columns, VISIT, BEFORE], axis=1) for r in rows])
+    return df.sort_values(list(order), kind="stable", ignore_index=True)
 
 
 class FirstVisitProcessor(StatefulProcessor):
     """O2: new-visitor repair.  State: first-visit date, never expires."""
 
-    def __init__(self, ts: str = "ts", is_new: str = "is_new", seq: str | None = None,
-                 tz: str = "UTC", by_arrival: bool = False):
-        self.ts, self.is_new, self.seq, self.tzname = ts, is_new, seq, tz
-        self.key = _sort_key(ts, seq, by_arrival)
+    def __init__(self, order: Sequence[str], is_new: str, columns: Sequence[str]):
+        self.order, self.is_new, self.columns = list(order), is_new, list(columns)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.tz = _zone(self.tzname)
         self.first = handle.getValueState("first_visit_dt", "dt string")
 
-    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: TimerValues):
-        ordered = sorted(rows, key=self.key)
-        first = self.first.get()[0] if self.first.exists() else None
-        for r in ordered:
-            d = r.asDict()
-            visit = date_of(d[self.ts], self.tz)
-            if d[self.is_new] == "1":
-                if first is None:
-                    first = visit
-                elif first != visit:
-                    d[self.is_new] = "0"
-            elif first is None:
-                first = date_of(d[self.ts] - DAY_MS, self.tz)
-            yield Row(**d)
-        if first is not None:
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        df = _sorted(rows, self.columns, self.order)
+        new = df[self.is_new] == "1"
+        if self.first.exists():
+            first = self.first.get()[0]
+        else:
+            first = df[VISIT].iat[0] if new.iat[0] else df[BEFORE].iat[0]
             self.first.update((first,))
+        df.loc[new & (df[VISIT] != first), self.is_new] = "0"
+        yield df[self.columns]
 
     def close(self) -> None:
         pass
@@ -83,25 +58,18 @@ class UniqueVisitorProcessor(StatefulProcessor):
     day by default, refreshed on every write.
     """
 
-    def __init__(self, ts: str = "ts", seq: str | None = None, tz: str = "UTC",
-                 ttl_ms: int | None = DAY_MS, by_arrival: bool = False):
-        self.ts, self.seq, self.tzname, self.ttl_ms = ts, seq, tz, ttl_ms
-        self.key = _sort_key(ts, seq, by_arrival)
+    def __init__(self, order: Sequence[str], columns: Sequence[str], ttl_ms: int | None = DAY_MS):
+        self.order, self.columns, self.ttl_ms = list(order), list(columns), ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.tz = _zone(self.tzname)
         self.last = handle.getValueState("last_visit_dt", "dt string", self.ttl_ms)
 
-    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: TimerValues):
-        ordered = sorted(rows, key=self.key)
-        last = self.last.get()[0] if self.last.exists() else None
-        for r in ordered:
-            d = date_of(r[self.ts], self.tz)
-            if last is None or last != d:
-                yield r
-            last = d
-        if last is not None:
-            self.last.update((last,))
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        df = _sorted(rows, self.columns, self.order)
+        before = df[VISIT].shift(1)
+        before.iat[0] = self.last.get()[0] if self.last.exists() else None
+        self.last.update((df[VISIT].iat[-1],))
+        yield df.loc[(before != df[VISIT]).fillna(True), self.columns]
 
     def close(self) -> None:
         pass
@@ -110,71 +78,50 @@ class UniqueVisitorProcessor(StatefulProcessor):
 class UserJumpProcessor(StatefulProcessor):
     """O4 + W1/W3/W5: bounce detection in event time.
 
-    Rows of a key are buffered (ListState) until the watermark shows that
-    no earlier row can still arrive.  Each entry gets an event-time timer at
-    ``ts + within``; when it fires the entry is judged by its true successor
-    (emitted unless the successor is a non-entry less than ``within`` later).
-    Rows older than the watermark are late and ignored.  Rows that can no
-    longer be a successor of an undecided entry are dropped from state.
+    Every row is kept until the watermark has passed it by ``within``: then its successor
+    is known, and no entry that it could follow within the limit can still arrive.  A timer at that time
+    judges the entries that are due (emitted unless the successor is a non-entry less than
+    ``within`` later) and frees all rows up to them, entries or not.  Rows
+    older than the watermark are late and ignored.
     """
 
-    def __init__(self, schema: StructType, ts: str = "ts", seq: str = "seq",
-                 is_entry: str = "is_entry", within_ms: int = 15_000):
-        self.schema, self.ts, self.seq, self.is_entry = schema, ts, seq, is_entry
-        self.within = within_ms
-        self.names = schema.fieldNames()
+    def __init__(self, schema: StructType, order: Sequence[str], ts: str, is_entry: str, within_ms: int):
+        self.schema, self.names, self.within = schema, schema.fieldNames(), within_ms
+        self.at = [self.names.index(c) for c in order]
+        self.ts, self.is_entry = self.names.index(ts), self.names.index(is_entry)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.buf = handle.getListState("rows", self.schema)
-
-    def _rows(self) -> list[tuple]:
-        return list(self.buf.get()) if self.buf.exists() else []
-
-    def _k(self, t: tuple):
-        return (t[self.i_ts], t[self.i_seq])
-
-    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: TimerValues):
-        self.i_ts, self.i_seq = self.names.index(self.ts), self.names.index(self.seq)
-        wm = timerValues.getCurrentWatermarkInMs()
-        fresh = [tuple(r[n] for n in self.names) for r in rows]
-        fresh = [t for t in fresh if t[self.i_ts] >= wm]          # W5: late rows ignored
-        if not fresh:
-            return iter([])
-        i_e = self.names.index(self.is_entry)
-        for t in fresh:
-            if t[i_e]:
-                self.handle.registerTimer(t[self.i_ts] + self.within)
-        self.buf.appendList(fresh)
+        self.kept = handle.getListState("rows", self.schema)
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        watermark = timerValues.getCurrentWatermarkInMs()
+        fresh = [t for df in rows for t in df[self.names].astype(object).itertuples(index=False, name=None)]
+        fresh = [t for t in fresh if t[self.ts] >= watermark]  # W5: late rows ignored
+        for due in {int(t[self.ts]) + self.within for t in fresh}:
+            self.handle.registerTimer(due)
+        if fresh:
+            self.kept.appendList(fresh)
         return iter([])
 
-    def handleExpiredTimer(self, key: Any, timerValues: TimerValues,
-                           expiredTimerInfo: ExpiredTimerInfo):
-        self.i_ts, self.i_seq = self.names.index(self.ts), self.names.index(self.seq)
-        i_e = self.names.index(self.is_entry)
+    def handleExpiredTimer(self, key: Any, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
         due = expiredTimerInfo.getExpiryTimeInMs()
-        rows = sorted(self._rows(), key=self._k)
-        out, keep_from = [], None
-        for i, t in enumerate(rows):
-            if not t[i_e] or t[self.i_ts] + self.within > due:
-                continue
-            nxt = rows[i + 1] if i + 1 < len(rows) else None
-            stopped = nxt is not None and not nxt[i_e] and nxt[self.i_ts] - t[self.i_ts] < self.within
-            if not stopped:
-                out.append(Row(**dict(zip(self.names, t))))
-        # Undecided entries keep every row from the first of them on; with
-        # none pending only rows newer than the decided ones may still matter.
-        pending = [t for t in rows if t[i_e] and t[self.i_ts] + self.within > due]
-        if pending:
-            keep_from = self._k(pending[0])
-            kept = [t for t in rows if self._k(t) >= keep_from]
-        else:
-            kept = [t for t in rows if t[self.i_ts] + self.within > due]
-        if kept:
-            self.buf.put(kept)
+        rows = sorted(self.kept.get(), key=lambda t: [t[i] for i in self.at]) if self.kept.exists() else []
+        # a row may stand before one that is due and still be kept, if times tie or order otherwise
+        ready = [i for i, t in enumerate(rows) if t[self.ts] + self.within <= due]
+        out = []
+        for i in ready:
+            after = rows[i + 1] if i + 1 < len(rows) else None
+            stopped = after is not None and not after[self.is_entry] and after[self.ts] - rows[i][self.ts] < self.within
+            if rows[i][self.is_entry] and not stopped:
+                out.append(rows[i])
+        left = [t for t in rows if t[self.ts] + self.within > due]
+        if left:
+            self.kept.put(left)
         else:
-            self.buf.clear()
-        return iter(out)
+            self.kept.clear()
+        if out:
+            yield pd.DataFrame(out, columns=self.names)
 
     def close(self) -> None:
         pass

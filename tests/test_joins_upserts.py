@@ -2,6 +2,9 @@
 
 import random
 
+import pytest
+from pyspark.sql import functions as F
+
 from martflow.operators import joins, upsert
 from martflow.plans import jobs
 from martflow.streaming.jobs import read_dimension, upsert_dimensions
@@ -37,6 +40,7 @@ def test_lookup_join_checked_broadcast(spark):
     assert [(r.v, r.dic_name) for r in j.collect()] == [(1, "x")]
     assert "BroadcastHashJoin" in j._jdf.queryExecution().executedPlan().toString()
     assert joins.has_at_most(dic, 1) and not joins.has_at_most(facts, 1)
+    assert not joins.has_at_most(dic, 1, max_bytes=1)
 
 
 def test_latest_per_key(spark):
@@ -89,19 +93,50 @@ def test_delete_rows_are_upserted_unless_dropped(spark):
     cfg = _cfg(spark, [("r", 0, "c", "dim_c", "id,name")])
     data = _data(spark, [("c", "insert", 1, {"id": "1", "name": "a"}),
                          ("c", "delete", 2, {"id": "1", "name": "a"})])
-    tables, _ = jobs.dim_sync(data, cfg)
+    tables, _ = jobs.dim_sync(data, cfg, order_cols=["ts"])
     assert tables["dim_c"].count() == 1
     live, _ = upsert.fold_config(cfg)
     assert upsert.route_dimensions(data, live, drop_deletes=True).count() == 1
 
 
 def test_dimension_sink_versions(spark, scratch):
-    cfg, _ = upsert.fold_config(_cfg(spark, [("r", 0, "c", "dim_c", "id,a,b")]))
+    cfg, _ = upsert.fold_config(_cfg(spark, [("r", 0, "c", "dim_c", "id,a,b"), ("r", 0, "e", "dim_e", "id,z")]))
     b0 = _data(spark, [("c", "insert", 1, {"id": "1", "a": "a1", "b": "b1"})])
-    b1 = _data(spark, [("c", "update", 2, {"id": "1", "a": "a2"}),
+    b1 = _data(spark, [("c", "update", 2, {"id": "1", "a": "a2"}), ("c", "insert", 2, {"a": "no key"}),
                        ("c", "insert", 3, {"id": "2", "a": "x", "b": "y"})])
-    upsert_dimensions(spark, b0, cfg, scratch, 0)
-    upsert_dimensions(spark, b1, cfg, scratch, 1)
-    upsert_dimensions(spark, b1, cfg, scratch, 1)  # a retried batch is idempotent
+    assert upsert_dimensions(spark, b0, cfg, scratch, 0) == {"dim_c": 0, "dim_e": 0}  # created at config time
+    assert read_dimension(spark, scratch, "dim_e").columns == ["id", "z"]
+    assert upsert_dimensions(spark, b1, cfg, scratch, 1) == {"dim_c": 1}  # only what the batch touches
+    assert upsert_dimensions(spark, b1, cfg, scratch, 1) == {}  # a retried batch is done already
     cur = sorted(tuple(r) for r in read_dimension(spark, scratch, "dim_c").collect())
     assert cur == [("1", "a2", "b1"), ("2", "x", "y")]
+    # a new stream checkpoint counts its batches from 0 again; a column joins the config
+    wider, _ = upsert.fold_config(_cfg(spark, [("r", 0, "c", "dim_c", "id,a,b,d")]))
+    b2 = _data(spark, [("c", "update", 1, {"id": "2", "d": "new"})])
+    assert upsert_dimensions(spark, b2, wider, scratch, 0, query_id="again") == {"dim_c": 2}
+    cur = sorted(tuple(r) for r in read_dimension(spark, scratch, "dim_c").collect())
+    assert cur == [("1", "a2", "b1", None), ("2", "x", "y", "new")]
+
+
+def test_dimension_read_errors_are_not_empty_tables(spark, scratch):
+    import os
+    cfg, _ = upsert.fold_config(_cfg(spark, [("r", 0, "c", "dim_c", "id,a")]))
+    assert read_dimension(spark, scratch, "dim_c") is None
+    upsert_dimensions(spark, _data(spark, [("c", "insert", 1, {"id": "1", "a": "x"})]), cfg, scratch, 0)
+    path = f"{scratch}/dim_c/version=0"
+    for f in os.listdir(path):
+        if f.startswith("part"):
+            with open(f"{path}/{f}", "wb") as out:
+                out.write(b"broken")
+    with pytest.raises(Exception):
+        upsert_dimensions(spark, _data(spark, [("c", "update", 2, {"id": "1", "a": "y"})]), cfg, scratch, 1)
+
+
+def test_changes_of_one_second_follow_their_order(spark, scratch):
+    cfg, _ = upsert.fold_config(_cfg(spark, [("r", 0, "c", "dim_c", "id,a")]))
+    rows = _data(spark, [("c", "insert", 5, {"id": "1", "a": "first"}), ("c", "update", 5, {"id": "1", "a": "second"})])
+    for sign, want in ((1, "second"), (-1, "first")):
+        numbered = rows.withColumn("seq", F.when(F.col("type") == "update", sign).otherwise(0))
+        out = f"{scratch}/{want}"
+        upsert_dimensions(spark, numbered, cfg, out, 0, order_cols=("ts", "seq"))
+        assert read_dimension(spark, out, "dim_c").first().a == want

@@ -63,16 +63,17 @@ def test_hot_key_interval_join(spark):
     assert sorted((r.lid, r.rid) for r in fast.collect()) == sorted((r.lid, r.rid) for r in naive.collect())
 
 
-def test_hot_key_is_salted_in_repair_join(spark):
+def test_repair_joins_flagged_rows_by_day_and_ignores_input_order(spark):
+    # the same rows in any order and partitioning give the same flags: no random salt decides
     df = _skewed(spark)
-    r = traffic.repair_new_visitor(df, order=["ts", "seq"])
-    r.write.format("noop").mode("overwrite").save()
-    plan = r._jdf.queryExecution().executedPlan().toString()
-    assert "__salt" in plan  # rows are joined on (key, salt)
-    # the hot key (a third of the rows) is cut into about 2/3 * partitions slices
-    counts = df.groupBy("mid").agg(F.count(F.lit(1)).alias("n"))
-    salts = traffic.hot_key_salts(counts, "mid", "n", 4)
-    assert list(salts) == ["hot"] and salts["hot"] >= 2
+    want = sorted(map(tuple, traffic.repair_new_visitor(df, order=["ts", "seq"]).select("seq", "is_new").collect()))
+    for n, by in ((3, F.xxhash64("seq")), (7, F.col("ts"))):
+        shuffled = df.repartition(n, by)
+        r = traffic.repair_new_visitor(shuffled, order=["ts", "seq"]).select("seq", "is_new")
+        assert sorted(map(tuple, r.collect())) == want
+    # building the plan runs nothing: an input that fails when read is only met at the action
+    broken = df.withColumn("ts", F.raise_error(F.lit("read")).cast("long"))
+    traffic.repair_new_visitor(broken, order=["ts", "seq"])
 
 
 def test_bucketed_lag_matches_window_lag(spark):

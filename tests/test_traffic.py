@@ -152,17 +152,26 @@ def _log(mid, ts, **kw):
 
 
 def test_log_split(spark):
-    page = _log("m", 1000, page={"page_id": "home"}, err={"code": 1},
-                actions=[{"action_id": "a", "item": 1}, {"action_id": "b"}],
-                displays=[{"item": 3, "order": 1}])
-    start = _log("m", 500, start={"entry": "icon"}, err={"code": 2})
-    raw = spark.createDataFrame([(page,), (start,), ("not json",)], "value string")
-    out = jobs.base_log(raw)
-    counts = {k: v.count() for k, v in out.items()}
-    assert counts == {"page": 1, "start": 1, "action": 2, "display": 1, "error": 2, "dirty": 1}
-    p = out["page"].first()
-    assert "err" not in out["page"].columns and "actions" not in out["page"].columns
-    assert p.common["is_new"] == "1" and p.page["page_id"] == "home"
-    a = sorted(r.action["action_id"] for r in out["action"].collect())
-    assert a == ["a", "b"] and out["action"].first().ts == 1000
-    assert json.loads(out["error"].orderBy("err").first().err) == {"code": 1}
+    page = _log("m", 1000, page={"page_id": "home", "during_time": 1234, "x": None}, err={"code": 1},
+                actions=[{"action_id": "a", "item": 1, "ts": 5}, {"action_id": "b"}],
+                displays=[{"item": 3, "order": 1}], extra={"deep": [1, {"y": 2}]})
+    start = _log("m", 500, start={"entry": "icon", "loading_time": 12}, err={"code": 2})
+    rows = [page, start, "not json", "[1]", "", json.dumps({"ts": 1}), json.dumps({"common": {"mid": "m"}})]
+    out = jobs.base_log(spark.createDataFrame([(r,) for r in rows], "value string"))
+    got = {k: sorted(r.value for r in v.collect()) for k, v in out.items()}
+    assert {k: len(v) for k, v in got.items()} == {"page": 1, "start": 1, "action": 2, "display": 1, "error": 2, "dirty": 5}
+    common = {"mid": "m", "is_new": "1"}
+    assert json.loads(got["page"][0]) == {"common": common, "ts": 1000, "extra": {"deep": [1, {"y": 2}]},
+                                          "page": {"page_id": "home", "during_time": 1234, "x": None}}
+    assert json.loads(got["start"][0]) == {"common": common, "ts": 500, "start": {"entry": "icon", "loading_time": 12}}
+    first = json.loads(got["action"][0])
+    assert first["ts"] == 1000 and first["item"] == 1 and first["common"] == common and first["page"]["page_id"] == "home"
+    assert sorted(map(json.loads, got["error"]), key=str) == [{"code": 1}, {"code": 2}]
+
+
+def test_ties_follow_arrival(spark):
+    entry, other = _log("m", 1000, page={"page_id": "a"}), _log("m", 1000, page={"page_id": "b", "last_page_id": "a"})
+    for order, want in (((entry, other), 0), ((other, entry), 1)):
+        raw = spark.createDataFrame([(i, v) for i, v in enumerate(order)], "seq int, value string").repartition(3)
+        page = jobs.base_log(raw, arrival=["seq"])["page"]
+        assert jobs.user_jump_detail(page, arrival=["seq"]).count() == want
