@@ -124,8 +124,18 @@ def index_rows(rows: DataFrame, size: int) -> tuple[Tree, DataFrame, dict, int]:
     n = rows.count()
     weights = projection(size)
     share = min(1.0, SAMPLE / max(n, 1))
-    sample = rows.filter(F.pmod(F.xxhash64("vec_id"), F.lit(2 ** 32)) < F.lit(int(share * 2 ** 32))).orderBy(F.xxhash64("vec_id"), "v").limit(SAMPLE)
-    points = _matrix(sample.select("v").toPandas()["v"]) @ weights if n else np.zeros((0, M))
+
+    def project(batches):
+        for batch in batches:
+            v = _matrix(batch.column("v").to_pandas())
+            points = v @ weights if len(v) else np.zeros((0, M))
+            yield pa.RecordBatch.from_arrays([batch.column("h"), pa.array(list(points), pa.list_(pa.float64()))], ["h", "p"])
+
+    # by the hash of the whole row, so that rows that repeat count once; projected before they come to the driver
+    sample = rows.withColumn("h", F.xxhash64("vec_id", "v")).filter(F.pmod("h", F.lit(2 ** 32)) < F.lit(int(share * 2 ** 32)))
+    sample = sample.select("h", "v").mapInArrow(project, "h long, p array<double>").groupBy("h").agg(F.min("p").alias("p"))
+    sample = sample.toPandas().sort_values("h").head(SAMPLE)
+    points = _matrix(sample["p"]) if len(sample) else np.zeros((0, M))
     depth = min(max(0, math.ceil(math.log2(max(n, 1) / LEAF_ROWS))), int(math.log2(MOST_LEAVES)), int(math.log2(max(len(points) // 16, 1))))
     tree = build_tree(points, depth)
 
