@@ -272,8 +272,8 @@ def predict(docs: DataFrame, field: Field | None, text: str, keep: list[str], pr
                 return [pa.array([UNKNOWN] * len(texts)), pa.array(np.zeros(len(texts)))]
             words, p = label_words(field, texts, tables)
             n = np.bincount(words.text, minlength=len(texts))
-            mean = np.stack([np.bincount(words.text, weights=p[:, j], minlength=len(texts)) for j in range(len(field.langs))], 1)
-            mean /= np.maximum(n, 1)[:, None]
+            total = np.stack([np.bincount(words.text, weights=p[:, j], minlength=len(texts)) for j in range(len(field.langs))], 1)
+            mean = total / np.maximum(n, 1)[:, None]
             best = mean.argmax(1)
             return [pa.array([field.langs[b] if k else UNKNOWN for b, k in zip(best, n)], pa.string()),
                     pa.array(np.clip(mean[np.arange(len(best)), best], 0, 1))]
