@@ -58,4 +58,4 @@ QUERIES = {f.__name__: f for f in (
     op1_quality, op2_near_dup, op3_html_text, op4_mixing, op5_toxicity,
     op6_ann, op7_secrets, op8_piece_codec, op9_url_filter, op10_lang_crf)}
 
-ORACLES = {"op4_mixing": mixing.ORACLE, "op7_secrets": secrets.ORACLE}
+ORACLES = {"op4_mixing": mixing.ORACLE, "op7_secrets": secrets.ORACLE, "op9_url_filter": url_filter.ORACLE}

@@ -141,3 +141,26 @@ def judge(pages: DataFrame, page: str = "page_id", url: str = "url", rules: dict
         return work
 
     return map_texts(pages, make, fields, url, [page])
+
+
+def _oracle() -> str:
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    split = r"(?s)^.*?://([^/?#]*)([^?#]*)"
+    listed = lambda entries: ", ".join(f"('{e}', '{v}')" for e, v in entries.items())
+    parts = "entry, verdict, split_part(entry, '/', 1) AS h, substr(entry, strpos(entry, '/')) AS pre"
+    return f"""
+WITH p AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '{split}', 1), '{upper}', '{upper.lower()}') AS host,
+             regexp_extract(coalesce(url, ''), '{split}', 2) AS path FROM pages),
+r AS (SELECT {parts} FROM (VALUES {listed(RULES)}) AS x(entry, verdict)),
+b AS (SELECT {parts} FROM (VALUES {listed(dict.fromkeys(BLOCKED, 'block'))}) AS x(entry, verdict)),
+m AS (SELECT *, (SELECT entry FROM r WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, pre)
+                 ORDER BY length(entry) DESC, length(h) DESC LIMIT 1) AS rule FROM p)
+SELECT page_id, host, path, rule,
+       coalesce((SELECT verdict FROM r WHERE r.entry = m.rule),
+                CASE WHEN EXISTS (SELECT 1 FROM b WHERE (host = h OR ends_with(host, '.' || h))
+                                  AND starts_with(CASE path WHEN '' THEN '/' ELSE path END, pre)) THEN 'block' ELSE 'allow' END) AS verdict
+FROM m
+"""
+
+
+ORACLE = _oracle()
