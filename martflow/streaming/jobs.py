@@ -242,14 +242,15 @@ def upsert_dimensions(spark: SparkSession, batch_env: DataFrame, config: DataFra
     ``order_cols`` order the changes of a key, arrival last.  The version before the last stays for readers,
     older ones are deleted.  Returns the version written per table.
     """
-    commits = _commits(spark, root).groupBy("sink_table").agg(
+    rows = upsert.config_rows(config)
+    commits = _commits(spark, root).filter(F.col("sink_table").isin([r["sink_table"] for r in rows])).groupBy("sink_table").agg(
         F.max("version").alias("version"),
         F.max(F.when((F.col("query_id") == query_id) & (F.col("batch_id") == batch_id), F.col("version"))).alias("own"))
-    done = {r["sink_table"]: (r["version"], r["own"]) for r in commits.limit(2 * upsert.MOST_DIMENSIONS).collect()}
+    done = {r["sink_table"]: (r["version"], r["own"]) for r in commits.collect()}
     routed = upsert.route_dimensions(batch_env, config, drop_deletes=drop_deletes).persist(StorageLevel.MEMORY_AND_DISK)
-    touched = {r[0] for r in routed.select("sink_table").distinct().limit(upsert.MOST_DIMENSIONS).collect()}
+    touched = {r[0] for r in routed.select("sink_table").distinct().collect()}  # configured names alone
     written = {}
-    for row in upsert.config_rows(config):
+    for row in rows:
         name, pk, cols = row["sink_table"], row["sink_pk"], row["sink_columns"].split(",")
         schema = upsert.dimension_schema(row["sink_columns"], pk)
         last, own = done.get(name, (None, None))
