@@ -13,7 +13,8 @@ group is too short are dropped.  Spans count code points, the end exclusive.
 
 Defined cases: a null or empty text has no spans; null ids stay null; rows that
 repeat, also with equal ids, each get their own result; equal starts are
-ordered as the rules are listed; an empty table gives an empty result.  Input
+ordered as the rules are listed; a private key is reported by its header line and
+redacted through its END line or the end of its base64 text; an empty table gives an empty result.  Input
 columns are carried in one struct, so their names cannot clash.
 """
 
@@ -206,13 +207,49 @@ def report(found: DataFrame, doc: str = "doc_id") -> DataFrame:
                         F.sha2(span_text(kinds(BASE)), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"))
 
 
+def _with(value: Column, use) -> Column:
+    """``use(value)``, the value worked out once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _key_length(text: Column, at: Column) -> Column:
+    """Characters of a private key after its header line, which ends at ``at``.
+
+    Through the END line if that is the next line of dashes; or else the run of base64 words that follows (words of 16
+    characters or more, then a short one that is padded or ends its line), after header fields if there are any.
+    """
+    dashes = F.call_function("locate", F.lit("-----"), text, (at + 1).cast("int"))
+    to_dashes = F.when(dashes > 0, dashes - at - 1).otherwise(F.length(text)).cast("int")
+    closed = F.when(dashes > 0, F.length(F.regexp_extract(F.substring(text, dashes, F.lit(256)), r"^-----END (?:[A-Z]+ )*PRIVATE KEY-----", 0))).otherwise(0)
+
+    def run(flat: Column) -> Column:
+        fields = F.length(F.regexp_extract(flat, r"^(?:\s*[A-Za-z-]{1,40}: [^\r\n]*[\r\n]){0,4}", 0))
+        words = F.regexp_extract(F.substring(flat, fields + 1, F.length(flat)), r"""^[A-Za-z0-9+/=\s"']*+""", 0)
+        short = F.regexp_instr(words, F.lit(r"(?<![A-Za-z0-9+/=])[A-Za-z0-9+/=]{1,15}(?![A-Za-z0-9+/=])"))
+        long = F.length(F.regexp_replace(F.when(short > 0, F.substring(words, F.lit(1), short - 1)).otherwise(words), r"""[\s"']++$""", ""))
+        rest = F.substring(flat, fields + long + 1, F.length(flat))
+        last = F.length(F.regexp_extract(rest, r"^(?:\s*[A-Za-z0-9+/]+={1,2}|[ \t]*[\r\n]\s*[A-Za-z0-9+/]+(?=[ \t]*(?:[\r\n]|\z)))", 0))
+        return F.when(long + last > 0, fields + long + last).otherwise(0)
+
+    # a line end may be spelled as a backslash and a letter
+    open_run = _with(F.regexp_replace(F.substring(text, (at + 1).cast("int"), to_dashes), r"\\[rnt]", "\n "), run)
+    return _with(closed, lambda c: F.when(c > 0, to_dashes + c).otherwise(open_run)).cast("long")
+
+
 def redacted(found: DataFrame) -> Column:
-    """The text with each span, or run of overlapping spans, replaced by its first kind in square brackets."""
-    return F.expr("""aggregate(spans, named_struct('out', '', 'at', 0L),
-        (acc, s) -> named_struct(
-            'out', if(s.start >= acc.at, concat(acc.out, substring(text, cast(acc.at + 1 as int), cast(s.start - acc.at as int)), '[', s.kind, ']'), acc.out),
-            'at', greatest(acc.at, s.end)),
-        acc -> concat(acc.out, substring(text, cast(acc.at + 1 as int), length(text))))""")
+    """The text with each span, or run of overlapping spans, replaced by its first kind in square brackets.
+
+    The span of a private key is its header line; here the key itself goes with it.
+    """
+    text = found["text"]  # not by name: a select may give an output of its own that name
+    spans = F.transform(found["spans"], lambda s: F.when(s["kind"] == "private_key", s.withField("end", s["end"] + _key_length(text, s["end"]))).otherwise(s))
+    cut = lambda at, n: F.substring(text, (at + 1).cast("int"), n.cast("int"))
+    return F.aggregate(
+        spans, F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at")),
+        lambda acc, s: F.struct(
+            F.when(s["start"] >= acc["at"], F.concat(acc["out"], cut(acc["at"], s["start"] - acc["at"]), F.lit("["), s["kind"], F.lit("]"))).otherwise(acc["out"]).alias("out"),
+            F.greatest(acc["at"], s["end"]).alias("at")),
+        lambda acc: F.concat(acc["out"], cut(acc["at"], F.length(text))))
 
 
 def _oracle() -> str:
