@@ -77,7 +77,11 @@ class Words:
         letter, lower = tables
         block = self.block = Block(texts)
         low = np.minimum(block.cp, 0xFFFF)
-        inside = letter[low] | (block.cp > 0xFFFF)
+        inside = letter[low]
+        astral = np.flatnonzero(block.cp > 0xFFFF)
+        if len(astral):
+            points, back = np.unique(block.cp[astral], return_inverse=True)
+            inside[astral] = np.array([chr(p).isalpha() for p in points])[back]
         block.rehash(np.where(block.cp > 0xFFFF, block.cp, lower[low]))
         starts, ends = runs(inside)
         self.text = block.owner(starts)

@@ -5,6 +5,7 @@ import random
 
 import corpus_pipeline as P
 from conftest import SF001
+from martflow.llm import ann, lang_crf, toxicity
 from test_llm_documents import DOCS
 
 
@@ -26,3 +27,17 @@ def test_private_keys_are_redacted_whole(spark):
     docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, (t, _) in texts.items()], DOCS)
     for r in P.secret_scan(spark, docs, SF001).collect():
         assert r.text == texts[r.doc_id][1] and r.n_chars == len(r.text), r.doc_id
+
+
+# ----------------------------------------------------------------- language
+def test_symbols_above_the_first_plane_are_no_letters(spark):
+    rows = [(3 * i, f"the cat and the dog number {w}", "en", "s", 1) for i, w in enumerate("one two three four five six seven eight".split())]
+    rows += [(100 + 3 * i, f"der Hund und die Katze Nummer {w}", "de", "s", 1) for i, w in enumerate("eins zwei drei vier acht".split())]
+    plain, mixed = "the dog and the cat", "😀😀 the dog 🎉🎉🎉 and 🚀 the cat 😀"
+    rows += [(900, "😀🎉 🚀", "en", "s", 4), (901, plain, "en", "s", 1), (902, mixed, "en", "s", 1), (903, "𝒳 𠀀𠀁", "en", "s", 1)]
+    docs = spark.createDataFrame(rows, DOCS)
+    got = {r.doc_id: r for r in lang_crf.identify(docs).collect()}
+    assert (got[900].lang_pred, got[900].score) == ("und", 0.0)
+    assert (got[901].lang_pred, got[901].score) == (got[902].lang_pred, got[902].score)
+    assert got[903].lang_pred != "und"  # letters above U+FFFF stay letters
+    assert 900 not in {r.doc_id for r in P.language(spark, docs, SF001).collect()}
