@@ -13,15 +13,15 @@ from pyspark.sql import functions as F
 from martflow.llm import lang_crf, mixing, near_dup, piece_codec, secrets
 from martflow.llm.staging import staged
 
-#: Documents whose best language has a mean probability under this are no text in a known language.
+#: Documents whose words have a best language of a mean probability under this are no text in known languages.
 LEAST_LANGUAGE = 0.4
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without a letter and those that no learned language explains."""
+    """Rejects documents without a letter and those whose words no learned language explains; a text may switch languages."""
     mark = "_" * (1 + max((len(c) for c in docs.columns), default=0))  # longer than any column's name
     out = lang_crf.predict(docs, lang_crf.train(docs), "text", docs.columns, mark)
-    return out.filter((F.col(f"{mark}lang_pred") != lang_crf.UNKNOWN) & (F.col(f"{mark}score") >= LEAST_LANGUAGE)).select(docs.columns)
+    return out.filter((F.col(f"{mark}lang_pred") != lang_crf.UNKNOWN) & (F.col(f"{mark}sure") >= LEAST_LANGUAGE)).select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

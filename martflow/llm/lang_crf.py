@@ -265,22 +265,26 @@ def train(docs: DataFrame, doc: str = "doc_id", text: str = "text", lang: str =
 
 
 def predict(docs: DataFrame, field: Field | None, text: str, keep: list[str], prefix: str = "") -> DataFrame:
-    """``keep`` and lang_pred and score (after ``prefix``) of every row."""
-    fields = [T.StructField(f"{prefix}lang_pred", T.StringType()), T.StructField(f"{prefix}score", T.DoubleType())]
+    """``keep`` and lang_pred, score and sure (after ``prefix``) of every row.
+
+    ``score`` is the best language's share of the text, ``sure`` the mean over the words of each one's largest probability.
+    """
+    fields = [T.StructField(f"{prefix}lang_pred", T.StringType()), T.StructField(f"{prefix}score", T.DoubleType()), T.StructField(f"{prefix}sure", T.DoubleType())]
 
     def make():
         tables = letter_tables()
 
         def work(texts):
             if field is None:
-                return [pa.array([UNKNOWN] * len(texts)), pa.array(np.zeros(len(texts)))]
+                return [pa.array([UNKNOWN] * len(texts)), pa.array(np.zeros(len(texts))), pa.array(np.zeros(len(texts)))]
             words, p = label_words(field, texts, tables)
             n = np.bincount(words.text, minlength=len(texts))
             total = np.stack([np.bincount(words.text, weights=p[:, j], minlength=len(texts)) for j in range(len(field.langs))], 1)
             mean = total / np.maximum(n, 1)[:, None]
             best = mean.argmax(1)
+            sure = np.bincount(words.text, minlength=len(texts), weights=p.max(1)) / np.maximum(n, 1)
             return [pa.array([field.langs[b] if k else UNKNOWN for b, k in zip(best, n)], pa.string()),
-                    pa.array(np.clip(mean[np.arange(len(best)), best], 0, 1))]
+                    pa.array(np.clip(mean[np.arange(len(best)), best], 0, 1)), pa.array(np.clip(sure, 0, 1))]
 
         return work
 

@@ -3,6 +3,11 @@
 import base64
 import random
 
+import math
+
+import numpy as np
+from pyspark.sql import functions as F
+
 import corpus_pipeline as P
 from conftest import SF001
 from martflow.llm import ann, lang_crf, toxicity
@@ -41,3 +46,16 @@ def test_symbols_above_the_first_plane_are_no_letters(spark):
     assert (got[901].lang_pred, got[901].score) == (got[902].lang_pred, got[902].score)
     assert got[903].lang_pred != "und"  # letters above U+FFFF stay letters
     assert 900 not in {r.doc_id for r in P.language(spark, docs, SF001).collect()}
+
+
+def test_clean_documents_of_three_languages_are_kept(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    text = {r.lang: r.text for r in docs.groupBy("lang").agg(F.max_by("text", F.length("text")).alias("text")).collect()}
+    pieces = lambda langs: "\n".join(" ".join(text[x].split()[:60]) for x in langs)
+    langs = sorted(text)
+    assert len(langs) >= 3
+    more = spark.createDataFrame([(10**9 + 1, pieces(langs[:3]), None, "s", 1), (10**9 + 2, pieces(langs), None, "s", 1)], DOCS)
+    scores = lang_crf.predict(more, lang_crf.train(docs), "text", ["doc_id"]).collect()
+    assert min(r.score for r in scores) < P.LEAST_LANGUAGE < min(r.sure for r in scores)
+    kept = {r.doc_id for r in P.language(spark, docs.unionByName(more), SF001).select("doc_id").collect()}
+    assert {10**9 + 1, 10**9 + 2} <= kept
