@@ -8,12 +8,13 @@ of a bounded sample, parts all rows into leaves.
 A query first looks into its own leaf, nearest projections first.  Each verified vector may lower
 its k-th distance ``d``; it stops when the next projection lies so far off that
 a vector within ``d`` would be projected nearer with probability ``SURE``:
-``projected > d * sqrt(chi-square quantile)``.  The k-th distance found so gives the radius of
+``projected > d * sqrt(chi-square quantile)``, with room for the rounding of the projections.  The k-th distance found so gives the radius of
 the projected ball that is left to search; in a second step the query visits
 the leaves whose boxes meet the ball, and searches each in the same way.
 
 Leaves hold any number of rows (a vector may repeat without end), so each is
-cut into blocks by a hash of the id; queries are taken in blocks too.  The tree
+cut into blocks by a hash of the id; queries are taken in blocks too.  Of the exact copies of a vector in a block only those of the
+``k + 1`` smallest ids are looked at, as no other can be a result.  The tree
 and the boxes, at most ``MOST_LEAVES`` leaves, are all that is sent to every task.
 
 Defined cases: rows with a null id or with a vector that is null, zero, holds a null or
@@ -149,20 +150,39 @@ def index_rows(rows: DataFrame, size: int) -> tuple[Tree, DataFrame, dict, int]:
     return tree, placed, {k: max(1, math.ceil(c / BLOCK_ROWS)) for k, c in counts.items()}, n
 
 
+def _limit(q: np.ndarray, d: float, weights: np.ndarray, reach: float) -> float:
+    """Projected distance up to which a vector within ``d`` of ``q`` counts: ``d * reach`` and the rounding of both projections."""
+    room = 4 * np.finfo(float).eps * len(q) * np.linalg.norm(weights)
+    return d * reach + room * (2 * np.linalg.norm(q) + d)
+
+
+def _first_copies(ids: np.ndarray, v: np.ndarray, most: int) -> np.ndarray:
+    """Places, in order, of the rows of the ``most`` smallest ids of each distinct vector, a row for each id."""
+    flat = np.ascontiguousarray(v).view(np.dtype((np.void, v.dtype.itemsize * v.shape[1]))).ravel()
+    group = np.unique(flat, return_inverse=True)[1]
+    order = np.lexsort((ids, group))
+    g, i = group[order], ids[order]
+    order = order[np.concatenate(([True], (g[1:] != g[:-1]) | (i[1:] != i[:-1])))]
+    g = group[order]
+    return np.sort(order[np.arange(len(g)) - np.searchsorted(g, g) < most])
+
+
 def _search(data: pd.DataFrame, asked: pd.DataFrame, weights: np.ndarray, k: int, reach: float) -> list[tuple]:
     """(query, distance, id) of the k best of a block for each query, nearest projections first."""
     if not len(data) or not len(asked):
         return []
     ids, v = data["vec_id"].to_numpy(), _matrix(data["v"])
+    first = _first_copies(ids, v, k + 1)  # one of them may be the query itself
+    ids, v = ids[first], v[first]
     points, out = v @ weights, []
     for query, q, bound in zip(asked["query_id"], asked["q"], asked["bound"]):
         q = np.asarray(q, float)
         off = np.sqrt(((points - q @ weights) ** 2).sum(1))
-        near = np.flatnonzero((off <= bound * reach) & (ids != query))
+        near = np.flatnonzero((off <= _limit(q, bound, weights, reach)) & (ids != query))
         near = near[np.argsort(off[near], kind="stable")]
         best_d, best_i, d = np.zeros(0), np.zeros(0, np.int64), bound
         for low in range(0, len(near), STEP):
-            if off[near[low]] > d * reach:
+            if off[near[low]] > _limit(q, d, weights, reach):
                 break
             part = near[low:low + STEP]
             dist = np.concatenate((best_d, np.sqrt(((v[part] - q) ** 2).sum(1))))
@@ -221,7 +241,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, vec: str = "vec
                 if home:
                     hit = own[i:i + 1]
                 else:
-                    hit = leaves[tree.distance(q[i] @ weights)[leaves] <= bound[i] * reach]
+                    hit = leaves[tree.distance(q[i] @ weights)[leaves] <= _limit(q[i], bound[i], weights, reach)]
                     hit = hit[hit != own[i]]
                 row.append(np.full(len(hit), i))
                 leaf.append(hit)

@@ -59,3 +59,22 @@ def test_clean_documents_of_three_languages_are_kept(spark):
     assert min(r.score for r in scores) < P.LEAST_LANGUAGE < min(r.sure for r in scores)
     kept = {r.doc_id for r in P.language(spark, docs.unionByName(more), SF001).select("doc_id").collect()}
     assert {10**9 + 1, 10**9 + 2} <= kept
+
+
+# ---------------------------------------------------------------------- ann
+def test_copies_of_a_real_vector_go_to_the_smaller_ids(spark):
+    draw = np.random.default_rng(5)
+    hot = [float(np.float32(x)) for x in draw.normal(size=64)]
+    rows = [(int(i), hot if n < 1200 else [float(x) for x in draw.normal(size=64)]) for n, i in enumerate(draw.permutation(3000))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    copies = sorted(i for i, v in rows if v is hot)
+    asked = copies[700]
+    got = ann.nearest(df, df.filter(F.col("vec_id") == asked)).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in got] == [(i, 0.0) for i in copies[:10]]
+
+
+def test_first_copies():
+    ids = np.array([5, 1, 1, 9, 2, 7, 3])
+    v = np.array([[1.0, 2.0]] * 5 + [[0.0, 1.0]] * 2)
+    assert ann._first_copies(ids, v, 2).tolist() == [1, 4, 5, 6]
+    assert math.isinf(ann._limit(v[0], math.inf, ann.projection(2), 3.0))
