@@ -10,7 +10,7 @@ Forward-backward runs over all lines of a block at once, a step for each place
 in the line, and gives exact marginals.
 
 Training takes a bounded sample: at most ``DOCS_PER_LANG`` windows of
-``WINDOW`` words for each language, from rows picked by a hash of their id.
+``WINDOW`` words and ``WINDOW_CHARS`` characters for each language, one of each id, picked by a hash of the id.
 The field is fitted on the driver to sequences cut from these windows; half of
 them join pieces of several windows, so that transitions see switches.
 
@@ -28,15 +28,16 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martflow.llm.flat import Block, map_texts, ragged, runs
 
-#: Bounds of the training sample and of the lexicon.
+#: Bounds of the training sample (windows a language, words and characters of a window) and of the lexicon.
 DOCS_PER_LANG = 1500
 WINDOW = 64
+WINDOW_CHARS = 4096
 LEXICON = 8192
 #: Feature buckets, passes over the sequences, sequences in a step, words in a sequence.
 BUCKETS = 1 << 16
@@ -239,10 +240,10 @@ def held_out(doc: Column) -> Column:
 
 
 def training_sample(docs: DataFrame, doc: str, text: str, lang: str) -> list[tuple[str, str]]:
-    """(language, window): at most ``DOCS_PER_LANG`` windows of each language, the lowest id hashes first."""
+    """(language, window): at most ``DOCS_PER_LANG`` windows of each language, one of each id, the lowest id hashes first."""
     rows = docs.select(F.col(doc).alias("d"), F.col(lang).cast("string").alias("l"), F.col(text).cast("string").alias("t"))
     rows = rows.filter(F.col("d").isNotNull() & F.col("l").isNotNull() & F.col("t").isNotNull() & ~held_out(F.col("d")))
-    share = {r["l"]: min(1.0, 1.2 * (DOCS_PER_LANG + 50) / r["n"]) for r in rows.groupBy("l").agg(F.count(F.lit(1)).alias("n")).collect()}
+    share = {r["l"]: min(1.0, 1.2 * (DOCS_PER_LANG + 50) / r["n"]) for r in rows.groupBy("l").agg(F.greatest(F.approx_count_distinct("d", 0.02), F.lit(1)).alias("n")).collect()}
     if not share:
         return []
     most = F.element_at(F.create_map(*[x for l, p in share.items() for x in (F.lit(l), F.lit(int(p * 2 ** 32)))]), F.col("l"))
@@ -250,13 +251,11 @@ def training_sample(docs: DataFrame, doc: str, text: str, lang: str) -> list[tup
     words = F.split(F.trim("t"), r"[\x20\x09-\x0D]+")
     picked = rows.withColumn("h", h).filter(F.col("h") < most).withColumn("w", words)
     start = F.pmod(F.xxhash64("h"), F.greatest(F.size("w") - F.lit(WINDOW - 1), F.lit(1))) + 1
-    picked = picked.select("l", "h", "d", F.array_join(F.slice("w", start.cast("int"), WINDOW), " ").alias("t"))
-    out, taken = [], {}
-    for r in sorted(picked.collect(), key=lambda r: (r["l"], r["h"], str(r["d"]), r["t"])):
-        taken[r["l"]] = taken.get(r["l"], 0) + 1
-        if taken[r["l"]] <= DOCS_PER_LANG and any(map(str.isalpha, r["t"])):
-            out.append((r["l"], r["t"]))
-    return out
+    window = F.substring(F.array_join(F.slice("w", start.cast("int"), WINDOW), " "), 1, WINDOW_CHARS)
+    picked = picked.select("l", "h", "d", window.alias("t")).groupBy("l", "h", "d").agg(F.min("t").alias("t"))
+    place = F.row_number().over(Window.partitionBy("l").orderBy("h", F.col("d").cast("string")))
+    picked = picked.withColumn("place", place).filter(F.col("place") <= DOCS_PER_LANG).drop("place")
+    return [(r["l"], r["t"]) for r in sorted(picked.collect(), key=lambda r: (r["l"], r["h"], str(r["d"]))) if any(map(str.isalpha, r["t"]))]
 
 
 def train(docs: DataFrame, doc: str = "doc_id", text: str = "text", lang: str = "lang") -> Field | None:

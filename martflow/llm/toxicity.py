@@ -16,8 +16,8 @@ hashed into ``BUCKETS``; those that toxic texts hold significantly more often
 (G-test) are kept, at most ``FEATURES``.  A feature enters as presence and as
 root of its share of the words, so that chance hits in a long clean text weigh little.
 
-Training takes at most ``ROWS`` labelled rows, the lowest id hashes first, and
-fits on the driver.  Prediction covers all rows.
+Training takes at most ``ROWS`` labelled ids, the lowest id hashes first, each
+with one text (the least by hash), and fits on the driver.  Prediction covers all rows.
 
 Defined cases: a null text or one without words has probabilities 0.0 and is
 not toxic; so is every text if the sample lacks either class; null ids stay
@@ -87,12 +87,14 @@ def text_features(texts: list, tables) -> tuple[np.ndarray, np.ndarray, np.ndarr
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, doc: str, text: str, label: str) -> list:
-    """At most ``ROWS`` rows (toxic, words, buckets, counts), by id hash."""
+    """At most ``ROWS`` rows (toxic, words, buckets, counts), one of each id, by id hash."""
     y = labels.filter(F.col(doc).isNotNull() & F.col(label).isin(0, 1)).groupBy(F.col(doc).alias("y_id")).agg(F.max(label).alias("y"))
     share = min(1.0, 1.2 * (ROWS + 50) / max(y.count(), 1))
     y = y.withColumn("h", F.pmod(F.xxhash64("y_id"), F.lit(2 ** 32))).filter(F.col("h") < F.lit(int(share * 2 ** 32)))
     y = F.broadcast(y) if fits_broadcast(y, 48) else y
     rows = docs.select(F.col(doc).alias("d"), F.col(text).cast("string").alias("t")).join(y, F.col("d") == F.col("y_id")).select("d", "t", "y", "h")
+    # copies of an id are one row before any feature is made
+    rows = rows.groupBy("d", "y", "h").agg(F.min(F.struct(F.col("t").isNull(), F.xxhash64("t"), "t"))["t"].alias("t"))
     fields = [T.StructField("n", T.LongType()), T.StructField("buckets", T.ArrayType(T.IntegerType())), T.StructField("counts", T.ArrayType(T.IntegerType()))]
 
     def make():
@@ -106,8 +108,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, doc: str, text: str, label
 
         return work
 
-    got = map_texts(rows, make, fields, "t", ["d", "y", "h"]).toArrow()
-    order = np.lexsort((got["n"].to_numpy(), got["d"].to_numpy(), got["h"].to_numpy()))[:ROWS]
+    got = map_texts(rows, make, fields, "t", ["d", "y", "h"]).orderBy("h", "d").limit(ROWS).toArrow()
+    order = np.lexsort((got["d"].to_numpy(), got["h"].to_numpy()))
     columns = got.select(["y", "n", "buckets", "counts"]).take(pa.array(order)).combine_chunks()
     y, n = columns["y"].to_numpy(), columns["n"].to_numpy()
     b, c = columns["buckets"].combine_chunks(), columns["counts"].combine_chunks()

@@ -78,3 +78,25 @@ def test_first_copies():
     v = np.array([[1.0, 2.0]] * 5 + [[0.0, 1.0]] * 2)
     assert ann._first_copies(ids, v, 2).tolist() == [1, 4, 5, 6]
     assert math.isinf(ann._limit(v[0], math.inf, ann.projection(2), 3.0))
+
+
+# ----------------------------------------------------------------- training
+def test_copies_of_an_id_are_one_training_row(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "ROWS", 100)
+    monkeypatch.setattr(lang_crf, "DOCS_PER_LANG", 50)
+    rows = [(i, f"{'vile awful' if i % 2 else 'kind lovely'} words number {i}", "de" if i % 4 == 0 else "en", "s", 1) for i in range(400)]
+    seen = spark.createDataFrame(rows, DOCS)
+    y = spark.createDataFrame([(i, 1, i % 2) for i in range(400)], "doc_id long, quality int, toxic int")
+    # the id that leads the order by hash is repeated until it outnumbers all others
+    first = [r.doc_id for r in seen.filter("crc32(cast(doc_id AS string)) % 3 <> 1").orderBy(F.pmod(F.xxhash64("doc_id"), F.lit(2 ** 32))).limit(1).collect()]
+    hot = seen.unionByName(seen.filter(F.col("doc_id").isin(first)).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(900)))).drop("n"))
+    one, many = (toxicity.training_rows(d, y, "doc_id", "text", "toxic") for d in (seen, hot))
+    assert all(np.array_equal(a, b) for a, b in zip(one, many)) and len(many[0]) == 100 and set(many[0]) == {0, 1}
+    one, many = (lang_crf.training_sample(d, "doc_id", "text", "lang") for d in (seen, hot))
+    assert one == many and len(set(many)) == len(many) == 100
+
+
+def test_windows_are_bounded_in_characters(spark):
+    docs = spark.createDataFrame([(i, "漢字" * 50_000, "zh", "s", 1) for i in range(9)], DOCS)
+    got = lang_crf.training_sample(docs, "doc_id", "text", "lang")
+    assert got and max(len(t) for _, t in got) == lang_crf.WINDOW_CHARS
