@@ -127,8 +127,9 @@ def order_pre_process_stream(env: DataFrame, retention_s: int = 905,
     The idle retention of the source system becomes an event-time bound:
     an order version joins a detail only within ``retention_s`` of it, and
     activity/coupon rows within ``side_retention_s`` (default: the same).
-    Counted from the detail's change time: an order version later than the bound is lost, so choose
-    ``retention_s`` by how late a cancellation may come (the default is the source system's idle time).
+    Counted from the detail's change time.  An order version without a detail within the bound (the default is the
+    source system's idle time) is not lost: it comes out with ``late`` true and null detail columns once the watermark has
+    passed the bound, to be counted and kept by the caller.
     All sides are watermarked on the change time so Spark can drop join
     state; a detail without activity/coupon is emitted (with nulls) once the
     watermark passes its time plus the bound.
@@ -148,23 +149,24 @@ def order_pre_process_stream(env: DataFrame, retention_s: int = 905,
     side = F.expr(f"INTERVAL {side_retention_s or retention_s} SECONDS")
     # Each join output keeps one event-time column (the detail's), so the
     # next stateful join sees a single watermark.
-    j = od.join(oi, (od["order_id"] == oi["oi_id"])
-                & oi["oi_time"].between(od["od_time"] - rng, od["od_time"] + rng), "inner") \
-        .drop("oi_time")
-    j = j.join(act, (j["id"] == act["act_order_detail_id"])
+    j = oi.join(od, (od["order_id"] == oi["oi_id"])
+                & oi["oi_time"].between(od["od_time"] - rng, od["od_time"] + rng), "leftOuter") \
+        .select(*od.columns, *[c for c in oi.columns if c != "oi_time"])
+    # late rows have no detail time; by the condition on their own side they pass the next joins at once, without state
+    j = j.join(act, j["od_time"].isNotNull() & (j["id"] == act["act_order_detail_id"])
                & act["act_time"].between(j["od_time"] - side, j["od_time"] + side), "leftOuter") \
         .drop("act_time")
-    j = j.join(cou, (j["id"] == cou["cou_order_detail_id"])
+    j = j.join(cou, j["od_time"].isNotNull() & (j["id"] == cou["cou_order_detail_id"])
                & cou["cou_time"].between(j["od_time"] - side, j["od_time"] + side), "leftOuter") \
         .drop("cou_time")
-    return j
+    return j.withColumn("late", F.col("od_time").isNull())
 
 
 def with_dictionary(pre: DataFrame, base_dic: DataFrame, now: Column | None = None) -> DataFrame:
     """Finish job 6 on one micro-batch of joined rows: dictionary join
-    and the output projection."""
+    and the output projection.  Late rows have no detail and are the caller's to keep."""
     from martflow.operators.joins import lookup_join
-    d = lookup_join(pre, base_dic, "source_type", "dic_code", dict_cols=trade.DIC_COLS)
+    d = lookup_join(pre.filter(~F.col("late")), base_dic, "source_type", "dic_code", dict_cols=trade.DIC_COLS)
     pt = now if now is not None else F.current_timestamp()
     return d.select(
         *[F.col(c) for c in trade.ORDER_DETAIL_KEYS if c != "source_type"],
