@@ -5,11 +5,11 @@ its path from root to leaf (tag names).  For each path of the page the
 text length and the punctuation, both without link text, are summed and
 divided by the number of blocks.  Both ratios are smoothed over the order in
 which paths first occur, fused by multiplication, and paths whose fused score
-reaches a share of the page's deviation are content.  The content region is
-the article element, or where a page has none the smallest element around the best path
+reaches a share of the page's deviation are content, wherever they lie.  The content region adds to them: it is
+the article or main element, or where a page has none the smallest element around the best path
 that holds most of the content paths' text.  All blocks of the region are
 kept but those of menu paths (nearly all link text), so that a short paragraph
-or a heading in the midst of the article isn't lost.
+or a heading in the midst of the article isn't lost.  Beside a long article element, short ones are teasers and left out.
 
 Elements that are never main text (menus, page headers and footers, sidebars,
 forms, scripts, styles, and elements whose class, id or role names a notice,
@@ -236,18 +236,21 @@ def content(page: str | None) -> str:
         for (_, text, k), r in zip(blocks, regions):
             if r:
                 weight[r] = weight.get(r, 0) + len(text) - k
-        heavy = max(weight.values())
-        return "\n\n".join(t for (_, t, _), r, p in zip(blocks, regions, paths) if r and weight[r] >= TEASER * heavy and p not in menu)
-    if not any(chosen):
+        heavy = TEASER * max(weight.values())
+        inside = [bool(r) and weight[r] >= heavy for r in regions]
+        chosen = [c and not (r and r.name == "article" and weight[r] < heavy) for c, r in zip(chosen, regions)]
+    elif any(chosen):
+        own = lambda top: sum(len(t) - k for (n, t, k), c in zip(blocks, chosen) if c and n.within(top))
+        best = max((i for i, c in enumerate(chosen) if c), key=lambda i: (scores[paths[i]], len(blocks[i][1])))
+        top, total = blocks[best][0], sum(len(t) - k for (_, t, k), c in zip(blocks, chosen) if c)
+        while top.up and own(top) < REGION_SHARE * total:
+            top = top.up
+        if top is blocks[best][0] and top.up:
+            top = top.up
+        inside = [n.depth >= top.depth and n.within(top) for n, _, _ in blocks]
+    else:
         return ""
-    own = lambda top: sum(len(t) - k for (n, t, k), c in zip(blocks, chosen) if c and n.within(top))
-    best = max((i for i, c in enumerate(chosen) if c), key=lambda i: (scores[paths[i]], len(blocks[i][1])))
-    top, total = blocks[best][0], sum(len(t) - k for (_, t, k), c in zip(blocks, chosen) if c)
-    while top.up and own(top) < REGION_SHARE * total:
-        top = top.up
-    if top is blocks[best][0] and top.up:
-        top = top.up
-    return "\n\n".join(t for (n, t, _), p in zip(blocks, paths) if p not in menu and n.depth >= top.depth and n.within(top))
+    return "\n\n".join(t for (_, t, _), c, x, p in zip(blocks, chosen, inside, paths) if c or x and p not in menu)
 
 
 def main_text(pages: DataFrame, page: str = "page_id", url: str = "url", source: str = "html") -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 from conftest import SF001
-from martflow.llm import ann, lang_crf, toxicity
+from martflow.llm import ann, html_text, lang_crf, toxicity
 from test_llm_documents import DOCS
 
 
@@ -100,3 +100,16 @@ def test_windows_are_bounded_in_characters(spark):
     docs = spark.createDataFrame([(i, "漢字" * 50_000, "zh", "s", 1) for i in range(9)], DOCS)
     got = lang_crf.training_sample(docs, "doc_id", "text", "lang")
     assert got and max(len(t) for _, t in got) == lang_crf.WINDOW_CHARS
+
+
+# --------------------------------------------------------------------- pages
+def test_chosen_blocks_outside_the_region_are_kept():
+    intro = "An opening, with commas, stops; and all, that runs on for a while, as openings do."
+    body = ["A long paragraph, number %d, with words; and more words, as long texts have them, again and again." % i for i in range(12)]
+    whole = [intro, *body]
+    apart = f"<body><section><div><p>{intro}</p></div></section><div><div><div>{''.join(f'<p>{x}</p>' for x in body)}</div></div></div></body>"
+    assert html_text.content(apart).split("\n\n") == whole
+    marked = f"<body><div><p>{intro}</p></div><article>{''.join(f'<p>{x}</p>' for x in body)}</article></body>"
+    assert html_text.content(marked).split("\n\n") == whole
+    teaser = f"<body><article>{''.join(f'<p>{x}</p>' for x in body)}</article><article><p>Short, teaser.</p></article></body>"
+    assert html_text.content(teaser).split("\n\n") == body
