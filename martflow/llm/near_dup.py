@@ -4,8 +4,8 @@
    sets form a class, named by a 128-bit digest of the set; everything below
    works on classes, so copies never meet in pairs.
 2. A class keeps its ``k`` smallest hashes.  Two sets of the wanted similarity
-   share at least ``least`` kept values but for a chance of about 1e-9, and
-   exactly if the sets are no larger than ``k``.  So only the
+   share at least ``least`` kept values (:func:`least_shared`) but for a chance of at most 1e-9 at the limit of
+   similarity, and exactly if the sets are no larger than ``k``.  So only the
    ``kept - least + 1`` rarest kept values of a class need inverted lists: two
    such sets meet in one of them.
 3. Lists generate pairs.  If they hold many, each list first
@@ -17,7 +17,7 @@
    yields about m pair rows, not m * m / 2.
 4. A pair's overlap within the k smallest values of the united sketches
    estimates its similarity; pairs under ``least`` go.  Intersection and union
-   of the full sets verify the rest.
+   of the full sets verify the rest.  Pairs with a pivot and of difference lists skip the estimate.
 5. Verified links are contracted to components by repeated minimum labels.
 
 Defined cases: a null text, or one without words, has an empty set and links
@@ -31,6 +31,7 @@ empty table gives an empty result.  Only the named columns are read.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pandas as pd
@@ -42,9 +43,9 @@ from pyspark.sql import types as T
 from martflow.llm.flat import Block, map_texts, mix
 from martflow.llm.staging import fits_broadcast, staged
 
-#: Values that a sketch keeps, and how many of the united sketch's k values a pair has to share.
+#: Values that a sketch keeps, and the chance that a pair at the limit shares fewer of the united sketch's k values than it has to.
 SKETCH = 48
-LEAST = 25
+CHANCE = 1e-9
 #: Lists are paired by pivots if they hold more pairs than this many for each entry.
 PAIRS_PER_ENTRY = 4
 #: Members up to which a difference list is paired by a join; members of a block; shingles compared at a time.
@@ -53,6 +54,14 @@ BLOCK = 1024
 COLUMNS = 4096
 
 
+def least_shared(percent: int, k: int) -> int:
+    """How many of k values a pair has to share: as many as one at the limit has but for ``CHANCE`` (binomial)."""
+    p, least, under = percent / 100, 0, 0.0
+    while least < k and (under := under + math.comb(k, least) * p ** least * (1 - p) ** (k - least)) <= CHANCE:
+        least += 1
+    return max(least, 1)
+
+
 def shingle_sets(texts: list, words: int) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text, A-Z lower-cased."""
     block = Block(texts)
@@ -122,7 +131,7 @@ def inverted_lists(classes: DataFrame, k: int, least: int, similarity: float) ->
     shared = entries.groupBy("v").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     hot = entries.join(shared, "v")
     # Values that no other class keeps are the rarest; they take a place in the prefix but need no list.
-    need = F.when(F.col("kept") < k, F.least(F.ceil(F.lit(similarity) * F.col("kept") - F.lit(1e-9)), F.lit(k // 2)))
+    need = F.when(F.col("kept") < k, F.least(F.ceil(F.lit(similarity) * F.col("kept") - F.lit(1e-9)), F.lit(min(k // 2, least))))
     prefix = (F.col("kept") - F.coalesce(need, F.lit(least)) + 1).cast("int")
     return (hot.groupBy("sig", "kept").agg(F.array_sort(F.collect_list(F.struct("df", "v"))).alias("own"))
             .withColumn("take", prefix - (F.col("kept") - F.size("own")))
@@ -303,11 +312,12 @@ def class_links(docs: DataFrame, doc: str, text: str, classes: DataFrame, words:
     return None if links.isEmpty() else components(links)
 
 
-def judged(docs: DataFrame, doc: str, text: str, words: int, percent: int, k: int, least: int) -> DataFrame:
+def judged(docs: DataFrame, doc: str, text: str, words: int, percent: int, k: int, least: int | None) -> DataFrame:
     """(doc, tag, n_shingles, component, component_id) of every row.
 
     ``tag`` is a hash of the text, ``component`` one of the class digests of the row's component (null for an empty set).
     """
+    least = least_shared(percent, k) if least is None else least
     tagged = docs.select(F.col(doc).alias("doc"), F.col(text).cast("string").alias("text"), F.xxhash64(F.col(text)).alias("tag"))
     rows = staged(sketches(tagged, ["doc", "tag"], "text", words, k), "sketches")
     classes = staged(rows.filter("sig IS NOT NULL").groupBy("sig").agg(
@@ -328,7 +338,7 @@ def judged(docs: DataFrame, doc: str, text: str, words: int, percent: int, k: in
 
 
 def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80,
-                    k: int = SKETCH, least: int = LEAST) -> DataFrame:
+                    k: int = SKETCH, least: int | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of ``docs``.
 
     Links rows whose sets of ``words``-word shingles have ``100 * intersection >= percent * union``.
@@ -338,7 +348,7 @@ def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", wo
 
 
 def one_of_each(docs: DataFrame, doc: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80,
-                k: int = SKETCH, least: int = LEAST) -> DataFrame:
+                k: int = SKETCH, least: int | None = None) -> DataFrame:
     """``docs`` with one row of each component: of the smallest id (null last), then of the least text hash.  Rows without words all stay."""
     rows = staged(judged(docs, doc, text, words, percent, k, least).select("doc", "tag", "component"), "judged")
     rows = rows.filter("component IS NOT NULL").withColumn("own", F.struct(F.col("doc").isNull().alias("none"), "doc", "tag"))

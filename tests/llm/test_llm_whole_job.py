@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 from conftest import SF001
-from martflow.llm import ann, html_text, lang_crf, toxicity
+from martflow.llm import ann, html_text, lang_crf, near_dup, toxicity
 from test_llm_documents import DOCS
 
 
@@ -113,3 +113,12 @@ def test_chosen_blocks_outside_the_region_are_kept():
     assert html_text.content(marked).split("\n\n") == whole
     teaser = f"<body><article>{''.join(f'<p>{x}</p>' for x in body)}</article><article><p>Short, teaser.</p></article></body>"
     assert html_text.content(teaser).split("\n\n") == body
+
+
+# ----------------------------------------------------------- near duplicates
+def test_shared_values_follow_from_the_similarity():
+    for percent in (50, 80, 85, 95):
+        p, least = percent / 100, near_dup.least_shared(percent, near_dup.SKETCH)
+        under = lambda m: sum(math.comb(48, i) * p ** i * (1 - p) ** (48 - i) for i in range(m))
+        assert under(least) <= 1e-9 < under(least + 1)
+    assert near_dup.least_shared(100, 48) == 48
