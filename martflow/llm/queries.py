@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martflow.llm import ann, html_text, lang_crf, mixing, near_dup, piece_codec, quality, secrets, toxicity, url_filter
+from martflow.llm import (
+    ann, html_text, lang_crf, lexical, merkle, mixing, near_dup, piece_codec, quality, secrets, simhash, toxicity, url_filter)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,8 +55,22 @@ def op10_lang_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_crf.identify(_table(spark, sf_dir, "documents"))
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(_table(spark, sf_dir, "documents"), merkle.third_by_crc(F.col("doc_id")))
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality, op2_near_dup, op3_html_text, op4_mixing, op5_toxicity,
-    op6_ann, op7_secrets, op8_piece_codec, op9_url_filter, op10_lang_crf)}
+    op6_ann, op7_secrets, op8_piece_codec, op9_url_filter, op10_lang_crf,
+    op11_lexical, op12_merkle, op13_simhash)}
 
-ORACLES = {"op4_mixing": mixing.ORACLE, "op7_secrets": secrets.ORACLE, "op9_url_filter": url_filter.ORACLE}
+ORACLES = {"op4_mixing": mixing.ORACLE, "op7_secrets": secrets.ORACLE, "op9_url_filter": url_filter.ORACLE,
+           "op11_lexical": lexical.ORACLE, "op12_merkle": merkle.ORACLE}
