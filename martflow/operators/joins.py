@@ -4,14 +4,19 @@
   planner shuffles both sides on the key and AQE splits skewed partitions.
 * J4/J5 dictionary (lookup) joins broadcast the dictionary only after its rows
   and bytes are *proven* under a bound; beyond it the join stays a shuffle join.
+* J4 as of a time (:func:`lookup_as_of`): the dictionary as the row's own time saw it, from its versions.
 * J7 interval join: an equi-join on (key, time bucket) plus the exact range
   predicate, so a hot key is spread over its buckets.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
+from martflow.operators.sequence import running
+
 # Largest dictionary we broadcast without a shuffle (rows, and bytes of their text).
 DICT_BROADCAST_MAX_ROWS = 200_000
 DICT_BROADCAST_MAX_BYTES = 32 << 20
@@ -41,6 +46,51 @@ def lookup_join(facts: DataFrame, dictionary: DataFrame, fact_key: str, dict_key
     return facts.join(d, facts[fact_key] == d[dict_key], how)
 
 
+def dictionary_versions(changes: DataFrame, table: str, key: str, cols: Sequence[str], at: str = "ts") -> DataFrame:
+    """The versions of a dictionary from its change rows (envelope): ``key``, ``valid_from``, ``cols`` and ``gone`` for deletes."""
+    rows = changes.filter((F.col("table") == table) & F.col("type").isin("insert", "update", "delete", "bootstrap-insert"))
+    return rows.select(F.col("data")[key].alias(key), F.col(at).alias("valid_from"),
+                       *[F.col("data")[c].alias(c) for c in cols if c != key], (F.col("type") == "delete").alias("gone"))
+
+
+def lookup_as_of(facts: DataFrame, versions: DataFrame, fact_key: str, dict_key: str, at: str, cols: Sequence[str],
+                 how: str = "inner", valid_from: str = "valid_from", gone: str | None = None, bucket: int = 3_600_000,
+                 small: bool | None = None) -> DataFrame:
+    """J4 as of a time: each fact with ``cols`` of its key's newest version that is valid from its ``at`` or before.
+
+    ``inner`` drops facts without a version, or whose newest one is ``gone``; ``left`` gives them nulls.  Of
+    versions from the same time the greatest by ``cols`` counts.  Facts without a key or time have no version.
+
+    A dictionary that is small now (``small=None`` has it checked) is broadcast, its versions as one list for each key, and the
+    facts stay where they are.  Otherwise facts and versions of a key are put in order together, in buckets
+    of ``bucket`` time units, and the last version is carried on (:func:`running`): no range join, and no key's facts in one task.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("an as-of join is inner or left")
+    away = F.coalesce(F.col(gone), F.lit(False)) if gone else F.lit(False)
+    version = F.struct(*[F.col(f"`{c}`") for c in cols], away.alias("__gone"))
+    own = versions.filter(F.col(dict_key).isNotNull() & F.col(valid_from).isNotNull()) \
+        .select(F.col(dict_key).alias("__key"), F.col(valid_from).cast("bigint").alias("__at"), version.alias("__v"))
+    if has_at_most(own.select("__key", "__at", F.to_json("__v").alias("v")), DICT_BROADCAST_MAX_ROWS) if small is None else small:
+        lists = own.groupBy("__key").agg(F.array_sort(F.collect_list(F.struct("__at", "__v"))).alias("__all"))
+        j = facts.join(F.broadcast(lists), facts[fact_key] == lists["__key"], "left")
+        seen = F.filter("__all", lambda v: v["__at"] <= facts[at])
+        j = j.withColumn("__got", F.when(F.size(seen) > 0, F.element_at(seen, -1)["__v"])).drop("__key", "__all")
+    else:
+        rows = facts.select(facts[fact_key].alias("__key"), facts[at].cast("bigint").alias("__at"), F.lit(1).alias("__kind"),
+                            F.lit(None).cast(own.schema["__v"].dataType).alias("__v"),
+                            F.struct(*[facts[f"`{c}`"] for c in facts.columns]).alias("__row"))
+        both = rows.unionByName(own.withColumn("__kind", F.lit(0)), allowMissingColumns=True)
+        got = running(both, ["__key"], ["__at", "__kind", "__v"], F.floor(F.col("__at") / bucket).cast("bigint"), "__v", "__got")
+        # without a key or time nothing was before
+        got = got.filter("__kind = 1").withColumn("__got", F.when(F.col("__key").isNotNull() & F.col("__at").isNotNull(), F.col("__got")))
+        j = got.select("__row.*", "__got")
+    there = F.col("__got").isNotNull() & ~F.col("__got.__gone")
+    if how == "inner":
+        j = j.filter(there)
+    return j.select(*[F.col(f"`{c}`") for c in facts.columns], *[F.when(there, F.col("__got").getField(c)).alias(c) for c in cols])
+
+
 def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
                   left_ts: str, right_ts: str, lower_ms: int, upper_ms: int,
                   how: str = "inner") -> DataFrame:

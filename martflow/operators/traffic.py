@@ -20,8 +20,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from martflow.functions.timefmt import previous_day_str, to_date_str
+from martflow.operators.sequence import running
 
 BOUNCE_WITHIN_MS = 15_000  # fixed value: pattern time limit of the bounce rule
+OUT_OF_ORDER_MS = 2_000  # fixed value: how far the bounce job's watermark stays behind the newest event time
 
 
 def _order(order: Sequence[str] | None, ts: str) -> list[str]:
@@ -159,6 +161,25 @@ def user_jump(df: DataFrame, is_entry: Column, key: str = "mid", ts: str = "ts",
     return out.select(*df.columns)
 
 
+# ----------------------------------------------------------------- W1, W5
+def with_watermark(df: DataFrame, arrival: Sequence[str], bucket: Column, ts: str = "ts", delay_ms: int = OUT_OF_ORDER_MS,
+                   out: str = "watermark") -> DataFrame:
+    """W1 on a replay: the watermark that each row meets as it arrives, null for the first.
+
+    It is the newest event time of all rows before (of any key), less the delay and one millisecond.  ``arrival`` is a total order
+    and ``bucket`` does not fall along it; the maximum is carried over buckets (:func:`running`), so no task orders all rows.
+    """
+    newest = running(df, [], list(arrival), bucket, ts, "__newest", "max", inclusive=False)
+    return newest.withColumn(out, F.col("__newest") - F.lit(delay_ms + 1)).drop("__newest")
+
+
+def split_late(df: DataFrame, arrival: Sequence[str], bucket: Column, ts: str = "ts", delay_ms: int = OUT_OF_ORDER_MS) -> tuple[DataFrame, DataFrame]:
+    """``(on_time, late)``: a row at or before the watermark that it meets is late, and the pattern ignores it."""
+    marked = with_watermark(df, arrival, bucket, ts, delay_ms, "__wm")
+    late = F.coalesce(F.col(ts) <= F.col("__wm"), F.lit(False))
+    return marked.filter(~late).drop("__wm"), marked.filter(late).drop("__wm")
+
+
 def user_jump_matches_and_timeouts(df: DataFrame, is_entry: Column, key: str = "mid",
                                    ts: str = "ts", order: Sequence[str] | None = None,
                                    within_ms: int = BOUNCE_WITHIN_MS):

@@ -356,7 +356,89 @@ SELECT {_DETAIL_ID} AS id, o_orderstatus AS status, epoch_us(o_orderdate) // 100
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 WHERE o_orderdate BETWEEN l_shipdate - INTERVAL 30 DAY AND l_shipdate + INTERVAL 30 DAY"""
 
+# Rows by arrival: the watermark is the newest time of all rows before, less delay and a millisecond.
+_ARRIVING = """
+arriving AS (
+  SELECT event_id, CAST(user_id AS VARCHAR) AS mid, epoch_us(ts) // 1000 AS ts, event_type = 'view' AS is_entry,
+         epoch_us(ts) // 1000 + CAST(floor(value * 60000) AS BIGINT) AS arrival
+  FROM events),
+met AS (
+  SELECT *, coalesce(ts <= max(ts) OVER (ORDER BY arrival, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 1800001, false) AS late
+  FROM arriving)"""
+
+USER_JUMP_ON_TIME = f"""WITH {_ARRIVING}
+SELECT event_id, mid, ts FROM (
+  SELECT *, lead(ts) OVER w AS next_ts, lead(is_entry) OVER w AS next_entry
+  FROM met WHERE NOT late WINDOW w AS (PARTITION BY mid ORDER BY ts, arrival, event_id))
+WHERE is_entry AND (next_ts IS NULL OR next_ts - ts >= {_JUMP_MS} OR next_entry)"""
+
+USER_JUMP_LATE = f"""WITH {_ARRIVING} SELECT event_id, mid, ts, arrival FROM met WHERE late"""
+
+CART_ADD_AS_OF = f"""WITH versions(code, name, since, gone) AS (VALUES
+  ('A', 'source A', 0, false), ('A', 'source A renamed', 883612800, false), ('N', 'source N', 852076800, false),
+  ('R', 'source R', 0, false), ('R', 'source R', 915148800, true), ('R', 'source R again', 946684800, false)),
+v AS (
+  SELECT *, row_number() OVER w AS n, lag(l_quantity) OVER w AS prev_q, {_secs('l_shipdate')} AS ts
+  FROM lineitem WINDOW w AS (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate, l_partkey, l_suppkey))
+SELECT l_orderkey || '-' || l_linenumber AS id,
+  CAST(CAST(l_quantity AS BIGINT) - CASE WHEN n = 1 THEN 0 ELSE CAST(prev_q AS BIGINT) END AS VARCHAR) AS sku_num,
+  CAST(l_suppkey AS VARCHAR) AS source_id, d.name AS dic_name, ts
+FROM v JOIN versions d ON d.code = v.l_returnflag AND NOT d.gone
+  AND d.since = (SELECT max(x.since) FROM versions x WHERE x.code = v.l_returnflag AND x.since <= v.ts)
+WHERE n = 1 OR CAST(l_quantity AS BIGINT) - CAST(prev_q AS BIGINT) > 0"""
+
+CLICK_AS_OF_PURCHASE = f"""WITH {_TRAFFIC}
+SELECT c.event_id, c.mid, c.ts, arg_max(p.event_id, (p.ts, p.event_id)) AS purchase_id
+FROM traffic c LEFT JOIN traffic p ON p.event_type = 'purchase' AND p.mid = c.mid AND p.ts <= c.ts
+WHERE c.event_type = 'click' GROUP BY c.event_id, c.mid, c.ts"""
+
+# The literal state machine: a right row finds those left rows that no gap of two days has dropped before it.
+LEFT_JOIN_IDLE = f"""WITH {_CP},
+pairs AS (
+  SELECT l.click_id, l.click_ts, r.purchase_id, r.purchase_ts,
+         purchase_ts - lag(purchase_ts, 1, click_ts) OVER (PARTITION BY l.click_id, purchase_ts >= click_ts ORDER BY purchase_ts, purchase_id) AS gap
+  FROM l JOIN r ON l.mid = r.mid),
+met AS (
+  SELECT 'create' AS rule, click_id, click_ts, purchase_id, purchase_ts FROM pairs WHERE abs(purchase_ts - click_ts) < 172800000
+  UNION ALL
+  SELECT 'read_write', click_id, click_ts, purchase_id, purchase_ts
+  FROM (SELECT *, max(gap) OVER (PARTITION BY click_id, purchase_ts >= click_ts ORDER BY purchase_ts, purchase_id) AS widest FROM pairs)
+  WHERE CASE WHEN purchase_ts < click_ts THEN click_ts - purchase_ts < 172800000 ELSE widest < 172800000 END)
+SELECT rule, click_id, purchase_id, greatest(click_ts, purchase_ts) AS row_from, CAST(NULL AS BIGINT) AS row_to FROM met
+UNION ALL
+SELECT rules.rule, l.click_id, NULL, l.click_ts, (SELECT min(purchase_ts) FROM met m WHERE m.rule = rules.rule AND m.click_id = l.click_id)
+FROM l, (VALUES ('create'), ('read_write')) rules(rule)
+WHERE NOT EXISTS (SELECT 1 FROM met m WHERE m.rule = rules.rule AND m.click_id = l.click_id AND m.purchase_ts < l.click_ts)"""
+
+ORDER_RETRACTIONS = f"""WITH {_DIC}, {_OD},
+a AS (SELECT {_DETAIL_ID} AS k, 'act-' || CAST(CAST(l_discount AS DECIMAL(4,2)) AS VARCHAR) AS activity_id,
+             ({_secs('l_shipdate')} + (l_partkey % 7 - 3) * 2592000) * 8 + 3 AS p FROM lineitem WHERE l_discount >= 0.05),
+c AS (SELECT {_DETAIL_ID} AS k, 'cpn-' || CAST(CAST(l_tax AS DECIMAL(4,2)) AS VARCHAR) AS coupon_id,
+             ({_secs('l_shipdate')} + (l_suppkey % 5 - 2) * 3888000) * 8 + 4 AS p FROM lineitem WHERE l_tax >= 0.06),
+one AS (SELECT od.id, b.dic_name AS source_type, oi.order_status, oi.oi_ts,
+               greatest(od.od_ts * 8, oi.oi_ts * 8 + CASE WHEN oi.type = 'insert' THEN 1 ELSE 2 END) AS f
+        FROM od JOIN oi ON od.order_id = oi.oi_id JOIN base_dic b ON b.dic_code = od.source_type),
+two AS (
+  SELECT one.id, source_type, order_status, oi_ts, a.activity_id, greatest(f, p) AS f, CAST(NULL AS BIGINT) AS t FROM one JOIN a ON a.k = one.id
+  UNION ALL
+  SELECT id, source_type, order_status, oi_ts, NULL, f, (SELECT min(p) FROM a WHERE a.k = one.id) AS t FROM one
+  WHERE NOT EXISTS (SELECT 1 FROM a WHERE a.k = one.id AND a.p < one.f)),
+three AS (
+  SELECT two.* EXCLUDE (f), c.coupon_id, greatest(f, p) AS f FROM two JOIN c ON c.k = two.id WHERE t IS NULL OR greatest(f, p) < t
+  UNION ALL
+  SELECT id, source_type, order_status, oi_ts, activity_id, least(t, (SELECT min(p) FROM c WHERE c.k = two.id)) AS t, NULL, f FROM two
+  WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.k = two.id AND c.p < two.f))
+SELECT id, f AS place, false AS tombstone, order_status, oi_ts, source_type, activity_id, coupon_id FROM three
+UNION ALL
+SELECT id, t, true, NULL, NULL, NULL, NULL, NULL FROM three WHERE t IS NOT NULL"""
+
 ORACLES: dict[str, str] = {
+    "order_retractions": ORDER_RETRACTIONS,
+    "left_join_idle": LEFT_JOIN_IDLE,
+    "cart_add_as_of": CART_ADD_AS_OF,
+    "click_as_of_purchase": CLICK_AS_OF_PURCHASE,
+    "user_jump_on_time": USER_JUMP_ON_TIME,
+    "user_jump_late": USER_JUMP_LATE,
     "log_topic_start": LOG_TOPIC_START,
     "log_topic_error": LOG_TOPIC_ERROR,
     "log_topic_action": LOG_TOPIC_ACTION,

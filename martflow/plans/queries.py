@@ -16,7 +16,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from martflow.functions.jsonfn import map_json
 from martflow.functions.timefmt import join_list, ntz_to_millis, previous_day_str, split_list, to_date_str, to_datetime_str, to_ts
-from martflow.operators import joins, trade, traffic, upsert
+from martflow.operators import changelog, joins, trade, traffic, upsert
 from martflow.plans import jobs
 from martflow.session import checkpoint_root
 from martflow.sinks.topics import write_keyed
@@ -27,6 +27,8 @@ from martflow.sources.topics import read_keyed_topic
 
 USER_JUMP_WITHIN_MS = 6 * 3600 * 1000   # test mapping: events are minutes apart
 INTERVAL_MS = 3600 * 1000               # test mapping: click/purchase within 1 h
+DAY_MS = 86_400_000
+IDLE_MS = 2 * DAY_MS                    # test mapping of the idle time: a user's events are days apart
 BOUND_MS = 30 * 86_400_000              # test mapping: ship and order date within 30 days
 
 
@@ -129,6 +131,28 @@ def page_user_jump_ties(spark: SparkSession, sf: str) -> DataFrame:
     return jobs.user_jump_detail(page, within_ms=USER_JUMP_WITHIN_MS, arrival=["event_id"]).select("event_id", "mid", "ts")
 
 
+ARRIVAL = ["arrival", "event_id"]
+DELAY_MS = 30 * 60_000                  # test mapping of the watermark's delay: records arrive up to some hours late
+
+
+def _by_arrival(spark, sf):
+    e = T.arriving_rows(spark, sf)
+    return traffic.split_late(e, ARRIVAL, F.floor(F.col("arrival") / 3_600_000).cast("bigint"), delay_ms=DELAY_MS)
+
+
+def user_jump_on_time(spark: SparkSession, sf: str) -> DataFrame:
+    """W1 + W5 + O4: bounces among the records that the watermark lets in."""
+    on_time, _ = _by_arrival(spark, sf)
+    return traffic.user_jump(on_time, F.col("is_entry"), key="mid", ts="ts", order=["ts", *ARRIVAL],
+                             within_ms=USER_JUMP_WITHIN_MS).select("event_id", "mid", "ts")
+
+
+def user_jump_late(spark: SparkSession, sf: str) -> DataFrame:
+    """The records that came too late for the pattern."""
+    _, late = _by_arrival(spark, sf)
+    return late.select("event_id", "mid", "ts", "arrival")
+
+
 # ------------------------------------------------------------- parsing
 def _raw_split(spark: SparkSession, sf: str):
     raw = T.raw_records(spark, sf)
@@ -184,6 +208,37 @@ def cart_add(spark: SparkSession, sf: str) -> DataFrame:
     return trade.cart_add(env, T.base_dic(spark), _fixed_clock()).drop("pt")
 
 
+def cart_add_as_of(spark: SparkSession, sf: str) -> DataFrame:
+    """The dictionary changes while the topic runs, each record sees it as of its own time."""
+    env = _env(spark, sf, ("cart_info", "base_dic"))
+    versions = joins.dictionary_versions(env, "base_dic", "dic_code", ["dic_name"])
+    return trade.cart_add_as_of(env, versions, _fixed_clock()).select("id", "sku_num", "source_id", "dic_name", "ts")
+
+
+def click_as_of_purchase(spark: SparkSession, sf: str) -> DataFrame:
+    """J4 with a dictionary of any size: each click with its user's last purchase up to then (left)."""
+    e = T.traffic_rows(spark, sf)
+    bought = e.filter(F.col("event_type") == "purchase").select("mid", F.col("ts").alias("valid_from"), F.col("event_id").alias("purchase_id"))
+    clicks = e.filter(F.col("event_type") == "click").select("event_id", "mid", "ts")
+    return joins.lookup_as_of(clicks, bought, "mid", "mid", "ts", ["purchase_id"], "left", bucket=DAY_MS, small=False)
+
+
+def order_retractions(spark: SparkSession, sf: str) -> DataFrame:
+    """J2 + K3: the log of rows and tombstones that job 6 emits."""
+    env = trade.land_changes(T.topic_db_lines(spark, sf, _PRE_TABLES, shifted=True))[0]
+    out = trade.order_pre_process_log(env, T.base_dic(spark))
+    return out.select("id", "place", "tombstone", "order_status", "oi_ts", "source_type", "activity_id", "coupon_id")
+
+
+def left_join_idle(spark: SparkSession, sf: str) -> DataFrame:
+    """J3 + O6: clicks left-joined with purchases, state dropped when idle, under both refresh rules."""
+    left, right = _clicks_purchases(spark, sf)
+    def one(rule):
+        rows = changelog.idle_left_outer(left, right, "l_mid", "r_mid", "click_ts", "purchase_ts", IDLE_MS, rule, "click_id")
+        return rows.select(F.lit(rule).alias("rule"), "click_id", "purchase_id", changelog.FROM, changelog.TO)
+    return one("create").unionByName(one("read_write"))
+
+
 _PRE_TABLES = ("order_detail", "order_info", "order_detail_activity", "order_detail_coupon")
 
 
@@ -323,4 +378,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "config_fold": config_fold,
     "dictionary_file": dictionary_file,
     "order_within_bound": order_within_bound,
+    "order_retractions": order_retractions,
+    "left_join_idle": left_join_idle,
+    "cart_add_as_of": cart_add_as_of,
+    "click_as_of_purchase": click_as_of_purchase,
+    "user_jump_on_time": user_jump_on_time,
+    "user_jump_late": user_jump_late,
 }

@@ -61,6 +61,14 @@ def traffic_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_type")
 
 
+def arriving_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as they arrive: :func:`traffic_rows` with ``arrival`` (ms), later than ``ts`` by ``value`` minutes."""
+    e = table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value"])
+    ts = ntz_to_millis(F.col("ts"))
+    return e.select("event_id", _text(F.col("user_id")).alias("mid"), ts.alias("ts"), (F.col("event_type") == "view").alias("is_entry"),
+                    "event_type", (ts + F.floor(F.col("value") * 60_000).cast("bigint")).alias("arrival"))
+
+
 def log_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` rendered as ``topic_log`` JSON text (column ``value``) + event_id.
 
@@ -207,20 +215,24 @@ def order_detail_changes(li: DataFrame) -> DataFrame:
     return _env(li, "order_detail", "insert", _secs("l_shipdate"), data)
 
 
-def activity_changes(li: DataFrame) -> DataFrame:
+def _shifted(secs: F.Column, by: F.Column | None) -> F.Column:
+    return secs if by is None else (secs + by).cast("bigint")
+
+
+def activity_changes(li: DataFrame, shift: F.Column | None = None) -> DataFrame:
     a = li.filter(F.col("l_discount") >= 0.05)
     data = _m(("order_detail_id", detail_id()),
               ("activity_id", F.concat(F.lit("act-"), _text(F.col("l_discount").cast("decimal(4,2)")))),
               ("activity_rule_id", _text(F.col("l_linenumber"))))
-    return _env(a, "order_detail_activity", "insert", _secs("l_shipdate"), data)
+    return _env(a, "order_detail_activity", "insert", _shifted(_secs("l_shipdate"), shift), data)
 
 
-def coupon_changes(li: DataFrame) -> DataFrame:
+def coupon_changes(li: DataFrame, shift: F.Column | None = None) -> DataFrame:
     c = li.filter(F.col("l_tax") >= 0.06)
     data = _m(("order_detail_id", detail_id()),
               ("coupon_id", F.concat(F.lit("cpn-"), _text(F.col("l_tax").cast("decimal(4,2)")))),
               ("coupon_use_id", F.concat(F.lit("use-"), detail_id())))
-    return _env(c, "order_detail_coupon", "insert", _secs("l_shipdate"), data)
+    return _env(c, "order_detail_coupon", "insert", _shifted(_secs("l_shipdate"), shift), data)
 
 
 def order_info_changes(orders: DataFrame) -> DataFrame:
@@ -309,17 +321,28 @@ LINEITEM_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quan
                  "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_shipdate"]
 ORDERS_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"]
 
+def activity_shift() -> F.Column:
+    """Test mapping: activity rows come up to three months before or after their detail."""
+    return (F.col("l_partkey") % 7 - 3) * (30 * 86_400)
+
+
+def coupon_shift() -> F.Column:
+    """Test mapping: coupon rows come up to three months before or after their detail."""
+    return (F.col("l_suppkey") % 5 - 2) * (45 * 86_400)
+
+
 TRADE_TABLES = ("order_detail", "order_info", "order_detail_activity", "order_detail_coupon",
                 "payment_info", "cart_info")
 
 
-def topic_db(spark: SparkSession, sf_dir: str, tables=TRADE_TABLES) -> DataFrame:
-    """The change-log envelope for the requested source tables (parsed form)."""
+def topic_db(spark: SparkSession, sf_dir: str, tables=TRADE_TABLES, shifted: bool = False) -> DataFrame:
+    """The change-log envelope for the requested source tables (parsed form); ``shifted`` moves activity and coupon rows in time."""
     li = table(spark, sf_dir, "lineitem", LINEITEM_COLS)
     orders = table(spark, sf_dir, "orders", ORDERS_COLS)
     build = {"order_detail": lambda: order_detail_changes(li),
-             "order_detail_activity": lambda: activity_changes(li),
-             "order_detail_coupon": lambda: coupon_changes(li),
+             "order_detail_activity": lambda: activity_changes(li, activity_shift() if shifted else None),
+             "order_detail_coupon": lambda: coupon_changes(li, coupon_shift() if shifted else None),
+             "base_dic": lambda: dictionary_changes(spark),
              "order_info": lambda: order_info_changes(orders),
              "payment_info": lambda: payment_changes(orders),
              "cart_info": lambda: cart_changes(li)}
@@ -330,10 +353,10 @@ def topic_db(spark: SparkSession, sf_dir: str, tables=TRADE_TABLES) -> DataFrame
     return out
 
 
-def topic_db_lines(spark: SparkSession, sf_dir: str, tables=TRADE_TABLES) -> DataFrame:
+def topic_db_lines(spark: SparkSession, sf_dir: str, tables=TRADE_TABLES, shifted: bool = False) -> DataFrame:
     """The change-log as JSON lines, with bad and control lines mixed in: for
     each F order a cut-off line, for each P order a bootstrap start line."""
-    env = topic_db(spark, sf_dir, tables)
+    env = topic_db(spark, sf_dir, tables, shifted)
     lines = env.select(F.to_json(F.struct("database", "table", "type", "ts", "data", "old")).alias("value"))
     o = table(spark, sf_dir, "orders", ["o_orderkey", "o_orderstatus"]).filter(F.col("o_orderstatus").isin("F", "P"))
     control = F.format_string('{"database":"%s","table":"order_info","type":"bootstrap-start","ts":%d,"data":{}}',
@@ -374,6 +397,21 @@ def base_dic(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(BASE_DIC_ROWS, BASE_DIC_SCHEMA)
 
 
+# Changes of the dictionary while the topic runs (type, code, name, second).
+DIC_CHANGES = [
+    ("insert", "A", "source A", 0), ("update", "A", "source A renamed", 883_612_800),      # 1998-01-01
+    ("insert", "N", "source N", 852_076_800),                                              # 1997-01-01
+    ("insert", "R", "source R", 0), ("delete", "R", "source R", 915_148_800),              # 1999-01-01
+    ("insert", "R", "source R again", 946_684_800),                                        # 2000-01-01
+]
+
+
+def dictionary_changes(spark: SparkSession) -> DataFrame:
+    """The dictionary's changes as change records."""
+    rows = spark.createDataFrame(DIC_CHANGES, "type string, code string, name string, ts bigint")
+    return _env(rows, "base_dic", F.col("type"), F.col("ts"), _m(("dic_code", F.col("code")), ("dic_name", F.col("name"))))
+
+
 # The dimension config feed (table_process change records).
 CONFIG_FEED = [
     # op, ts_ms, source_table, sink_table, sink_columns, sink_pk, sink_extend
