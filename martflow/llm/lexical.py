@@ -38,8 +38,8 @@ from martflow.llm.staging import ship_package, staged
 
 TOP = 50
 BLOCK = 64
-SEGMENT_DOCS = 1 << 15
-SEGMENT_TERMS = 1 << 22
+SEGMENT_DOCS = 1 << 14
+SEGMENT_TERMS = 1 << 20
 #: Bytes of item ids and terms that one pass sends to the tasks; more items take more passes.
 ITEM_BYTES = 16 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
