@@ -432,7 +432,34 @@ SELECT id, f AS place, false AS tombstone, order_status, oi_ts, source_type, act
 UNION ALL
 SELECT id, t, true, NULL, NULL, NULL, NULL, NULL FROM three WHERE t IS NOT NULL"""
 
+DIM_ARRIVAL = """
+SELECT 'dim_part' AS sink_table, CAST(p_partkey AS VARCHAR) AS pk,
+       '{"id":"' || p_partkey || '","name":"' || p_name || '","extra":"x"}' AS data FROM part WHERE p_partkey >= 5
+UNION ALL
+SELECT 'dim_customer', CAST(c_custkey AS VARCHAR), '{"id":"' || c_custkey || '","name":"' || c_name || '"}'
+FROM customer WHERE c_custkey BETWEEN 21 AND 59 OR c_custkey >= 110
+UNION ALL
+SELECT 'dim_buyer', CAST(c_custkey AS VARCHAR), '{"id":"' || c_custkey || '","extra":"x"}' FROM customer WHERE c_custkey BETWEEN 60 AND 89"""
+
+TOPIC_ARRIVAL = """
+SELECT CAST(user_id AS VARCHAR) AS key, epoch_us(ts) // 1000 AS ts,
+       CAST(row_number() OVER (PARTITION BY user_id ORDER BY event_type <> 'signup', event_id) AS INTEGER) AS nth
+FROM events"""
+
+SNAPSHOT_THEN_LOG = f"""
+WITH s AS (SELECT c_custkey AS id, CAST({_d2('c_acctbal')} AS VARCHAR) AS value, c_custkey // 100 * 300 AS read_at FROM customer WHERE c_acctbal >= 0)
+SELECT 'r' AS op, id, value, read_at AS place FROM s
+UNION ALL
+SELECT 'u', o_custkey, CAST({_d2('o_totalprice')} AS VARCHAR), o_orderkey
+FROM orders LEFT JOIN s ON s.id = o_custkey WHERE o_orderkey > coalesce(read_at, 0)"""
+
 ORACLES: dict[str, str] = {
+    "order_current_compacted": ORDER_CURRENT,
+    "dim_buckets": DIM_SYNC,
+    "dim_arrival": DIM_ARRIVAL,
+    "dim_arrival_stream": DIM_ARRIVAL,
+    "topic_arrival": TOPIC_ARRIVAL,
+    "snapshot_then_log": SNAPSHOT_THEN_LOG,
     "order_retractions": ORDER_RETRACTIONS,
     "left_join_idle": LEFT_JOIN_IDLE,
     "cart_add_as_of": CART_ADD_AS_OF,

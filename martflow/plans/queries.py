@@ -11,22 +11,26 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from martflow.functions.jsonfn import map_json
 from martflow.functions.timefmt import join_list, ntz_to_millis, previous_day_str, split_list, to_date_str, to_datetime_str, to_ts
 from martflow.operators import changelog, joins, trade, traffic, upsert
 from martflow.plans import jobs
-from martflow.session import checkpoint_root
+from martflow.session import checkpoint_root, land
+from martflow.sinks import segments
+from martflow.sinks.keyed_table import KeyedTable
 from martflow.sinks.topics import write_keyed
 from martflow.sources import tables as T
 from martflow.sources.delimited import parse_delimited
 from martflow.sources.envelope import CONFIG_CHANGE_SCHEMA, ENVELOPE_SCHEMA, split_clean_dirty
 from martflow.sources.topics import read_keyed_topic
+from martflow.streaming import jobs as sjobs
 
 USER_JUMP_WITHIN_MS = 6 * 3600 * 1000   # test mapping: events are minutes apart
 INTERVAL_MS = 3600 * 1000               # test mapping: click/purchase within 1 h
+KEY_BUCKETS = 16                        # of the keyed tables here; a table's buckets should be of a task's size
 DAY_MS = 86_400_000
 IDLE_MS = 2 * DAY_MS                    # test mapping of the idle time: a user's events are days apart
 BOUND_MS = 30 * 86_400_000              # test mapping: ship and order date within 30 days
@@ -274,6 +278,78 @@ def order_current(spark: SparkSession, sf: str) -> DataFrame:
                       _at("$.order_status").alias("order_status"), F.col("offset").alias("oi_ts"))
 
 
+def order_current_compacted(spark: SparkSession, sf: str) -> DataFrame:
+    """K3 + K7: the same state from a bucketed table: two batches of versions, a compaction, a third batch."""
+    pre = _pre(spark, sf)
+    rows = pre.select(F.to_json(F.struct("id")).alias("key"), F.to_json(F.struct("type", "order_status", "oi_ts")).alias("value"), "type", "order_status", "oi_ts")
+    rows = land(rows, "order-versions", ("type", "order_status"))
+    t = KeyedTable(spark, f"{checkpoint_root(spark)}/keyed/order-{uuid.uuid4().hex}", KEY_BUCKETS)
+    for n, part in enumerate(["type = 'insert'", "type = 'update' AND order_status = '1003'", "type = 'update' AND order_status <> '1003'"]):
+        t.append(rows.filter(part).select("key", "value", "oi_ts"), ["oi_ts"], batch_id=n)
+        if n == 1:
+            t.compact()
+    return t.read().select(F.get_json_object("key", "$.id").alias("id"), _at("$.type").alias("type"), _at("$.order_status").alias("order_status"),
+                           _at("$.oi_ts").cast("bigint").alias("oi_ts"))
+
+
+def dim_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    """K4 + O7: dimensions in buckets, merged by column in three batches, only touched buckets rewritten."""
+    cfg, _ = upsert.fold_config(T.config_feed(spark))
+    routed = land(upsert.route_dimensions(T.dimension_changes(spark, sf), cfg).select("sink_table", "pk", "data", "type", "ts"), "routed")
+    root, out = f"{checkpoint_root(spark)}/dims/{uuid.uuid4().hex}", None
+    for row in upsert.config_rows(cfg):
+        name, cols = row["sink_table"], [c for c in row["sink_columns"].split(",") if c != row["sink_pk"]]
+        t = KeyedTable(spark, f"{root}/{name}", KEY_BUCKETS, cols)
+        mine = routed.filter(F.col("sink_table") == name).select(F.col("pk").alias("key"), "data", "type", "ts")
+        for n, part in enumerate(["type = 'insert' AND key < '5'", "type = 'insert' AND key >= '5'", "type = 'update'"]):
+            t.append(mine.filter(part).drop("type"), ["ts"], batch_id=n)
+            t.compact(0)
+        got = t.read().select(F.lit(name).alias("sink_table"), F.col("key").alias("id"),
+                              *[(F.col("data")[c] if c in cols else F.lit(None).cast("string")).alias(c) for c in DIM_COLUMNS])
+        out = got if out is None else out.unionByName(got)
+    return out
+
+
+def dim_arrival(spark: SparkSession, sf: str) -> DataFrame:
+    """J6 + O8 in order of arrival: rows before their config, or after its deletion, are dropped."""
+    routed = upsert.route_by_arrival(T.placed_dimensions(spark, sf), upsert.config_versions(T.placed_config(spark), "at"))
+    return routed.select("sink_table", "pk", map_json(F.col("data")).alias("data"))
+
+
+def dim_arrival_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """S1 + S2 + K1 + J6 + O8: the same as a stream over two topics with offsets, in micro-batches."""
+    root = f"{checkpoint_root(spark)}/route/{uuid.uuid4().hex}"
+    env = T.placed_dimensions(spark, sf)
+    lines = env.select(F.col("data")["id"].alias("key"), F.to_json(F.struct("database", "table", "type", "ts", "data")).alias("value"), "at")
+    feed = T.placed_config(spark).select(F.to_json(F.struct("before", "after", "op", "ts_ms")).alias("value"), "at")
+    for n, part in enumerate([F.col("at") < 75, F.col("at") >= 75]):
+        segments.append(lines.filter(part), f"{root}/db", n, key="key", order=["at"], timestamp=F.col("o0"))
+        segments.append(feed.filter(part), f"{root}/config", n, partitions=1, order=["at"], timestamp=F.col("o0"))
+        sjobs.dim_route_stream(spark, f"{root}/db", f"{root}/config", f"{root}/out", checkpoint=f"{root}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{root}/out/routed").select("sink_table", "pk", map_json(F.col("data")).alias("data"))
+
+
+def topic_arrival(spark: SparkSession, sf: str) -> DataFrame:
+    """S1 + K1: log lines appended to a topic in two batches; each record's place among its visitor's, by offset."""
+    path = f"{checkpoint_root(spark)}/topics/log-{uuid.uuid4().hex}"
+    lines = T.log_text(spark, sf).withColumn("mid", _at("$.common.mid"))
+    for n, part in enumerate([_at("$.start").isNotNull(), _at("$.start").isNull()]):
+        segments.append(lines.filter(part), path, n, key="mid", order=["event_id"])
+    w = Window.partitionBy("key").orderBy("offset")
+    return segments.read(spark, path).select("key", F.row_number().over(w).alias("nth"), _at("$.ts").cast("bigint").alias("ts"))
+
+
+def snapshot_then_log(spark: SparkSession, sf: str) -> DataFrame:
+    """A snapshot of customers, read in chunks at growing positions of the log of their orders, handed over to that log."""
+    c = T.table(spark, sf, "customer", ["c_custkey", "c_acctbal"]).filter(F.col("c_acctbal") >= 0)
+    snapshot = c.select(F.col("c_custkey").alias("id"), F.col("c_acctbal").cast("decimal(16,2)").cast("string").alias("value"),
+                        (F.floor(F.col("c_custkey") / 100) * 300).cast("bigint").alias("read_at"))
+    o = T.table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_totalprice"])
+    log = o.select(F.lit("u").alias("op"), F.col("o_custkey").alias("id"), F.col("o_totalprice").cast("decimal(16,2)").cast("string").alias("value"),
+                   F.col("o_orderkey").alias("place"))
+    return upsert.hand_over(snapshot, log, "id", "read_at", "place", begun=0)
+
+
 def config_fold(spark: SparkSession, sf: str) -> DataFrame:
     """S5 + O8: the config feed from JSON text; changes of one millisecond in order of arrival."""
     feed, _ = split_clean_dirty(T.config_lines(spark, sf), CONFIG_CHANGE_SCHEMA, keep=("seq",))
@@ -378,6 +454,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "config_fold": config_fold,
     "dictionary_file": dictionary_file,
     "order_within_bound": order_within_bound,
+    "order_current_compacted": order_current_compacted,
+    "dim_buckets": dim_buckets,
+    "dim_arrival": dim_arrival,
+    "dim_arrival_stream": dim_arrival_stream,
+    "topic_arrival": topic_arrival,
+    "snapshot_then_log": snapshot_then_log,
     "order_retractions": order_retractions,
     "left_join_idle": left_join_idle,
     "cart_add_as_of": cart_add_as_of,

@@ -380,6 +380,34 @@ def config_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             .unionByName(some(2, "d", F.lit("id,name"), "before")))
 
 
+def placed_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customer, part and supplier rows as change records in order of arrival: ``at`` is their key."""
+    keys = {"customer": "c_custkey", "part": "p_partkey", "supplier": "s_suppkey"}
+    names = {"customer": "c_name", "part": "p_name", "supplier": "s_name"}
+    out = None
+    for t, k in keys.items():
+        rows = table(spark, sf_dir, t, [k, names[t]])
+        env = _env(rows, t, "insert", F.col(k), _m(("id", _text(F.col(k))), ("name", F.col(names[t])), ("extra", F.lit("x")))) \
+            .withColumn("at", F.col("ts"))
+        out = env if out is None else out.unionByName(env)
+    return out
+
+
+# Config changes in order of arrival (op, place, source table, sink table, columns); place 20 first lacks its columns.
+PLACED_CONFIG = [
+    ("c", 20, "customer", "dim_customer", None), ("u", 21, "customer", "dim_customer", "id,name"), ("u", 60, "customer", "dim_buyer", "id,extra"),
+    ("d", 90, "customer", "dim_buyer", "id,extra"), ("c", 110, "customer", "dim_customer", "id,name"), ("c", 5, "part", "dim_part", "id,name,extra"),
+]
+
+
+def placed_config(spark: SparkSession) -> DataFrame:
+    """The config feed with places (``at``)."""
+    row = "struct<source_table:string,sink_table:string,sink_columns:string,sink_pk:string,sink_extend:string>"
+    rows = [(None if op != "d" else (src, sink, cols, "id", None), None if op == "d" else (src, sink, cols, "id", None), op, at, at)
+            for op, at, src, sink, cols in PLACED_CONFIG]
+    return spark.createDataFrame(rows, f"before {row}, after {row}, op string, ts_ms bigint, at bigint")
+
+
 # ------------------------------------------------------- small code tables
 # The dictionary (base_dic) -- source types and payment types.
 BASE_DIC_ROWS = [

@@ -20,7 +20,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from martflow.functions.timefmt import previous_day_str, to_date_str
 from martflow.operators import trade, traffic, upsert
 from martflow.operators.joins import stream_interval_join
-from martflow.session import checkpoint_root
+from martflow.session import checkpoint_root, land
+from martflow.sinks import segments
 from martflow.sinks.topics import fan_out, write_append, write_keyed
 from martflow.sources.envelope import LOG_SCHEMA, parse_config_feed, parse_envelope, parse_strict
 from martflow.sources.topics import ARRIVAL, read_topic
@@ -311,6 +312,57 @@ def dim_sync_stream(spark: SparkSession, db_topic: str, config_topic: str, root:
         .trigger(**(trigger or {"availableNow": True})).start()
 
 
+# Places of two topics on one clock: milliseconds, and in one of them config changes by offset, then data.
+_PLACES = 1_000_000
+
+
+def dim_route_stream(spark: SparkSession, db_topic: str, config_topic: str, root: str, *, checkpoint: str | None = None,
+                     trigger: dict | None = None, max_files: int | None = None):
+    """J6 + O8 as one stream over two segment topics: each change row is routed by the config that had arrived before it.
+
+    The topics' records are one stream, by their time of arrival.  The config is state: a small table ``root/_config``, a version for
+    each micro-batch, made from the last one and the batch's config changes alone.  Routed rows (``sink_table, sink_pk,
+    pk, data, place``) go to ``root/routed``, dirty texts of both topics to ``root/_dirty``.
+    """
+    both = segments.read(spark, db_topic, stream=True, max_files=max_files).withColumn("is_config", F.lit(False)) \
+        .unionByName(segments.read(spark, config_topic, stream=True, max_files=max_files).withColumn("is_config", F.lit(True)))
+    nth = F.when(F.col("is_config"), F.col("offset") % (_PLACES - 1)).otherwise(_PLACES - 1)
+    both = both.select("is_config", "value", (F.col("timestamp") * _PLACES + nth).alias("place"))
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        env, dirty = parse_envelope(batch.filter("NOT is_config"), keep=("place",))
+        feed, bad = parse_config_feed(batch.filter("is_config"), keep=("place",))
+        versions = upsert.config_versions(feed, "place")
+        last = config_state(spark, root, batch_id)
+        if last is not None:
+            versions = versions.unionByName(last)
+        versions = land(versions, "config-versions")
+        routed = upsert.route_by_arrival(env, versions, "place")
+        routed.select("sink_table", "sink_pk", "pk", "data", "place").write.mode("overwrite").parquet(f"{root}/routed/batch={batch_id}")
+        write_append(dirty.select("value").unionByName(bad.select("value")), f"{root}/_dirty", batch_id=batch_id, serialise=False)
+        now = upsert.latest(versions, ["source_table"], ["valid_from"]).filter("NOT gone")
+        now.coalesce(1).write.mode("overwrite").parquet(f"{root}/_config/version={batch_id}")
+        batch.unpersist()
+
+    return both.writeStream.foreachBatch(sink).option("checkpointLocation", _ckpt(spark, "dim_route", checkpoint)) \
+        .trigger(**(trigger or {"availableNow": True})).start()
+
+
+def config_state(spark: SparkSession, root: str, before: int | None = None) -> DataFrame | None:
+    """The config after the newest micro-batch (``before`` that one); None if there was none."""
+    if not _exists(spark, f"{root}/_config"):
+        return None
+    versions = [int(f.rpartition("version=")[2]) for f in _folders(spark, f"{root}/_config") if "version=" in f]
+    versions = [v for v in versions if before is None or v < before]
+    return spark.read.parquet(f"{root}/_config/version={max(versions)}") if versions else None
+
+
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return [s.getPath().toString() for s in p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)]
+
+
 def parse_config_feed_batch(spark: SparkSession, config_topic: str, fmt: str = "file", options: dict | None = None):
     """The config feed as it stands now, with an arrival sequence that breaks
     ties between changes of the same millisecond."""

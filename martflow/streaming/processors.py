@@ -14,7 +14,7 @@ from typing import Any
 
 import pandas as pd
 from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 DAY_MS = 86_400_000
 #: Columns that the callers add: the date of the event time and the day before it.
@@ -78,11 +78,11 @@ class UniqueVisitorProcessor(StatefulProcessor):
 class UserJumpProcessor(StatefulProcessor):
     """O4 + W1/W3/W5: bounce detection in event time.
 
-    Every row is kept until the watermark has passed it by ``within``: then its successor
-    is known, and no entry that it could follow within the limit can still arrive.  A timer at that time
-    judges the entries that are due (emitted unless the successor is a non-entry less than
-    ``within`` later) and frees all rows up to them, entries or not.  Rows
-    older than the watermark are late and ignored.
+    Rows are kept by time bucket, as wide as the pattern limit ``within``.  A bucket is judged by one timer, when the watermark has
+    passed the end of the next bucket: then all rows of both are there, and the successor of each row of the bucket is among
+    them.  An entry is emitted unless its successor is a non-entry less than ``within`` later.  The
+    bucket's rows are then freed.  State is read and written by bucket, a chunk for each micro-batch, so the work
+    is linear in a key's rows.  Rows older than the watermark are late and ignored.
     """
 
     def __init__(self, schema: StructType, order: Sequence[str], ts: str, is_entry: str, within_ms: int):
@@ -92,34 +92,42 @@ class UserJumpProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.kept = handle.getListState("rows", self.schema)
+        bucket = StructType([StructField("bucket", LongType())])
+        chunk = StructType([StructField("bucket", LongType()), StructField("chunk", LongType())])
+        self.chunks = handle.getMapState("chunks", bucket, StructType([StructField("n", LongType())]))
+        self.kept = handle.getMapState("rows", chunk, StructType([StructField("rows", ArrayType(self.schema))]))
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
         watermark = timerValues.getCurrentWatermarkInMs()
-        fresh = [t for df in rows for t in df[self.names].astype(object).itertuples(index=False, name=None)]
-        fresh = [t for t in fresh if t[self.ts] >= watermark]  # W5: late rows ignored
-        for due in {int(t[self.ts]) + self.within for t in fresh}:
-            self.handle.registerTimer(due)
-        if fresh:
-            self.kept.appendList(fresh)
+        fresh: dict[int, list] = {}
+        for df in rows:
+            for t in df[self.names].astype(object).itertuples(index=False, name=None):
+                if t[self.ts] >= watermark:  # W5: late rows ignored
+                    fresh.setdefault(int(t[self.ts]) // self.within, []).append(t)
+        for b, some in fresh.items():
+            n = self.chunks.getValue((b,))[0] if self.chunks.containsKey((b,)) else 0
+            if not n:
+                self.handle.registerTimer((b + 2) * self.within)
+            self.kept.updateValue((b, n), (some,))
+            self.chunks.updateValue((b,), (n + 1,))
         return iter([])
 
+    def _bucket(self, b: int) -> list:
+        n = self.chunks.getValue((b,))[0] if self.chunks.containsKey((b,)) else 0
+        rows = [tuple(t) for k in range(n) for t in self.kept.getValue((b, k))[0]]
+        return sorted(rows, key=lambda t: [t[i] for i in self.at])
+
     def handleExpiredTimer(self, key: Any, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
-        due = expiredTimerInfo.getExpiryTimeInMs()
-        rows = sorted(self.kept.get(), key=lambda t: [t[i] for i in self.at]) if self.kept.exists() else []
-        # a row may stand before one that is due and still be kept, if times tie or order otherwise
-        ready = [i for i, t in enumerate(rows) if t[self.ts] + self.within <= due]
+        b = expiredTimerInfo.getExpiryTimeInMs() // self.within - 2
+        rows, after = self._bucket(b), self._bucket(b + 1)
         out = []
-        for i in ready:
-            after = rows[i + 1] if i + 1 < len(rows) else None
-            stopped = after is not None and not after[self.is_entry] and after[self.ts] - rows[i][self.ts] < self.within
-            if rows[i][self.is_entry] and not stopped:
-                out.append(rows[i])
-        left = [t for t in rows if t[self.ts] + self.within > due]
-        if left:
-            self.kept.put(left)
-        else:
-            self.kept.clear()
+        for t, nxt in zip(rows, [*rows[1:], *after[:1], None]):
+            stopped = nxt is not None and not nxt[self.is_entry] and nxt[self.ts] - t[self.ts] < self.within
+            if t[self.is_entry] and not stopped:
+                out.append(t)
+        for k in range(self.chunks.getValue((b,))[0]):
+            self.kept.removeKey((b, k))
+        self.chunks.removeKey((b,))
         if out:
             yield pd.DataFrame(out, columns=self.names)
 
