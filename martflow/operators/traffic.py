@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from martflow.functions.timefmt import previous_day_str, to_date_str
 from martflow.operators.sequence import running
+from martflow.sources.envelope import once
 
 BOUNCE_WITHIN_MS = 15_000  # fixed value: pattern time limit of the bounce rule
 OUT_OF_ORDER_MS = 2_000  # fixed value: how far the bounce job's watermark stays behind the newest event time
@@ -197,20 +198,15 @@ def user_jump_matches_and_timeouts(df: DataFrame, is_entry: Column, key: str = "
 
 # ------------------------------------------------------------------ X1-X5
 # Open records: fields are read and replaced by name, all others pass on as they came.
-def _once(c: Column) -> Column:
-    """The value as a generated row: filters on it stay above, instead of working it out anew below."""
-    return F.explode(F.array(c))
-
-
 def keyed_log(raw: DataFrame, value: str = "value", keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """P1 for job 2: ``(clean, dirty)``; clean has ``keep``, the text, and the
     fields the jobs read: ``mid``, ``is_new``, ``ts``, ``is_entry`` (F7).
 
     Dirty: text that is no JSON object, and records without ``common.mid`` or ``ts``.
     """
-    tagged = raw.select(*keep, F.col(value), _once(F.try_parse_json(F.col(value))).alias("__v"))
+    tagged = raw.select(*keep, F.col(value), once(F.try_parse_json(F.col(value))).alias("__v"))
     get = lambda path, kind: F.try_variant_get("__v", path, kind)
-    rows = tagged.select(*keep, F.col(value).alias("value"), _once(F.struct(
+    rows = tagged.select(*keep, F.col(value).alias("value"), once(F.struct(
         get("$.common.mid", "string").alias("mid"), get("$.common.is_new", "string").alias("is_new"),
         get("$.ts", "bigint").alias("ts"), get("$.page.last_page_id", "string").isNull().alias("is_entry"))).alias("__f"))
     rows = rows.select(*keep, "value", "__f.*")
@@ -246,14 +242,14 @@ def split_open_log(log: DataFrame, fixed: str = "is_new", keep: Sequence[str] =
     void = F.lit(None).cast("variant")
     as_map = lambda v: F.try_variant_get(v, "$", "map<string,variant>")
     elements = lambda name: F.try_variant_get(F.col("__m")[name], "$", "array<map<string,variant>>")
-    rec = log.select(*log.columns, _once(as_map(F.try_parse_json("value"))).alias("__m"))
+    rec = log.select(*log.columns, once(as_map(F.try_parse_json("value"))).alias("__m"))
     common = as_map(F.col("__m")["common"])
     common = F.when(F.col(fixed).isNotNull(), F.to_variant_object(_put(common, is_new=F.col(fixed).cast("variant")))) \
         .otherwise(F.col("__m")["common"])
     err = F.col("__m")["err"]
     present = lambda c: c.isNotNull() & ~F.is_variant_null(c)
     error = rec.filter(present(err)).select(*keep, F.to_json(err).alias("value"))
-    rec = rec.select(*keep, _once(_put(F.col("__m"), common=common, err=void)).alias("__m"))
+    rec = rec.select(*keep, once(_put(F.col("__m"), common=common, err=void)).alias("__m"))
     is_start = F.coalesce(present(F.col("__m")["start"]), F.lit(False))
     start = rec.filter(is_start).select(*keep, _text(F.col("__m")).alias("value"))
     pages = rec.filter(~is_start)
@@ -265,9 +261,3 @@ def split_open_log(log: DataFrame, fixed: str = "is_new", keep: Sequence[str] =
 
     page = pages.select(*keep, _text(_put(F.col("__m"), actions=void, displays=void)).alias("value"))
     return {"page": page, "start": start, "action": each("actions"), "display": each("displays"), "error": error}
-
-
-def set_common_field(common: str, field: str, value: Column) -> Column:
-    """overwrite one key of an open map column."""
-    return F.map_concat(F.map_filter(F.col(common), lambda k, v: k != F.lit(field)),
-                        F.create_map(F.lit(field), value))

@@ -18,7 +18,7 @@ from martflow.functions.jsonfn import map_json
 from martflow.functions.timefmt import join_list, ntz_to_millis, previous_day_str, split_list, to_date_str, to_datetime_str, to_ts
 from martflow.operators import changelog, joins, trade, traffic, upsert
 from martflow.plans import jobs
-from martflow.session import checkpoint_root, land
+from martflow.session import checkpoint_root, land, topic_once
 from martflow.sinks import segments
 from martflow.sinks.keyed_table import KeyedTable
 from martflow.sinks.topics import write_keyed
@@ -67,8 +67,18 @@ def user_jump(spark: SparkSession, sf: str) -> DataFrame:
         .select("event_id", "mid", "ts")
 
 
+def _outputs(topic: DataFrame) -> dict[str, DataFrame]:
+    """Job 2 from the topic: the clean records are landed, so that each is parsed once to be keyed and once to be split."""
+    clean, _ = traffic.keyed_log(topic, keep=["event_id"])
+    return jobs.split_log(land(clean, "clean-log"), arrival=["event_id"])
+
+
 def _log_outputs(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return jobs.base_log(T.log_text(spark, sf), arrival=["event_id"])
+    return _outputs(topic_once(spark, f"log {sf}", lambda: T.log_text(spark, sf)))
+
+
+def _open_log(spark: SparkSession, sf: str, ties: bool = False) -> DataFrame:
+    return topic_once(spark, f"open log {ties} {sf}", lambda: T.open_log_lines(spark, sf, minute_ties=ties))
 
 
 def _at(path: str) -> F.Column:
@@ -106,8 +116,7 @@ def log_split_error(spark: SparkSession, sf: str) -> DataFrame:
 def _log_topic(name: str) -> Callable[[SparkSession, str], DataFrame]:
     """The texts that job 2 writes to one of its topics."""
     def query(spark: SparkSession, sf: str) -> DataFrame:
-        out = jobs.base_log(T.open_log_lines(spark, sf), arrival=["event_id"])
-        return out[name].select("event_id", "value")
+        return _outputs(_open_log(spark, sf))[name].select("event_id", "value")
     return query
 
 
@@ -125,13 +134,14 @@ def page_user_jump(spark: SparkSession, sf: str) -> DataFrame:
 
 def visitor_repair_ties(spark: SparkSession, sf: str) -> DataFrame:
     """O2 where many records of a visitor share a millisecond: arrival decides."""
-    clean, _ = traffic.keyed_log(T.open_log_lines(spark, sf, minute_ties=True), keep=["event_id"])
+    clean, _ = traffic.keyed_log(_open_log(spark, sf, True), keep=["event_id"])
+    clean = land(clean.select("event_id", "mid", "ts", "is_new"), "clean-log")
     return traffic.repair_new_visitor(clean, order=["ts", "event_id"]).select("event_id", "mid", "ts", "is_new")
 
 
 def page_user_jump_ties(spark: SparkSession, sf: str) -> DataFrame:
     """O4 where many records of a visitor share a millisecond: arrival decides."""
-    page = jobs.base_log(T.open_log_lines(spark, sf, minute_ties=True), arrival=["event_id"])["page"]
+    page = _outputs(_open_log(spark, sf, True))["page"]
     return jobs.user_jump_detail(page, within_ms=USER_JUMP_WITHIN_MS, arrival=["event_id"]).select("event_id", "mid", "ts")
 
 
@@ -202,9 +212,10 @@ def time_formats(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # --------------------------------------------------------------- trade
-def _env(spark, sf, tables):
+def _env(spark, sf, tables, shifted=False):
     """The change-log from its text lines (bad and control lines among them), parsed once."""
-    return trade.land_changes(T.topic_db_lines(spark, sf, tables))[0]
+    lines = topic_once(spark, f"db {tables} {shifted} {sf}", lambda: T.topic_db_lines(spark, sf, tables, shifted))
+    return trade.land_changes(lines)[0]
 
 
 def cart_add(spark: SparkSession, sf: str) -> DataFrame:
@@ -229,7 +240,7 @@ def click_as_of_purchase(spark: SparkSession, sf: str) -> DataFrame:
 
 def order_retractions(spark: SparkSession, sf: str) -> DataFrame:
     """J2 + K3: the log of rows and tombstones that job 6 emits."""
-    env = trade.land_changes(T.topic_db_lines(spark, sf, _PRE_TABLES, shifted=True))[0]
+    env = _env(spark, sf, _PRE_TABLES, shifted=True)
     out = trade.order_pre_process_log(env, T.base_dic(spark))
     return out.select("id", "place", "tombstone", "order_status", "oi_ts", "source_type", "activity_id", "coupon_id")
 

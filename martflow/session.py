@@ -84,12 +84,44 @@ def checkpoint_root(spark: SparkSession) -> str:
     return (sc.getCheckpointDir() or d).rstrip("/")
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def _own(spark: SparkSession, kind: str) -> str:
+    return f"{checkpoint_root(spark)}/{kind}-{spark.sparkContext.applicationId}"
+
+
 def land(df, name: str, partition_by: tuple[str, ...] = ()):
     """Write ``df`` once as a parquet table in the shared folder and return the
     table read back: for results that several views read.  A lost executor then costs a
-    re-read of files, not the lineage that led to them."""
+    re-read of files, not the lineage that led to them.  With ``partition_by`` the rows are dealt by it first, large groups
+    to several tasks, so that a folder gets few files.  :func:`drop_landed` removes these tables."""
     spark, schema = df.sparkSession, df.schema
-    path = f"{checkpoint_root(spark)}/tables/{name}-{uuid.uuid4().hex}"
-    df.write.partitionBy(*partition_by).parquet(path)
+    path = f"{_own(spark, 'tables')}/{name}-{uuid.uuid4().hex}"
+    dealt = df.hint("rebalance", *partition_by) if partition_by else df
+    dealt.write.partitionBy(*partition_by).parquet(path)
     back = spark.read.schema(schema).parquet(path)
     return back.select(*[c for c in df.columns])
+
+
+def drop_landed(spark: SparkSession) -> None:
+    """Delete the tables that this application has landed; call it when the results that read them are written."""
+    _delete(spark, _own(spark, "tables"))
+
+
+_TOPICS: dict[tuple[str, str], str] = {}
+
+
+def topic_once(spark: SparkSession, name: str, build):
+    """The records that ``build()`` renders, as a topic: written to the shared folder at an application's first call, and read from there by all.
+
+    The jobs take their records from a topic; rendering them from test tables is no part of a job.
+    """
+    at = (spark.sparkContext.applicationId, name)
+    if at not in _TOPICS:
+        path = f"{_own(spark, 'rendered')}/{uuid.uuid4().hex}"
+        build().write.parquet(path)
+        _TOPICS[at] = path
+    return spark.read.parquet(_TOPICS[at])

@@ -62,6 +62,11 @@ def decode_value(col="value"):
     return F.coalesce(c.cast("string"), F.lit(""))
 
 
+def once(c):
+    """The value as a generated row: filters on it stay above, instead of working it out anew below."""
+    return F.explode(F.array(c))
+
+
 def split_clean_dirty(raw: DataFrame, schema: T.StructType, value: str = "value",
                       route_control: bool = False, keep: tuple[str, ...] = ()):
     """P1 (+P2): parse JSON text; return ``(clean, dirty)``.
@@ -71,9 +76,8 @@ def split_clean_dirty(raw: DataFrame, schema: T.StructType, value: str = "value"
     ``route_control`` also control records whose ``type`` is one of
     :data:`CONTROL_TYPES` (a missing ``type`` passes).
     """
-    ok = is_json_object(F.col(value))
-    tagged = raw.select(*keep, F.col(value), ok.alias("_ok"),
-                        F.when(ok, F.from_json(F.col(value), schema)).alias("_rec"))
+    tagged = raw.select(*keep, F.col(value), once(is_json_object(F.col(value))).alias("_ok"))
+    tagged = tagged.select(*keep, F.col(value), "_ok", once(F.when(F.col("_ok"), F.from_json(F.col(value), schema))).alias("_rec"))
     if route_control:
         typ = F.col("_rec").getField("type") if "type" in schema.fieldNames() else \
             F.get_json_object(F.col(value), "$.type")
