@@ -173,7 +173,8 @@ def links(prints: DataFrame, most: int = LIST) -> DataFrame:
     ship_package(prints.sparkSession)
     masks = list_masks()
     sizes = _entries(prints, masks).groupBy("m", "v").agg(F.count(F.lit(1)).alias("held")).filter("held > 1")
-    shared = staged(_entries(prints, masks).join(staged(sizes, "sizes"), ["m", "v"]), "shared")
+    # by key at every size: a broadcast of the shared lists would grow with the input
+    shared = staged(_entries(prints, masks).join(staged(sizes, "sizes").hint("merge"), ["m", "v"]), "shared")
     short = shared.filter(F.col("held") <= most).groupBy("m", "v").agg(F.collect_list("fp").alias("members")).select("m", "members")
     near = short.mapInArrow(linked(masks), "a long, b long")
     dense = shared.filter(F.col("held") > most).select("fp").distinct()
