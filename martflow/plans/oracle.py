@@ -460,6 +460,10 @@ ORACLES: dict[str, str] = {
     "dim_arrival_stream": DIM_ARRIVAL,
     "topic_arrival": TOPIC_ARRIVAL,
     "snapshot_then_log": SNAPSHOT_THEN_LOG,
+    "stream_log_page": f"SELECT value FROM ({LOG_TOPIC_PAGE})",
+    "stream_user_jump": PAGE_USER_JUMP,
+    "stream_unique_visitor": PAGE_UNIQUE_VISITOR,
+    "stream_dim_sync": DIM_SYNC,
     "order_retractions": ORDER_RETRACTIONS,
     "left_join_idle": LEFT_JOIN_IDLE,
     "cart_add_as_of": CART_ADD_AS_OF,

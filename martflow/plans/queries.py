@@ -432,6 +432,59 @@ def dim_sync(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("sink_table", "id", *DIM_COLUMNS)
 
 
+# -------------------------------------------------------------- streams
+# Each runs a job's stream over topics in the shared folder until it has read them, and returns what it wrote.
+def _stream_root(spark: SparkSession) -> str:
+    return f"{checkpoint_root(spark)}/streams/{uuid.uuid4().hex}"
+
+
+def stream_log_page(spark: SparkSession, sf: str) -> DataFrame:
+    """S1 + P1 + O2 + X1-X5 + K1 + K6: job 2 as a stream; the page topic."""
+    root = _stream_root(spark)
+    _open_log(spark, sf).select("value").write.text(f"{root}/log")
+    for q in sjobs.base_log_stream(spark, f"{root}/log", f"{root}/out", checkpoint=f"{root}/checkpoint"):
+        q.awaitTermination()
+    return spark.read.text(f"{root}/out/page").select("value")
+
+
+def _page_topic(spark: SparkSession, sf: str, root: str) -> str:
+    """Job 2's page topic, and behind it one record from far ahead, of nobody, that drives the watermark past all others."""
+    _outputs(_open_log(spark, sf))["page"].select("value").write.text(f"{root}/page")
+    end = spark.createDataFrame([('{"common":{"mid":"-"},"page":{"last_page_id":"-"},"ts":4102444800000}',)], "value string")
+    end.write.mode("append").text(f"{root}/page")
+    return f"{root}/page"
+
+
+def stream_user_jump(spark: SparkSession, sf: str) -> DataFrame:
+    """P3 + W1 + O4 + U1 + W3: job 4 as a stream."""
+    root = _stream_root(spark)
+    sjobs.user_jump_job_stream(spark, _page_topic(spark, sf, root), f"{root}/out", checkpoint=f"{root}/checkpoint",
+                               within_ms=USER_JUMP_WITHIN_MS).awaitTermination()
+    return spark.read.text(f"{root}/out").select(_at("$.common.mid").alias("mid"), _at("$.ts").cast("bigint").alias("ts"))
+
+
+def stream_unique_visitor(spark: SparkSession, sf: str) -> DataFrame:
+    """P3 + O3 + O5: job 3 as a stream (a bounded replay: state without a time to live)."""
+    root = _stream_root(spark)
+    sjobs.unique_visitor_job_stream(spark, _page_topic(spark, sf, root), f"{root}/out", checkpoint=f"{root}/checkpoint",
+                                    trigger={"availableNow": True}, ttl_ms=None).awaitTermination()
+    return spark.read.text(f"{root}/out").select(_at("$.common.mid").alias("mid"), _at("$.ts").cast("bigint").alias("ts"), _at("$.page.page_id").alias("page_id"))
+
+
+def stream_dim_sync(spark: SparkSession, sf: str) -> DataFrame:
+    """S2 + S5 + J6 + O7 + O8 + K4 + K5: job 1 as a stream."""
+    root = _stream_root(spark)
+    T.dimension_changes(spark, sf).select(F.to_json(F.struct("database", "table", "type", "ts", "data", "old")).alias("value")).write.text(f"{root}/db")
+    T.config_feed(spark).select(F.to_json(F.struct("before", "after", "op", "ts_ms")).alias("value")).coalesce(1).write.text(f"{root}/config")
+    sjobs.dim_sync_stream(spark, f"{root}/db", f"{root}/config", f"{root}/dims", checkpoint=f"{root}/checkpoint").awaitTermination()
+    out = None
+    for name in ("dim_customer", "dim_part", "dim_supplier"):
+        d = sjobs.read_dimension(spark, f"{root}/dims", name)
+        got = d.select(F.lit(name).alias("sink_table"), "id", *[F.col(c) if c in d.columns else F.lit(None).cast("string").alias(c) for c in DIM_COLUMNS])
+        out = got if out is None else out.unionByName(got)
+    return out
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "visitor_repair": visitor_repair,
     "unique_visitor": unique_visitor,
@@ -471,6 +524,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dim_arrival_stream": dim_arrival_stream,
     "topic_arrival": topic_arrival,
     "snapshot_then_log": snapshot_then_log,
+    "stream_log_page": stream_log_page,
+    "stream_user_jump": stream_user_jump,
+    "stream_unique_visitor": stream_unique_visitor,
+    "stream_dim_sync": stream_dim_sync,
     "order_retractions": order_retractions,
     "left_join_idle": left_join_idle,
     "cart_add_as_of": cart_add_as_of,

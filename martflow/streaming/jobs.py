@@ -63,7 +63,8 @@ def unique_visitor_stream(df: DataFrame, key: str, ts: str = "ts", seq: str | Se
     processing-time trigger, or pass ``ttl_ms=None`` for a bounded replay.
     """
     return _dated(df, ts, tz).groupBy(key).transformWithStateInPandas(
-        UniqueVisitorProcessor(_order(ts, seq, by_arrival), df.columns, ttl_ms), df.schema, "Append", "ProcessingTime")
+        UniqueVisitorProcessor(_order(ts, seq, by_arrival), df.columns, ttl_ms), df.schema, "Append",
+        "None" if ttl_ms is None else "ProcessingTime")
 
 
 def user_jump_stream(df: DataFrame, key: str, ts: str = "ts", seq: str | Sequence[str] = "seq",
