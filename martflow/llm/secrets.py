@@ -154,6 +154,10 @@ def _pattern(rule: Rule) -> str:
     return ("(?i)" if rule.either_case else "") + rule.regex
 
 
+#: Spans that are worked on at a time.
+CHUNK = 128
+
+
 def with_matches(rows: DataFrame, rule: Rule, at: int, wanted: Column) -> DataFrame:
     """Adds ``s{at}``: the rule's spans as (start, place in the list of rules, kind, end).
 
@@ -164,16 +168,23 @@ def with_matches(rows: DataFrame, rule: Rule, at: int, wanted: Column) -> DataFr
     some = F.coalesce(F.size(hits) > 0, F.lit(False))
     rows = rows.withColumns({gaps: F.when(some, F.split("text", _pattern(rule), -1)),
                              sized: F.when(some, F.regexp_extract_all("text", p, F.lit(rule.group)))})
-    kind = "struct<start:bigint,place:int,kind:string,end:bigint>"
-    fold = f"""aggregate(sequence(1, size({hits})),
-        named_struct('at', 0L, 'out', cast(array() as array<{kind}>)),
+    # Running sums in chunks: what a chunk advances, where it begins, and its spans from there.  The cost grows with the spans.
+    kind, chunk = "struct<start:bigint,place:int,kind:string,end:bigint>", CHUNK
+    rows = rows.withColumn(gaps, F.expr(f"transform({gaps}, g -> length(g))")).withColumn(hits, F.expr(f"transform({hits}, h -> length(h))"))
+    sums = f"""transform(sequence(0, (size({hits}) - 1) div {chunk}), c -> cast(
+        aggregate(slice({gaps}, int(c * {chunk} + 1), least({chunk}, int(size({hits}) - c * {chunk}))), 0L, (a, g) -> a + g)
+        + aggregate(slice({hits}, int(c * {chunk} + 1), {chunk}), 0L, (a, h) -> a + h) as bigint))"""
+    rows = rows.withColumn(f"b{at}", F.when(some, F.expr(f"aggregate({sums}, array(0L), (a, x) -> concat(a, array(element_at(a, -1) + x)))")))
+    spans = f"""transform(sequence(0, (size({hits}) - 1) div {chunk}), c -> aggregate(
+        sequence(int(c * {chunk} + 1), int(least((c + 1) * {chunk}, size({hits})))),
+        named_struct('at', b{at}[int(c)], 'out', cast(array() as array<{kind}>)),
         (acc, i) -> named_struct(
-            'at', acc.at + length({gaps}[i - 1]) + length({hits}[i - 1]),
+            'at', acc.at + {gaps}[i - 1] + {hits}[i - 1],
             'out', if(length({sized}[i - 1]) >= {rule.least}, concat(acc.out, array(named_struct(
-                'start', acc.at + length({gaps}[i - 1]), 'place', {at}, 'kind', '{rule.kind}',
-                'end', acc.at + length({gaps}[i - 1]) + length({hits}[i - 1])))), acc.out)),
-        acc -> acc.out)"""
-    return rows.withColumn(f"s{at}", F.when(some, F.expr(fold)).otherwise(F.expr(f"cast(array() as array<{kind}>)"))).drop(hits, gaps, sized)
+                'start', acc.at + {gaps}[i - 1], 'place', {at}, 'kind', '{rule.kind}', 'end', acc.at + {gaps}[i - 1] + {hits}[i - 1]))), acc.out)),
+        acc -> acc.out))"""
+    found = F.when(some, F.expr(f"flatten({spans})")).otherwise(F.expr(f"cast(array() as array<{kind}>)"))
+    return rows.withColumn(f"s{at}", found).drop(hits, gaps, sized, f"b{at}")
 
 
 def find_secrets(docs: DataFrame, doc: str = "doc_id", text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -244,12 +255,26 @@ def redacted(found: DataFrame) -> Column:
     text = found["text"]  # not by name: a select may give an output of its own that name
     spans = F.transform(found["spans"], lambda s: F.when(s["kind"] == "private_key", s.withField("end", s["end"] + _key_length(text, s["end"]))).otherwise(s))
     cut = lambda at, n: F.substring(text, (at + 1).cast("int"), n.cast("int"))
-    return F.aggregate(
-        spans, F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at")),
-        lambda acc, s: F.struct(
-            F.when(s["start"] >= acc["at"], F.concat(acc["out"], cut(acc["at"], s["start"] - acc["at"]), F.lit("["), s["kind"], F.lit("]"))).otherwise(acc["out"]).alias("out"),
-            F.greatest(acc["at"], s["end"]).alias("at")),
-        lambda acc: F.concat(acc["out"], cut(acc["at"], F.length(text))))
+    none = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
+
+    def chunk(spans: Column, acc: Column, c: Column) -> Column:
+        """The text of the spans of a chunk, from ``acc.at``, cut from what is left of the whole text."""
+        left = cut(acc["at"], F.length(text) - acc["at"])
+        of = lambda rest: F.aggregate(
+            F.slice(spans, (c * CHUNK + 1).cast("int"), F.lit(CHUNK)), F.struct(F.lit("").alias("out"), acc["at"].alias("at")),
+            lambda a, s: F.struct(
+                F.when(s["start"] >= a["at"], F.concat(a["out"], F.substring(rest, (a["at"] - acc["at"] + 1).cast("int"), (s["start"] - a["at"]).cast("int")),
+                                                       F.lit("["), s["kind"], F.lit("]"))).otherwise(a["out"]).alias("out"),
+                F.greatest(a["at"], s["end"]).alias("at")),
+            lambda a: F.struct(a["at"].alias("at"), F.concat(acc["out"], F.array(a["out"])).alias("out")))
+        return _with(left, of)
+
+    def all_of(spans: Column) -> Column:
+        chunks = F.when(F.size(spans) > 0, F.sequence(F.lit(0), F.floor((F.size(spans) - 1) / CHUNK).cast("int"))).otherwise(F.array().cast("array<int>"))
+        return F.aggregate(chunks, none, lambda acc, c: chunk(spans, acc, c),
+                           lambda a: F.concat(F.array_join(a["out"], ""), cut(a["at"], F.length(text) - a["at"])))
+
+    return _with(spans, all_of)
 
 
 def _oracle() -> str:

@@ -36,13 +36,27 @@ from martflow.llm.flat import map_texts
 #: The rules of the mix, and hosts that are nothing but offers.
 RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
 BLOCKED = tuple(f"{name}.example.{top}/" for name in ("casino-win", "cheap-pills", "free-bets", "spam-farm", "ads-track") for top in ("com", "net", "org"))
-#: Most bytes of a digest file; lists beyond it should be joined as tables instead.
+#: Most bytes of a digest file; a longer list takes several, which are all asked.
 MOST_BYTES = 1 << 30
 
 _URL = re.compile(r"\A.*?://([^/?#]*)([^?#]*)", re.S)
 _UPPER = str.maketrans({c: c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"})
 
 
+def digest_files(entries: dict[str, str], into: str, most: int | None = None) -> list[str]:
+    """Digest files of entry -> verdict, as many as ``most`` bytes for each call for."""
+    parts, size = [{}], 0
+    for e, verdict in entries.items():
+        # its key, its end and its text, and at most one more length in the head
+        need = 24 + len(e.encode()) + 1 + len(verdict.encode())
+        if parts[-1] and size + need > (most or MOST_BYTES) - 24:
+            parts.append({})
+            size = 0
+        parts[-1][e] = verdict
+        size += need
+    return [digest_file(p, into) for p in parts]
+
+
 def digest_file(entries: dict[str, str], into: str) -> str:
     """Write the sorted digest array of entry -> verdict; returns the path, named by its content."""
     keys = np.array([xxhash.xxh64_intdigest(e) for e in entries], np.uint64)
@@ -51,10 +65,10 @@ def digest_file(entries: dict[str, str], into: str) -> str:
     texts = [f"{names[i]}\t{entries[names[i]]}".encode() for i in order]
     ends = np.cumsum([0] + [len(t) for t in texts]).astype(np.int64)
     lengths = sorted({len(e) - e.index("/") for e in entries})
-    head = np.array([len(texts), len(lengths), *lengths], np.int64)
+    hosts = [e[:e.index("/")] for e in entries]
+    labels, longest = max((h.count(".") + 1 for h in hosts), default=0), max(map(len, hosts), default=0)
+    head = np.array([len(texts), len(lengths), labels, longest, *lengths], np.int64)
     body = head.tobytes() + keys[order].tobytes() + ends.tobytes() + b"".join(texts)
-    if len(body) > MOST_BYTES:
-        raise ValueError(f"the list takes {len(body)} bytes, more than {MOST_BYTES}")
     path = Path(into, f"digests-{hashlib.sha256(body).hexdigest()[:24]}.bin")
     path.write_bytes(body)
     return str(path)
@@ -65,9 +79,9 @@ class Digests:
 
     def __init__(self, path: str):
         self.raw = np.memmap(path, np.uint8, "r")
-        n, m = self.raw[:16].view(np.int64)
-        at = 16 + 8 * m
-        self.lengths = self.raw[16:at].view(np.int64).tolist()
+        n, m, self.labels, self.widest = self.raw[:32].view(np.int64).tolist()
+        at = 32 + 8 * m
+        self.lengths = self.raw[32:at].view(np.int64).tolist()
         self.keys = self.raw[at:at + 8 * n].view(np.uint64)
         self.ends = self.raw[at + 8 * n:at + 16 * n + 8].view(np.int64)
         self.texts = self.raw[at + 16 * n + 8:]
@@ -85,16 +99,20 @@ class Digests:
                     out[i] = verdict
         return out
 
+    def suffixes(self, host: str) -> list[str]:
+        """The host and its parent domains, as far as an entry can have as many labels and characters."""
+        parts = host.rsplit(".", self.labels)
+        out = [".".join(parts[k:]) for k in range(max(0, len(parts) - self.labels), len(parts))]
+        return [x for x in out if x and len(x) <= self.widest]
+
     def longest(self, urls: list[tuple[str, str]]) -> list[tuple[str, str] | None]:
         """The longest entry that fits each (host, path), and its verdict; of equally long ones that of the longer host."""
         asked, of = [], []
         for i, (host, path) in enumerate(urls):
             prefixes = [path[:n] for n in self.lengths if n <= len(path)]
-            suffix = host
-            while suffix and prefixes:
+            for suffix in self.suffixes(host) if prefixes else ():
                 asked += [suffix + p for p in prefixes]
                 of += [(i, len(suffix))] * len(prefixes)
-                suffix = suffix.partition(".")[2]
         best: list = [None] * len(urls)
         for entry, (i, n), verdict in zip(asked, of, self.find(asked)):
             if verdict is not None and (best[i] is None or (len(entry), n) > best[i][0]):
@@ -102,20 +120,33 @@ class Digests:
         return [b and b[1:] for b in best]
 
 
+class DigestList:
+    """Digest files, asked together."""
+
+    def __init__(self, paths: list[str]):
+        self.files = [Digests(p) for p in paths]
+
+    def longest(self, urls: list[tuple[str, str]]) -> list[tuple[str, str] | None]:
+        found = [f.longest(urls) for f in self.files]
+        # of equally long entries that of the longer host
+        rank = lambda x: (len(x[0]), x[0].index("/"))
+        return [max((x for x in each if x), key=rank, default=None) for each in zip(*found)]
+
+
 def host_and_path(url: str | None) -> tuple[str, str]:
     m = _URL.match(url or "")
     return (m[1].translate(_UPPER), m[2]) if m else ("", "")
 
 
-def _shared(spark: SparkSession, entries: dict[str, str]) -> str:
-    """Name under which the executors get the digest file of ``entries``."""
-    path = digest_file(entries, tempfile.mkdtemp(prefix="martflow-digests-"))
-    name = Path(path).name
+def _shared(spark: SparkSession, entries: dict[str, str]) -> list[str]:
+    """Names under which the executors get the digest files of ``entries``."""
+    paths = digest_files(entries, tempfile.mkdtemp(prefix="martflow-digests-"))
     sent = spark.sparkContext.__dict__.setdefault("_martflow_digests", set())
-    if name not in sent:
-        spark.sparkContext.addFile(path)
-        sent.add(name)
-    return name
+    for path in paths:
+        if Path(path).name not in sent:
+            spark.sparkContext.addFile(path)
+            sent.add(Path(path).name)
+    return [Path(p).name for p in paths]
 
 
 def judge(pages: DataFrame, page: str = "page_id", url: str = "url", rules: dict[str, str] | None = None,
@@ -126,7 +157,7 @@ def judge(pages: DataFrame, page: str = "page_id", url: str = "url", rules: dict
     fields = [T.StructField(n, T.StringType()) for n in ("host", "path", "rule", "verdict")]
 
     def make():
-        ruled, listed = Digests(SparkFiles.get(first)), Digests(SparkFiles.get(second))
+        ruled, listed = (DigestList([SparkFiles.get(n) for n in names]) for names in (first, second))
 
         def work(urls):
             split = [host_and_path(u) for u in urls]
