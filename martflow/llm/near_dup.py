@@ -8,16 +8,16 @@
    similarity, and exactly if the sets are no larger than ``k``.  So only the
    ``kept - least + 1`` rarest kept values of a class need inverted lists: two
    such sets meet in one of them.
-3. Lists generate pairs.  If they hold many, each list first
-   pairs its members with one pivot, the member of most lists.  Members that
-   these links join need no further pair; for the others new
-   lists are made of what parts them from the pivot (:func:`difference_lists`),
-   which no link escapes either and where the group's common text is gone.  Long ones of these are
-   compared in blocks, which return links alone.  So a group of m near copies
-   yields about m pair rows, not m * m / 2.
+3. Lists of up to ``SHORT`` members generate their pairs.  A longer list goes to the group of one of its members, the one of
+   most lists, so that the lists of a common text are one group.  A group's sets are written as differences from a reference, the
+   shingles that most of some members hold (:func:`references`); two sets differ in what their differences differ in, whatever the reference is.
+   Members without a common difference are similar only if both are close to the reference, and then both are similar to the closest member:
+   one comparison each finds these (:func:`measured`).  Others meet in lists of their rarest differences
+   (:func:`difference_lists`), where the group's common text is gone.  So a group of m copies or of m pages of one
+   template yields about m pair rows, not m * m / 2.  Difference lists that stay long are compared in blocks, which return links alone.
 4. A pair's overlap within the k smallest values of the united sketches
-   estimates its similarity; pairs under ``least`` go.  Intersection and union
-   of the full sets verify the rest.  Pairs with a pivot and of difference lists skip the estimate.
+   estimates its similarity; pairs under ``least`` go, on every way (:func:`estimated`).  Intersection and union
+   of the full sets, or of the differences, verify the rest.  The ways depend on the lists alone, not on the size of the input.
 5. Verified links are contracted to components by repeated minimum labels.
 
 Defined cases: a null text, or one without words, has an empty set and links
@@ -36,7 +36,7 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,9 +46,9 @@ from martflow.llm.staging import fits_broadcast, staged
 #: Values that a sketch keeps, and the chance that a pair at the limit shares fewer of the united sketch's k values than it has to.
 SKETCH = 48
 CHANCE = 1e-9
-#: Lists are paired by pivots if they hold more pairs than this many for each entry.
-PAIRS_PER_ENTRY = 4
-#: Members up to which a difference list is paired by a join; members of a block; shingles compared at a time.
+#: Members of a group that make its reference.
+SAMPLE = 9
+#: Members up to which a list is paired by a join; members of a block; shingles compared at a time.
 SHORT = 8
 BLOCK = 1024
 COLUMNS = 4096
@@ -139,16 +139,20 @@ def inverted_lists(classes: DataFrame, k: int, least: int, similarity: float) ->
             .select("e.v", "sig"))
 
 
-def verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame, k: int, least: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes whose full sets are similar enough."""
+def estimated(pairs: DataFrame, classes: DataFrame, k: int, least: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that may be similar enough by their sizes and by the k smallest values of their united sketches."""
     side = lambda x: classes.select(F.col("sig").alias(x), F.col("sketch").alias(f"{x}s"), F.col("n_shingles").alias(f"{x}n"))
-    near = (pairs.join(side("a"), "a").join(side("b"), "b")
+    return (pairs.join(side("a"), "a").join(side("b"), "b")
             .filter(100 * F.least("an", "bn") >= percent * F.greatest("an", "bn"))
             .withColumn("united", F.slice(F.array_sort(F.array_union("as", "bs")), 1, k))
             .withColumn("both", F.size(F.array_intersect(F.col("united"), F.array_intersect("as", "bs"))))
             .filter((F.col("both") >= least) | (F.size("united") < k)).select("a", "b"))
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes whose full sets are similar enough."""
     grams = lambda x: sets.select(F.col("sig").alias(x), F.col("grams").alias(f"{x}g"))
-    return (near.join(grams("a"), "a").join(grams("b"), "b")
+    return (pairs.join(grams("a"), "a").join(grams("b"), "b")
             .withColumn("both", F.size(F.array_intersect("ag", "bg")))
             .filter(100 * F.col("both") >= percent * (F.size("ag") + F.size("bg") - F.col("both"))).select("a", "b"))
 
@@ -168,39 +172,54 @@ def components(links: DataFrame) -> DataFrame:
     return labels if labels is not None else links.select(F.col("a").alias("sig"), F.col("b").alias("label"))
 
 
-def _unlinked(lists: DataFrame, labels: DataFrame | None) -> tuple[DataFrame, int, int]:
-    """Lists with members of two components or more, with (label, held) for members in the list; their unlinked pairs, and entries."""
-    named = (lists.withColumn("label", F.col("sig")) if labels is None else
-             lists.join(labels, "sig", "left").withColumn("label", F.coalesce("label", "sig")))
+def _unlinked(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """Lists with members of two components or more, with (label, held) for members in the list."""
+    named = lists.join(labels, "sig", "left").withColumn("label", F.coalesce("label", "sig"))
     sizes = (named.groupBy("v", "label").agg(F.count(F.lit(1)).alias("m"))
-             .groupBy("v").agg(F.count(F.lit(1)).alias("parts"), F.sum("m").alias("held"), F.sum(F.col("m") * F.col("m")).alias("square"))
-             .filter("parts > 1").select("v", "held", ((F.col("held") * F.col("held") - F.col("square")) / 2).cast("long").alias("open")))
-    sizes = staged(sizes, "open")
-    got = sizes.agg(F.coalesce(F.sum("open"), F.lit(0)).alias("p"), F.coalesce(F.sum("held"), F.lit(0)).alias("n")).first()
-    return staged(named.join(sizes.select("v", "held"), "v"), "lists"), got["p"], got["n"]
+             .groupBy("v").agg(F.count(F.lit(1)).alias("parts"), F.sum("m").alias("held")).filter("parts > 1").select("v", "held"))
+    return staged(named.join(staged(sizes, "open"), "v"), "lists")
 
 
-def measured(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b, near, n, apart): whether a and its pivot b are similar enough, a's size, and the shingles that only one of them has."""
-    grams = lambda x: sets.select(F.col("sig").alias(x), F.col("grams").alias(f"{x}g"))
-    both = (pairs.join(grams("a"), "a").join(grams("b"), "b")
-            .withColumn("apart", F.concat(F.array_except("ag", "bg"), F.array_except("bg", "ag"))))
-    # size(ag) + size(bg) is union + intersection, size(apart) is union - intersection
-    total = F.size("ag") + F.size("bg")
-    return both.select("a", "b", (100 * (total - F.size("apart")) >= percent * (total + F.size("apart"))).alias("near"),
-                       F.size("ag").alias("n"), "apart")
-
-
-def difference_lists(pivoted: DataFrame, percent: int) -> DataFrame:
-    """(v, sig, b): inverted lists over what parts the members of a list from their pivot b.
-
-    With X and Y the differences of x and y from one pivot, x and y differ in
-    |X| + |Y| - 2 |X and Y| shingles, and similar ones in at most
-    (100 - percent) / percent of x's size.  So Y holds all of X but so many, or, if X
-    is that small, at least one of X unless both are linked to the pivot:
-    x and y meet in one of the rarest so many and one of X.  What all members have in common is gone.
+def references(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """(b, grams): for each group b the shingles that most of ``SAMPLE`` of its members (a, b) hold."""
+    some = Window.partitionBy("b").orderBy(F.xxhash64("a"), "a")
+    some = members.withColumn("nth", F.row_number().over(some)).filter(F.col("nth") <= SAMPLE)
+    held = some.join(sets.select(F.col("sig").alias("a"), "grams"), "a").select("b", F.explode("grams").alias("e"))
+    of = some.groupBy("b").agg(F.count(F.lit(1)).alias("of"))
+    most = held.groupBy("b", "e").agg(F.count(F.lit(1)).alias("times")).join(of, "b").filter(2 * F.col("times") > F.col("of"))
+    # no more than twice the shingles of a member
+    return of.select("b").join(most.groupBy("b").agg(F.collect_list("e").alias("ref")), "b", "left") \
+        .select("b", F.coalesce("ref", F.array().cast("array<bigint>")).alias("ref"))
+
+
+def measured(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b, z, near, n, apart): of each member a of a group b its size, its differences from the group's reference, the
+    member z that is closest to it, and whether a and z are similar enough.
+
+    With t = (100 - percent) / (100 + percent), x and y are similar if their differences X and Y differ in at most t * (|x| + |y|)
+    shingles.  Without a common one that is (|X| - t * |x|) + (|Y| - t * |y|) <= 0; then the member of least |Z| - t * |z| is similar to both.
     """
-    entries = pivoted.select("a", "b", "n", F.size("apart").alias("all"), F.explode("apart").alias("e"))
+    refs = staged(references(members, sets), "references")
+    each = members.join(sets.select(F.col("sig").alias("a"), "grams"), "a").join(refs, "b")
+    each = each.select("a", "b", F.size("grams").alias("n"), F.concat(F.array_except("grams", "ref"), F.array_except("ref", "grams")).alias("apart"))
+    each = staged(each, "apart")
+    far = (100 + percent) * F.size("apart").cast("long") - (100 - percent) * F.col("n")
+    closest = each.groupBy("b").agg(F.min(F.struct(far.alias("far"), "a"))["a"].alias("z"))
+    closest = closest.join(each.select(F.col("a").alias("z"), "b", F.col("n").alias("zn"), F.col("apart").alias("zapart")), ["z", "b"])
+    both = each.join(staged(closest, "closest"), "b")
+    off = F.size("apart") + F.size("zapart") - 2 * F.size(F.array_intersect("apart", "zapart"))
+    total = F.col("n") + F.col("zn")
+    return both.select("a", "b", "z", (100 * (total - off) >= percent * (total + off)).alias("near"), "n", "apart")
+
+
+def difference_lists(group: DataFrame, percent: int) -> DataFrame:
+    """(v, sig, b): inverted lists over the differences of a group's members from its reference.
+
+    With X and Y the differences of similar x and y, they differ in at most (100 - percent) / percent of x's size.
+    So Y holds all of X but so many, or, if X is that small, at least one of X unless they have none in common:
+    x and y meet in one of the rarest so many and one of X.  What most members have in common is gone.
+    """
+    entries = group.select("a", "b", "n", F.size("apart").alias("all"), F.explode("apart").alias("e"))
     shared = entries.groupBy("b", "e").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     own = entries.join(shared, ["b", "e"]).groupBy("a", "b", "n", "all").agg(F.array_sort(F.collect_list(F.struct("df", "e"))).alias("own"))
     spare = F.floor((100 - percent) * F.col("n") / percent) + 1
@@ -261,13 +280,13 @@ def _block_links(percent: int):
     return links
 
 
-def difference_links(lists: DataFrame, pivoted: DataFrame, percent: int) -> DataFrame:
+def difference_links(lists: DataFrame, group: DataFrame, percent: int) -> DataFrame:
     """The links (a, b) between members of different components that share a difference list.
 
     Short lists pair their members by a join; long ones are cut into blocks, and blocks of a
     list meet in tasks that return links alone.
     """
-    full = pivoted.select(F.col("a").alias("sig"), "b", "n", "apart")
+    full = group.select(F.col("a").alias("sig"), "b", "n", "apart")
     rows = lists.join(full, ["sig", "b"]).select("v", "sig", "label", "held", "n", "apart")
     short = rows.filter(F.col("held") <= SHORT)
     side = lambda x: short.select(F.col("v"), *[F.col(c).alias(f"{x}_{c}") for c in ("sig", "label", "n", "apart")])
@@ -286,29 +305,31 @@ def difference_links(lists: DataFrame, pivoted: DataFrame, percent: int) -> Data
 
 def class_links(docs: DataFrame, doc: str, text: str, classes: DataFrame, words: int, percent: int, k: int, least: int) -> DataFrame | None:
     """(sig, label) of the linked classes, or None if no two classes are linked."""
-    lists = staged(inverted_lists(classes, k, least, percent / 100), "entries")
-    lists, open_pairs, entries = _unlinked(lists, None)
-    if not open_pairs:
+    lists = inverted_lists(classes, k, least, percent / 100)
+    lists = staged(lists.join(lists.groupBy("v").agg(F.count(F.lit(1)).alias("held")).filter("held > 1"), "v"), "entries")
+    if lists.isEmpty():
         return None
-    listed = lists.select("sig").distinct()
+    listed = staged(lists.select("sig").distinct(), "listed")
     some = classes.join(listed, "sig")
     wanted = some.select(F.col("doc").alias("w")).distinct()
     there = docs.join(wanted, F.col(doc).eqNullSafe(F.col("w")), "left_semi")
     sets = staged(full_sets(there, text, words).join(listed, "sig", "left_semi").dropDuplicates(["sig"]), "sets")
-    if open_pairs <= PAIRS_PER_ENTRY * entries:
-        other = lists.select("v", F.col("sig").alias("b"))
-        pairs = lists.join(other, "v").filter(F.col("sig") < F.col("b")).select(F.col("sig").alias("a"), "b").distinct()
-        links = staged(verified(pairs, some.select("sig", "sketch", "n_shingles"), sets, k, least, percent), "found")
-    else:
-        # the member of most lists is likely the text that the others were made from
-        central = lists.groupBy("sig").agg(F.count(F.lit(1)).alias("lists"))
-        pivot = lists.join(central, "sig").groupBy("v").agg(F.max(F.struct("lists", "sig"))["sig"].alias("b"))
-        pairs = lists.join(pivot, "v").filter("sig <> b").select(F.col("sig").alias("a"), "b").distinct()
-        pivoted = staged(measured(pairs, sets, percent), "pivoted")
-        links = pivoted.filter("near").select("a", "b")
-        again, open_pairs, _ = _unlinked(staged(difference_lists(pivoted, percent), "entries"), components(links))
-        if open_pairs:
-            links = links.union(staged(difference_links(again, pivoted, percent), "found"))
+    passing = lambda pairs: estimated(pairs, some, k, least, percent)
+    short = lists.filter(F.col("held") <= SHORT).select("v", "sig")
+    pairs = short.join(short.select("v", F.col("sig").alias("b")), "v").filter(F.col("sig") < F.col("b")).select(F.col("sig").alias("a"), "b").distinct()
+    links = staged(verified(passing(pairs), sets, percent), "found")
+    long = lists.filter(F.col("held") > SHORT).select("v", "sig")
+    if not long.isEmpty():
+        # the member of most lists is likely in all lists of a common text
+        central = long.groupBy("sig").agg(F.count(F.lit(1)).alias("lists"))
+        one = long.join(central, "sig").groupBy("v").agg(F.max(F.struct("lists", "sig"))["sig"].alias("b"))
+        members = staged(long.join(one, "v").select(F.col("sig").alias("a"), "b").distinct(), "members")
+        group = staged(measured(members, sets, percent), "measured")
+        star = passing(group.filter("near AND a <> z").select("a", F.col("z").alias("b")).distinct())
+        links = staged(links.union(star), "found")
+        again = _unlinked(staged(difference_lists(group, percent), "entries"), components(links))
+        if not again.isEmpty():
+            links = links.union(staged(passing(difference_links(again, group, percent).distinct()), "found"))
     return None if links.isEmpty() else components(links)
 
 

@@ -152,15 +152,14 @@ def test_near_duplicates_equal_all_pairs(spark, docs):
 
 
 def test_near_duplicates_in_hot_groups_lose_no_link(spark, monkeypatch):
-    # many near copies, linked and unlinked, over small blocks: pivots, short and long lists all take part
+    # many near copies, linked and unlinked, over small blocks: groups, short and long lists all take part
     texts = [t for s, (words, n, edits) in enumerate([(60, 60, 6), (150, 120, 10), (40, 20, 3), (12, 10, 1)]) for t in near_copies(s, words, n, edits)]
     rows = [(i, t) for i, t in enumerate(texts)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     want = components(rows, 3, 85)
-    for short, block, pairs in ((8, 1024, 4), (2, 16, 0), (8, 16, 10**9)):
+    for short, block in ((8, 1024), (2, 16), (10**9, 1024)):
         monkeypatch.setattr(near_dup, "SHORT", short)
         monkeypatch.setattr(near_dup, "BLOCK", block)
-        monkeypatch.setattr(near_dup, "PAIRS_PER_ENTRY", pairs)
         got = near_dup.near_duplicates(df, words=3, percent=85).collect()
         assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
 
