@@ -107,8 +107,9 @@ def land(df, name: str, partition_by: tuple[str, ...] = ()):
 
 
 def drop_landed(spark: SparkSession) -> None:
-    """Delete the tables that this application has landed; call it when the results that read them are written."""
-    _delete(spark, _own(spark, "tables"))
+    """Delete the tables that this application has landed or staged; call it when the results that read them are written."""
+    for kind in ("tables", "llm"):
+        _delete(spark, _own(spark, kind))
 
 
 _TOPICS: dict[tuple[str, str], str] = {}
