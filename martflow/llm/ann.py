@@ -8,9 +8,9 @@ of a bounded sample, parts all rows into leaves.
 A query first looks into its own leaf, nearest projections first.  Each verified vector may lower
 its k-th distance ``d``; it stops when the next projection lies so far off that
 a vector within ``d`` would be projected nearer with probability ``SURE``:
-``projected > d * sqrt(chi-square quantile)``, with room for the rounding of the projections.  The k-th distance found so gives the radius of
-the projected ball that is left to search; in a second step the query visits
-the leaves whose boxes meet the ball, and searches each in the same way.
+``projected > d * sqrt(chi-square quantile)``, with room for the rounding of the projections.  Then it
+goes on by rounds over the other leaves in order of their boxes' projected distance, the nearest few first (``ROUNDS``): in each it visits those
+whose boxes meet the ball of that radius, which has shrunk with all rounds before, and searches each in the same way.
 
 Leaves hold any number of rows (a vector may repeat without end), so each is
 cut into blocks by a hash of the id; queries are taken in blocks too.  Of the exact copies of a vector in a block only those of the
@@ -38,7 +38,9 @@ from pyspark.sql import functions as F
 from martflow.llm.staging import ship_package, staged
 
 M = 8
-SURE = 0.97
+SURE = 0.85
+#: Leaves, by distance, up to which a round goes; the last one goes on to all.
+ROUNDS = (9, 65, 513)
 #: Rows that a leaf and a block should hold; bounds of the sample and of the leaves; queries of a block.
 LEAF_ROWS = 2048
 BLOCK_ROWS = 8192
@@ -231,7 +233,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, vec: str = "vec
     parts = max(1, math.ceil(asked.count() / QUERY_BLOCK))
     leaves = np.array(sorted(blocks), np.int64)
 
-    def route(batches, home):
+    def route(batches, low, high):
+        """The leaves from the ``low``-th to before the ``high``-th by distance, for each query those within reach; the first is its own."""
+        home = low == 0
         for batch in batches:
             ids, q = batch.column("query_id").to_numpy(), _matrix(batch.column("q").to_pandas())
             bound = np.full(len(ids), np.inf) if home else batch.column("bound").to_numpy()
@@ -241,8 +245,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, vec: str = "vec
                 if home:
                     hit = own[i:i + 1]
                 else:
-                    hit = leaves[tree.distance(q[i] @ weights)[leaves] <= _limit(q[i], bound[i], weights, reach)]
-                    hit = hit[hit != own[i]]
+                    off = tree.distance(q[i] @ weights)[leaves]
+                    order = np.lexsort((leaves, off, leaves != own[i]))[low:high]
+                    hit = leaves[order[off[order] <= _limit(q[i], bound[i], weights, reach)]]
                 row.append(np.full(len(hit), i))
                 leaf.append(hit)
             row = np.concatenate(row) if row else np.zeros(0, np.int64)
@@ -254,11 +259,18 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, vec: str = "vec
 
     where = "leaf long, part int, query_id long, q array<double>, bound double"
     if n:
-        first = staged(_visit(asked.mapInArrow(lambda b: route(b, True), where), placed, blocks, weights, k, reach), "found")
-        bound = _best(first, k).select("query_id", F.when(F.size("best") == k, F.element_at("best", -1)["score"]).alias("bound"))
-        rest = asked.join(bound, "query_id", "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
-        rest = rest.select("query_id", "q", "bound").mapInArrow(lambda b: route(b, False), where)
-        found = first.union(_visit(rest, placed, blocks, weights, k, reach))
+        found = staged(_visit(asked.mapInArrow(lambda b: route(b, 0, 1), where), placed, blocks, weights, k, reach), "found")
+        low = 1
+        for high in (*ROUNDS, MOST_LEAVES):
+            if low >= len(leaves):
+                break
+            best = staged(_best(found, k), "best")
+            bound = best.select("query_id", F.when(F.size("best") == k, F.element_at("best", -1)["score"]).alias("bound"))
+            rest = asked.join(bound, "query_id", "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
+            rest = rest.select("query_id", "q", "bound").mapInArrow(lambda b, low=low, high=high: route(b, low, high), where)
+            best = best.select("query_id", F.explode("best").alias("b")).select("query_id", "b.score", "b.vec_id")
+            found = staged(best.unionByName(_visit(rest, placed, blocks, weights, k, reach)), "found")
+            low = high
     else:
         found = vectors.sparkSession.createDataFrame([], "query_id long, score double, vec_id long")
     return (_best(found, k).select("query_id", F.posexplode("best").alias("at", "b"))

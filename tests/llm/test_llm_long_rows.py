@@ -3,9 +3,10 @@
 import time
 import tracemalloc
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from martflow.llm import mixing, secrets, url_filter
+from martflow.llm import ann, mixing, secrets, url_filter
 
 
 def test_many_spans_in_one_text(spark):
@@ -62,3 +63,25 @@ def test_rows_that_differ_in_another_column_stay_apart(spark):
     rows = [(1, "a b", "s", lang) for lang in ("en", "de", None)] * 2
     got = mixing.sampled(spark.createDataFrame(rows, "doc_id long, text string, source string, lang string"))
     assert sorted(str(r.row.lang) for r in got.collect()) == sorted(str(r[3]) for r in rows)
+
+
+def test_a_query_visits_few_leaves(spark, monkeypatch):
+    """Verified at a depth of five: the rounds shrink the radius, and recall stays."""
+    draw = np.random.default_rng(2)
+    centre = draw.normal(size=(60, 32))
+    v = centre[draw.integers(0, 60, 6000)] + 0.3 * draw.normal(size=(6000, 32))
+    df = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(v)], "vec_id long, embedding array<double>")
+    monkeypatch.setattr(ann, "LEAF_ROWS", 200)
+    monkeypatch.setattr(ann, "ROUNDS", (3, 9, 17))
+    visits = []
+    real = ann._visit
+    monkeypatch.setattr(ann, "_visit", lambda q, *a: (visits.append((staged := ann.staged(q, "asked")).count()), real(staged, *a))[1])
+    got = {}
+    for r in ann.nearest(df, df.filter("vec_id % 100 = 0")).collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    hits = 0
+    for q in range(0, 6000, 100):
+        d = ((v - v[q]) ** 2).sum(1)
+        d[q] = np.inf
+        hits += len(set(np.argsort(d)[:10].tolist()) & set(got[q]))
+    assert len(visits) == 5 and visits[0] == 60 and sum(visits) < 0.6 * 60 * 32 and hits >= 0.9 * 600
