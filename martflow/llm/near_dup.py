@@ -41,7 +41,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martflow.llm.flat import Block, map_texts, mix
-from martflow.llm.staging import fits_broadcast, staged
+from martflow.llm.staging import BROADCAST_BYTES, fits_broadcast, staged
+from martflow.operators.joins import has_at_most
 
 #: Values that a sketch keeps, and the chance that a pair at the limit shares fewer of the united sketch's k values than it has to.
 SKETCH = 48
@@ -204,8 +205,8 @@ def measured(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     each = each.select("a", "b", F.size("grams").alias("n"), F.concat(F.array_except("grams", "ref"), F.array_except("ref", "grams")).alias("apart"))
     each = staged(each, "apart")
     far = (100 + percent) * F.size("apart").cast("long") - (100 - percent) * F.col("n")
-    closest = each.groupBy("b").agg(F.min(F.struct(far.alias("far"), "a"))["a"].alias("z"))
-    closest = closest.join(each.select(F.col("a").alias("z"), "b", F.col("n").alias("zn"), F.col("apart").alias("zapart")), ["z", "b"])
+    closest = each.groupBy("b").agg(F.min_by(F.struct(F.col("a").alias("z"), F.col("n").alias("zn"), F.col("apart").alias("zapart")), F.struct(far, "a")).alias("c"))
+    closest = closest.select("b", "c.*")
     both = each.join(staged(closest, "closest"), "b")
     off = F.size("apart") + F.size("zapart") - 2 * F.size(F.array_intersect("apart", "zapart"))
     total = F.col("n") + F.col("zn")
@@ -312,6 +313,9 @@ def class_links(docs: DataFrame, doc: str, text: str, classes: DataFrame, words:
     listed = staged(lists.select("sig").distinct(), "listed")
     some = classes.join(listed, "sig")
     wanted = some.select(F.col("doc").alias("w")).distinct()
+    wanted = staged(wanted, "wanted")
+    # ids alone, and only if they are measured to be few bytes: else both sides are dealt by id
+    wanted = F.broadcast(wanted) if has_at_most(wanted, BROADCAST_BYTES // 16, BROADCAST_BYTES) else wanted
     there = docs.join(wanted, F.col(doc).eqNullSafe(F.col("w")), "left_semi")
     sets = staged(full_sets(there, text, words).join(listed, "sig", "left_semi").dropDuplicates(["sig"]), "sets")
     passing = lambda pairs: estimated(pairs, some, k, least, percent)
