@@ -143,7 +143,7 @@ def inverted_lists(classes: DataFrame, k: int, least: int, similarity: float) ->
 def estimated(pairs: DataFrame, classes: DataFrame, k: int, least: int, percent: int) -> DataFrame:
     """The pairs (a, b) that may be similar enough by their sizes and by the k smallest values of their united sketches."""
     side = lambda x: classes.select(F.col("sig").alias(x), F.col("sketch").alias(f"{x}s"), F.col("n_shingles").alias(f"{x}n"))
-    return (pairs.join(side("a"), "a").join(side("b"), "b")
+    return (pairs.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b")
             .filter(100 * F.least("an", "bn") >= percent * F.greatest("an", "bn"))
             .withColumn("united", F.slice(F.array_sort(F.array_union("as", "bs")), 1, k))
             .withColumn("both", F.size(F.array_intersect(F.col("united"), F.array_intersect("as", "bs"))))
@@ -153,7 +153,8 @@ def estimated(pairs: DataFrame, classes: DataFrame, k: int, least: int, percent:
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of classes whose full sets are similar enough."""
     grams = lambda x: sets.select(F.col("sig").alias(x), F.col("grams").alias(f"{x}g"))
-    return (pairs.join(grams("a"), "a").join(grams("b"), "b")
+    # by key at every size: a broadcast of the pairs, or of the sets, would grow with the input
+    return (pairs.join(grams("a").hint("merge"), "a").join(grams("b").hint("merge"), "b")
             .withColumn("both", F.size(F.array_intersect("ag", "bg")))
             .filter(100 * F.col("both") >= percent * (F.size("ag") + F.size("bg") - F.col("both"))).select("a", "b"))
 
@@ -185,7 +186,7 @@ def references(members: DataFrame, sets: DataFrame) -> DataFrame:
     """(b, grams): for each group b the shingles that most of ``SAMPLE`` of its members (a, b) hold."""
     some = Window.partitionBy("b").orderBy(F.xxhash64("a"), "a")
     some = members.withColumn("nth", F.row_number().over(some)).filter(F.col("nth") <= SAMPLE)
-    held = some.join(sets.select(F.col("sig").alias("a"), "grams"), "a").select("b", F.explode("grams").alias("e"))
+    held = some.join(sets.select(F.col("sig").alias("a"), "grams").hint("merge"), "a").select("b", F.explode("grams").alias("e"))
     of = some.groupBy("b").agg(F.count(F.lit(1)).alias("of"))
     most = held.groupBy("b", "e").agg(F.count(F.lit(1)).alias("times")).join(of, "b").filter(2 * F.col("times") > F.col("of"))
     # no more than twice the shingles of a member
@@ -201,13 +202,13 @@ def measured(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     shingles.  Without a common one that is (|X| - t * |x|) + (|Y| - t * |y|) <= 0; then the member of least |Z| - t * |z| is similar to both.
     """
     refs = staged(references(members, sets), "references")
-    each = members.join(sets.select(F.col("sig").alias("a"), "grams"), "a").join(refs, "b")
+    each = members.join(sets.select(F.col("sig").alias("a"), "grams").hint("merge"), "a").join(refs.hint("merge"), "b")
     each = each.select("a", "b", F.size("grams").alias("n"), F.concat(F.array_except("grams", "ref"), F.array_except("ref", "grams")).alias("apart"))
     each = staged(each, "apart")
     far = (100 + percent) * F.size("apart").cast("long") - (100 - percent) * F.col("n")
     closest = each.groupBy("b").agg(F.min_by(F.struct(F.col("a").alias("z"), F.col("n").alias("zn"), F.col("apart").alias("zapart")), F.struct(far, "a")).alias("c"))
     closest = closest.select("b", "c.*")
-    both = each.join(staged(closest, "closest"), "b")
+    both = each.join(staged(closest, "closest").hint("merge"), "b")
     off = F.size("apart") + F.size("zapart") - 2 * F.size(F.array_intersect("apart", "zapart"))
     total = F.col("n") + F.col("zn")
     return both.select("a", "b", "z", (100 * (total - off) >= percent * (total + off)).alias("near"), "n", "apart")
