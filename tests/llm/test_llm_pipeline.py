@@ -62,7 +62,7 @@ def test_stages_on_odd_and_empty_inputs(spark, odd):  # noqa: F811
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_oracle(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "embeddings", "labels"):
+    for t in ("documents", "benchmark", "pages", "embeddings", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF001}/{t}.parquet'")
     want = con.execute(queries.ORACLES[name]).df()
     got = queries.QUERIES[name](spark, SF001).toPandas()[list(want.columns)]
