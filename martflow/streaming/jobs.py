@@ -15,18 +15,23 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from martflow.functions.timefmt import previous_day_str, to_date_str
 from martflow.operators import trade, traffic, upsert
 from martflow.operators.joins import stream_interval_join
-from martflow.session import checkpoint_root, land
+from martflow.session import checkpoint_root, column_family_state, land
 from martflow.sinks import segments
 from martflow.sinks.topics import fan_out, write_append, write_keyed
 from martflow.sources.envelope import LOG_SCHEMA, parse_config_feed, parse_envelope, parse_strict
 from martflow.sources.topics import ARRIVAL, read_topic
+from martflow.streaming import processors
 from martflow.streaming.processors import BEFORE, VISIT, FirstVisitProcessor, UniqueVisitorProcessor, UserJumpProcessor
 
+# The Python worker in which the driver sets up a processor has only the path that the driver process was started with.
+register_pickle_by_value(processors)
+
 
 def _ckpt(spark: SparkSession, name: str, checkpoint: str | None) -> str:
     return checkpoint or f"{checkpoint_root(spark)}/streams/{name}"
@@ -97,17 +102,19 @@ def base_log_stream(spark: SparkSession, log_topic: str, out_root: str, *, fmt:
 
     ck = _ckpt(spark, "base_log", checkpoint)
     t = trigger or {"availableNow": True}
-    main = repaired.writeStream.foreachBatch(sink).option("checkpointLocation", f"{ck}/main") \
-        .trigger(**t).start()
+    with column_family_state(spark):
+        main = repaired.writeStream.foreachBatch(sink).option("checkpointLocation", f"{ck}/main") \
+            .trigger(**t).start()
     bad = _text_sink(dirty, f"{out_root}/dirty" if out_fmt == "file" else "dirty", out_fmt, out_options, f"{ck}/dirty", t)
     return main, bad
 
 
 def _text_sink(df: DataFrame, topic: str, fmt: str, options: dict | None, checkpoint: str, trigger: dict):
     """Append the texts of a stream to a topic, a folder for each micro-batch."""
-    return df.select("value").writeStream.foreachBatch(
-        lambda batch, batch_id: write_append(batch, topic, fmt=fmt, batch_id=batch_id, options=options, serialise=False)) \
-        .option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    with column_family_state(df.sparkSession):
+        return df.select("value").writeStream.foreachBatch(
+            lambda batch, batch_id: write_append(batch, topic, fmt=fmt, batch_id=batch_id, options=options, serialise=False)) \
+            .option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 # --------------------------------------------------------------- joins
