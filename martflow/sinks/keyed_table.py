@@ -15,6 +15,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from martflow.session import open_folders
+
 COMMITS = "version bigint, bucket int, base boolean, rows bigint, query_id string, batch_id bigint"
 
 
@@ -68,11 +70,16 @@ class KeyedTable:
 
     def _write(self, rows: DataFrame, base: bool, query_id: str, batch_id: int) -> int:
         version = self._version()
-        dealt = rows.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(self.buckets)).cast("int")).hint("rebalance", "bucket")
-        dealt.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/data/version={version}")
+        self._files(rows, version)
         self._commit(version, base, query_id, batch_id, [])
         return version
 
+    def _files(self, rows: DataFrame, version: int) -> None:
+        """The version's files: each task of the fold before writes its keys to their buckets, so the rows are shuffled once."""
+        dealt = rows.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(self.buckets)).cast("int"))
+        with open_folders(self.spark):
+            dealt.write.mode("overwrite").option("compression", "zstd").partitionBy("bucket").parquet(f"{self.path}/data/version={version}")
+
     def _commit(self, version: int, base: bool, query_id: str, batch_id: int, emptied: Sequence[int]) -> None:
         p, fs = _fs(self.spark, f"{self.path}/data/version={version}")
         counts = self.spark.createDataFrame([], "bucket int, rows bigint")
@@ -106,8 +113,7 @@ class KeyedTable:
             return []
         merged = self._folded(self._rows([s for b in heavy for s in sets[b]]), [F.col("place")], keep_deletes=False)
         version = self._version()
-        dealt = merged.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(self.buckets)).cast("int")).hint("rebalance", "bucket")
-        dealt.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/data/version={version}")
+        self._files(merged, version)
         self._commit(version, True, "compact", version, heavy)
         self._forget(version, {(s["version"], s["bucket"]) for x in sets.values() for s in x})
         return heavy
