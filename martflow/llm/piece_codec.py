@@ -3,9 +3,9 @@
 A text's spaces become U+2581 and one is put before it; it is cut into units
 where no piece can reach across: before a space run and around characters that
 stand in no longer piece.  Every distinct unit of a block is segmented once.
-All substrings up to the longest piece are hashed and looked up in the sorted piece keys
-by binary search; then units of equal length advance together, a character at
-a time, a vectorised maximum over the last piece's length storing the backpointer.
+Substrings up to the longest piece are hashed, as long as a piece may begin so, and looked up in the sorted piece keys
+by their leading bits; then all units advance together, a character at
+a time, a maximum over the pieces that end there storing the backpointer.
 Of equal sums the longest last piece wins.  A character without a piece becomes its UTF-8
 bytes' pieces, at a score under all pieces; U+2581 itself is always written as
 bytes, so that decoding gives exactly the text that was encoded.
@@ -37,18 +37,20 @@ SPACE = 0x2581
 _LITERAL = 0x110000
 #: How far under the least piece score a character without a piece scores.
 PENALTY = 10.0
-#: Leading bits of a hash by which most substrings are told from pieces without a search.
+#: Leading bits of a hash by which most substrings are told from pieces and their beginnings, and pieces found.
 _LIKELY_BITS = 20
 
 
 class Pieces(NamedTuple):
     """A model as arrays: piece hashes in order with ids, scores by id (and minus infinity at the end), which leading hash
-    bits occur, the ids of bytes, the cutting rules, and each id's UTF-8 text."""
+    bits occur, from which place on and in the beginnings of longer pieces, the ids of bytes, the cutting rules, and each id's UTF-8 text."""
 
     keys: np.ndarray
     ids: np.ndarray
     scores: np.ndarray
     likely: np.ndarray
+    slot: np.ndarray
+    goes_on: np.ndarray
     longest: int
     byte_ids: np.ndarray
     unknown: int
@@ -73,6 +75,12 @@ def load(path: str = MODEL) -> Pieces:
     scores = np.array([model.get_score(i) for i in range(n)] + [-np.inf])
     likely = np.zeros(1 << _LIKELY_BITS, bool)
     likely[keys >> np.uint64(64 - _LIKELY_BITS)] = True
+    slot = np.searchsorted(keys[order], np.arange(1 << _LIKELY_BITS, dtype=np.uint64) << np.uint64(64 - _LIKELY_BITS)).astype(np.int32)
+    slot[~likely] = 0
+    size = block.end - block.begin
+    parts = np.repeat(block.begin, size - 1)
+    goes_on = np.zeros(1 << _LIKELY_BITS, bool)
+    goes_on[block.hashes(parts, parts + ragged(np.ones(len(size), np.int64), size - 1)) >> np.uint64(64 - _LIKELY_BITS)] = True
     byte_ids = np.full(256, -1)
     raw = [b""] * n
     for i in range(n):
@@ -84,7 +92,7 @@ def load(path: str = MODEL) -> Pieces:
     raw[model.unk_id()] = " ⁇ ".encode()
     length = np.array([len(x) for x in raw])
     joined = np.unique(np.array([ord(c) for i in plain if len(text[i]) > 1 for c in text[i]], np.uint32))
-    return Pieces(keys[order], np.array(plain)[order], scores, likely, max(len(text[i]) for i in plain), byte_ids, model.unk_id(), joined,
+    return Pieces(keys[order], np.array(plain)[order], scores, likely, slot, goes_on, max(len(text[i]) for i in plain), byte_ids, model.unk_id(), joined,
                   not any("▁" in text[i].lstrip("▁") for i in plain), np.frombuffer(b"".join(raw), np.uint8), np.cumsum(length) - length, length)
 
 
@@ -106,47 +114,71 @@ def _units(block: Block, pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
     return starts[real], ends[real]
 
 
+def _find(pieces: Pieces, h: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """The id of the piece of each hash, -1 for none; ``bits`` are its leading bits, which a piece's hash has too."""
+    place = pieces.slot[bits]
+    out = np.full(len(h), -1, np.int32)
+    rest = np.arange(len(h))
+    while len(rest):
+        hit = pieces.keys[place] == h
+        out[rest[hit]] = pieces.ids[place[hit]]
+        # on to the next piece where its hash has the same leading bits
+        more = np.flatnonzero(~hit & (place + 1 < len(pieces.keys)))
+        more = more[pieces.keys[place[more] + 1] >> np.uint64(64 - _LIKELY_BITS) == bits[more]]
+        rest, place, h, bits = rest[more], place[more] + 1, h[more], bits[more]
+    return out
+
+
 def viterbi(block: Block, starts: np.ndarray, ends: np.ndarray, pieces: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(unit, start, id) of the best pieces of each unit, in order; id -1 for a character without a piece."""
     n = ends - starts
     first = np.cumsum(n) - n
     at, stop = ragged(starts, n), np.repeat(ends, n)
     reach = int(min(pieces.longest, n.max()))
+    # characters are ranked by their place in the unit; before the first of a unit is the rank past all
+    place = np.arange(len(at)) - np.repeat(first, n)
+    order = np.argsort(place.astype(np.uint16) if n.max() <= 1 << 16 else place, kind="stable")
+    rank = np.empty(len(at), np.int64)
+    rank[order] = np.arange(len(at))
     # row: a character that a piece ends with; column: the piece's length, the longest first
     ids = np.full((len(at), reach), -1, np.int32)
+    live = np.arange(len(at))
     for k in range(1, reach + 1):
-        fits = np.flatnonzero(at + k <= stop)
-        h = block.hashes(at[fits], at[fits] + k)
-        likely = pieces.likely[h >> np.uint64(64 - _LIKELY_BITS)]
-        fits, h = fits[likely], h[likely]
-        place = np.minimum(np.searchsorted(pieces.keys, h), len(pieces.keys) - 1)
-        hit = pieces.keys[place] == h
-        ids[fits[hit] + k - 1, reach - k] = pieces.ids[place[hit]]
-    score = pieces.scores[ids]  # -1 takes the last place, no score
-    score[ids[:, -1] < 0, -1] = pieces.scores[:-1].min() - PENALTY
-    units, where, found = [], [], []
-    order = np.argsort(n, kind="stable")
-    for group in np.split(order, np.flatnonzero(np.diff(n[order])) + 1):
-        size = int(n[group[0]])
-        base = first[group]
-        best = np.zeros((len(group), size + 1))
-        back = np.zeros((len(group), size + 1), np.int64)
-        for j in range(1, size + 1):
-            k = min(reach, j)
-            total = best[:, j - k:j] + score[base + j - 1, reach - k:]
-            top = total.argmax(1)
-            best[:, j], back[:, j] = total[np.arange(len(group)), top], k - top
-        row, end = np.arange(len(group)), np.full(len(group), size)
-        while len(row):
-            k = back[row, end]
-            units.append(group[row])
-            found.append(ids[base[row] + end - 1, reach - k])
-            end = end - k
-            where.append(starts[group[row]] + end)
-            row, end = row[end > 0], end[end > 0]
-    units, where, found = np.concatenate(units), np.concatenate(where), np.concatenate(found)
-    order = np.lexsort((where, units))
-    return units[order], where[order], found[order]
+        live = live[at[live] + k <= stop[live]]
+        h = block.hashes(at[live], at[live] + k)
+        bits = h >> np.uint64(64 - _LIKELY_BITS)
+        one = np.flatnonzero(pieces.likely[bits])
+        found = _find(pieces, h[one], bits[one])
+        hit = found >= 0
+        ids[rank[live[one[hit]] + k - 1], reach - k] = found[hit]
+        live = live[pieces.goes_on[bits]]
+    none = len(pieces.scores) - 1  # stands for a character without a piece
+    ids[ids[:, -1] < 0, -1] = none
+    edge = np.flatnonzero(ids.ravel() >= 0)
+    ids = ids.ravel()[edge]
+    row, length = edge // reach, reach - edge % reach
+    score = np.append(pieces.scores[:-1], pieces.scores[:-1].min() - PENALTY)[ids]
+    came = np.where(length <= place[order[row]], rank[order[row] - length], len(at))
+    begin = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=len(at)))))
+    cut = np.searchsorted(place[order], np.arange(int(n.max()) + 1)).tolist()
+    best, back = np.zeros(len(at) + 1), np.empty(len(at), np.int64)
+    bounds = begin[cut].tolist()
+    for low, high, a, b in zip(cut, cut[1:], bounds, bounds[1:]):
+        total = best[came[a:b]] + score[a:b]
+        best[low:high] = np.maximum.reduceat(total, begin[low:high] - a)
+        top = np.flatnonzero(total == best[row[a:b]])[::-1] + a
+        back[row[top]] = top  # of equal sums the first, written last, stays
+    chosen = np.full(len(at), -1)
+    now = rank[first + n - 1]
+    while len(now):
+        by = back[now]
+        chosen[order[now]] = by
+        now = came[by]
+        now = now[now < len(at)]
+    last = np.flatnonzero(chosen >= 0)
+    by = chosen[last]
+    found = ids[by]
+    return np.repeat(np.arange(len(n)), n)[last], at[last] - length[by] + 1, np.where(found < none, found, -1)
 
 
 def _utf8(cp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

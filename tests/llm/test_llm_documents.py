@@ -393,6 +393,16 @@ def test_codec_is_exact_and_best(spark, docs):
     assert one == [list(ids[a:b]) for a, b in zip(begin, begin[1:])]  # a block gives what its texts give alone
 
 
+def test_codec_hashes_only_beginnings_of_pieces(monkeypatch):
+    pieces, draw = piece_codec.load(), random.Random(3)
+    words = ["".join(draw.choice("bcdfgjkqvwxz") for _ in range(15)) for _ in range(400)]
+    hashed, real = [], piece_codec.Block.hashes
+    monkeypatch.setattr(piece_codec.Block, "hashes", lambda self, a, b: (hashed.append(len(a)), real(self, a, b))[1])
+    ids, _ = piece_codec.encode_block([" ".join(words)], pieces)
+    assert len(ids) > len(words)
+    assert sum(hashed) < 400 * 16 * 17 / 2 / 2  # half of all substrings
+
+
 def test_codec_odd_inputs(spark, odd, empty):
     out = piece_codec.encode(odd)
     rows = out.collect()
