@@ -11,7 +11,7 @@ in the line, and gives exact marginals.
 
 Training takes a bounded sample: at most ``DOCS_PER_LANG`` windows of
 ``WINDOW`` words and ``WINDOW_CHARS`` characters for each language, one of each id, picked by a hash of the id.
-The field is fitted on the driver to sequences cut from these windows; half of
+The field is fitted in one task, not on the driver, to sequences cut from these windows; half of
 them join pieces of several windows, so that transitions see switches.
 
 Words are runs of letters, lower-cased.  Defined cases: a null text, or one
@@ -24,6 +24,7 @@ columns are read, lang only in training.
 
 from __future__ import annotations
 
+import pickle
 from typing import NamedTuple
 
 import numpy as np
@@ -33,12 +34,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martflow.llm.flat import Block, map_texts, ragged, runs
+from martflow.llm.staging import ship_package
 
 #: Bounds of the training sample (windows a language, words and characters of a window) and of the lexicon.
 DOCS_PER_LANG = 1500
 WINDOW = 64
 WINDOW_CHARS = 4096
 LEXICON = 8192
+#: Words whose features are worked out at a time, windows whose words are.
+WORDS, WINDOWS = 1 << 13, 512
 #: Feature buckets, passes over the sequences, sequences in a step, words in a sequence.
 BUCKETS = 1 << 16
 EPOCHS = 4
@@ -93,9 +97,13 @@ class Words:
         self.line_starts = edge
         self.line_lengths = np.diff(np.concatenate((edge, [len(line)])))
 
-    def features(self, which: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Feature buckets of the distinct words, laid end to end, and how many each has."""
-        s, e = (self.starts, self.ends) if which is None else (self.starts[which], self.ends[which])
+    def features(self) -> tuple[np.ndarray, np.ndarray]:
+        """Feature buckets of the distinct words, laid end to end, and how many each has; worked out for some words at a time."""
+        parts = [self._features(slice(low, low + WORDS)) for low in range(0, len(self.starts), WORDS)] or [self._features(slice(0, 0))]
+        return np.concatenate([b for b, _ in parts]), np.concatenate([n for _, n in parts])
+
+    def _features(self, which: slice) -> tuple[np.ndarray, np.ndarray]:
+        s, e = self.starts[which], self.ends[which]
         n, spans = e - s, []
         for k in (1, 2, 3):
             many = np.maximum(n - k + 1, 0)
@@ -156,19 +164,42 @@ def marginals(score: np.ndarray, starts: np.ndarray, lengths: np.ndarray, moves:
     return both, joint.sum(0), both[starts].sum(0)
 
 
+def _sampled_words(texts: list):
+    """Each word's text and number, the distinct words' hashes, feature buckets and how many each has, and the lines' starts and lengths.
+
+    As from :class:`Words` of all texts, but for ``WINDOWS`` texts at a time, so that no array holds all characters.
+    """
+    tables, owner, words, starts, lengths, buckets, counts, hashes, before = letter_tables(), [], [], [], [], [], [], [], 0
+    for low in range(0, len(texts), WINDOWS):
+        some = Words(texts[low:low + WINDOWS], tables)
+        bucket, many = some.features()
+        owner.append(some.text + low)
+        words.append(some.hash[some.number])
+        starts.append(some.line_starts + before)
+        lengths.append(some.line_lengths)
+        new = ~np.isin(some.hash, np.concatenate(hashes)) if hashes else np.ones(len(some.hash), bool)
+        hashes.append(some.hash[new])
+        buckets.append(bucket[np.repeat(new, many)])
+        counts.append(many[new])
+        before += len(some.number)
+    word, many, bucket = np.concatenate(hashes), np.concatenate(counts), np.concatenate(buckets)
+    order, begin = np.argsort(word), np.cumsum(many) - many
+    bucket = bucket[ragged(begin[order], many[order])]
+    word, many = word[order], many[order]
+    return (np.concatenate(owner), word, np.searchsorted(word, np.concatenate(words)), bucket, many, np.concatenate(starts), np.concatenate(lengths))
+
+
 def fit(sample: list[tuple[str, str]]) -> Field:
     """The field fitted to (language, window of text) pairs; the same pairs in the same order give the same field."""
     langs = sorted({lang for lang, _ in sample})
     size, draw = len(langs), np.random.default_rng(7)
-    words = Words([text.replace("\n", " ") for _, text in sample], letter_tables())
-    label = np.array([langs.index(lang) for lang, _ in sample], np.int64)[words.text]
-    at, n = words.line_starts, words.line_lengths
-    count = np.bincount(words.number, minlength=len(words.hash))
+    owner, word, number, bucket, many, at, n = _sampled_words([text.replace("\n", " ") for _, text in sample])
+    label = np.array([langs.index(lang) for lang, _ in sample], np.int64)[owner]
+    count = np.bincount(number, minlength=len(word))
     known = np.sort(np.argsort(-count, kind="stable")[:LEXICON])
     known = known[count[known] >= 3]
-    place = np.full(len(words.hash), -1)
+    place = np.full(len(word), -1)
     place[known] = np.arange(len(known))
-    bucket, many = words.features()
     where = np.cumsum(many) - many
 
     # sequences of word places: whole cuts of a window, then as many that join two to four cuts
@@ -192,7 +223,7 @@ def fit(sample: list[tuple[str, str]]) -> Field:
             batch = [seqs[i] for i in order[low:low + BATCH]]
             k = np.array([len(x) for x in batch])
             token = np.concatenate(batch)
-            used, back = np.unique(words.number[token], return_inverse=True)
+            used, back = np.unique(number[token], return_inverse=True)
             own = bucket[ragged(where[used], many[used])]
             score = (_sums(weights[own], many[used]) + lexicon[place[used]])[back]
             starts = np.cumsum(k) - k
@@ -216,9 +247,9 @@ def fit(sample: list[tuple[str, str]]) -> Field:
                 s += g * g
                 x += RATE * g / np.sqrt(s)
             lexicon[-1] = 0  # the place of words outside the lexicon
-    order = np.argsort(words.hash[known])
+    order = np.argsort(word[known])
     lexicon = np.vstack([lexicon[:-1][order], lexicon[-1:]])
-    return Field(langs, weights.astype(np.float32), words.hash[known][order], lexicon, moves, first)
+    return Field(langs, weights.astype(np.float32), word[known][order], lexicon, moves, first)
 
 
 def label_words(field: Field, texts: list, tables) -> tuple[Words, np.ndarray]:
@@ -239,13 +270,13 @@ def held_out(doc: Column) -> Column:
     return F.coalesce(F.crc32(doc.cast("string")) % 3 == 1, F.lit(False))
 
 
-def training_sample(docs: DataFrame, doc: str, text: str, lang: str) -> list[tuple[str, str]]:
-    """(language, window): at most ``DOCS_PER_LANG`` windows of each language, one of each id, the lowest id hashes first."""
+def _picked(docs: DataFrame, doc: str, text: str, lang: str) -> DataFrame | None:
+    """(l, h, d, t): language, id hash, id and window of the training sample, or None if there is nothing to learn from."""
     rows = docs.select(F.col(doc).alias("d"), F.col(lang).cast("string").alias("l"), F.col(text).cast("string").alias("t"))
     rows = rows.filter(F.col("d").isNotNull() & F.col("l").isNotNull() & F.col("t").isNotNull() & ~held_out(F.col("d")))
     share = {r["l"]: min(1.0, 1.2 * (DOCS_PER_LANG + 50) / r["n"]) for r in rows.groupBy("l").agg(F.greatest(F.approx_count_distinct("d", 0.02), F.lit(1)).alias("n")).collect()}
     if not share:
-        return []
+        return None
     most = F.element_at(F.create_map(*[x for l, p in share.items() for x in (F.lit(l), F.lit(int(p * 2 ** 32)))]), F.col("l"))
     h = F.pmod(F.xxhash64("d"), F.lit(2 ** 32))
     words = F.split(F.trim("t"), r"[\x20\x09-\x0D]+")
@@ -254,13 +285,33 @@ def training_sample(docs: DataFrame, doc: str, text: str, lang: str) -> list[tup
     window = F.substring(F.array_join(F.slice("w", start.cast("int"), WINDOW), " "), 1, WINDOW_CHARS)
     picked = picked.select("l", "h", "d", window.alias("t")).groupBy("l", "h", "d").agg(F.min("t").alias("t"))
     place = F.row_number().over(Window.partitionBy("l").orderBy("h", F.col("d").cast("string")))
-    picked = picked.withColumn("place", place).filter(F.col("place") <= DOCS_PER_LANG).drop("place")
-    return [(r["l"], r["t"]) for r in sorted(picked.collect(), key=lambda r: (r["l"], r["h"], str(r["d"]))) if any(map(str.isalpha, r["t"]))]
+    return picked.withColumn("place", place).filter(F.col("place") <= DOCS_PER_LANG).drop("place")
+
+
+def _in_order(rows: list) -> list[tuple[str, str]]:
+    return [(r["l"], r["t"]) for r in sorted(rows, key=lambda r: (r["l"], r["h"], str(r["d"]))) if any(map(str.isalpha, r["t"]))]
+
+
+def training_sample(docs: DataFrame, doc: str, text: str, lang: str) -> list[tuple[str, str]]:
+    """(language, window): at most ``DOCS_PER_LANG`` windows of each language, one of each id, the lowest id hashes first."""
+    picked = _picked(docs, doc, text, lang)
+    return _in_order(picked.collect()) if picked is not None else []
 
 
 def train(docs: DataFrame, doc: str = "doc_id", text: str = "text", lang: str = "lang") -> Field | None:
-    sample = training_sample(docs, doc, text, lang)
-    return fit(sample) if sample else None
+    """The field fitted to :func:`training_sample`, in the one task that the bounded sample goes to; the driver gets the field alone."""
+    picked = _picked(docs, doc, text, lang)
+    if picked is None:
+        return None
+    ship_package(docs.sparkSession)
+
+    def run(batches):
+        sample = _in_order([row for batch in batches for row in batch.to_pylist()])
+        if sample:
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(sample))], pa.binary())], ["field"])
+
+    found = picked.coalesce(1).mapInArrow(run, "field binary").collect()
+    return pickle.loads(found[0]["field"]) if found else None
 
 
 def predict(docs: DataFrame, field: Field | None, text: str, keep: list[str], prefix: str = "") -> DataFrame:

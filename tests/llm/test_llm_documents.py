@@ -351,6 +351,32 @@ def test_switched_text_gets_both_labels(spark):
     assert best[:25].count("en") >= 23 and best[-25:].count("de") >= 23
 
 
+def test_field_is_fitted_in_a_task(spark, monkeypatch):
+    rows = [(i, t, lang) for i in range(60) for t, lang in (("the cat and the dog", "en"), ("le chat et le chien", "fr"))]
+    docs = spark.createDataFrame([(2 * i + (lang == "fr"), t, lang) for i, t, lang in rows], "doc_id long, text string, lang string")
+    want = lang_crf.fit(lang_crf.training_sample(docs, "doc_id", "text", "lang"))
+
+    def on_the_driver(*_):
+        raise AssertionError("the driver worked on texts")
+
+    monkeypatch.setattr(lang_crf, "Words", on_the_driver)
+    got = lang_crf.train(docs)
+    assert got.langs == want.langs == ["en", "fr"]
+    assert all(np.array_equal(a, b) for a, b in zip(got[1:], want[1:]))
+
+
+def test_words_of_a_sample_in_parts(monkeypatch):
+    texts = ["one two  three", "", "two\u00e9 ONE", "four one x", "three three"] * 3
+    whole = lang_crf.Words(texts, lang_crf.letter_tables())
+    bucket, many = whole.features()
+    monkeypatch.setattr(lang_crf, "WINDOWS", 2)
+    monkeypatch.setattr(lang_crf, "WORDS", 3)
+    want = whole.text, whole.hash, whole.number, bucket, many, whole.line_starts, whole.line_lengths
+    # lines of texts without a line feed: the texts' ends part them
+    got = lang_crf._sampled_words(texts)
+    assert all(np.array_equal(a, b) for a, b in zip(got, want))
+
+
 def test_language_odd_inputs(spark, odd, empty):
     rows = lang_crf.identify(odd).collect()
     assert len(rows) == odd.count()
