@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from martflow.operators.joins import interval_join, lookup_as_of
 from martflow.operators.sequence import bucketed_lag, running
@@ -43,18 +43,20 @@ def inner(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> D
 def left_outer(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """As :func:`inner`, and each left row with nulls from its arrival to that of its key's first right row.
 
-    ``right`` is append-only.  Its first arrival for each key is one more row, so the left rows are shuffled and joined once.
+    ``right`` is append-only.  The first arrival of each key is one more row, found and made where the key's rows are joined, so
+    both sides are shuffled and joined once.
     """
     rest = [c for c in right.columns if c not in (right_key, FROM, TO)]
-    rows = right.select(right_key, *rest, F.col(FROM).alias("__at"), F.lit(False).alias("__alone"))
-    first = right.filter(F.col(right_key).isNotNull()).groupBy(right_key).agg(F.min(FROM).alias("__at"))
-    both = rows.unionByName(first.withColumn("__alone", F.lit(True)), allowMissingColumns=True)
+    nth = F.row_number().over(Window.partitionBy(right_key).orderBy(F.col(FROM).asc_nulls_last()))
+    rows = right.filter(F.col(right_key).isNotNull()).withColumn("__nth", nth)
+    alone = F.when(F.col("__nth") == 1, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    both = rows.select(right_key, *rest, F.col(FROM).alias("__at"), F.explode(alone).alias("__alone"))
     j = left.join(both, left[left_key] == both[right_key], "left")
     single = F.coalesce("__alone", F.lit(True))  # the row with nulls
     j = j.filter(~F.coalesce("__alone", F.lit(False)) | (F.col("__at") > F.col(FROM)))
     start = F.when(single, F.col(FROM)).otherwise(F.greatest(FROM, "__at"))
     end = F.when(single, F.least(TO, "__at")).otherwise(F.col(TO))
-    j = j.withColumns({FROM: start, TO: end, right_key: F.when(~single, F.col(right_key))})
+    j = j.withColumns({FROM: start, TO: end, **{c: F.when(~single, F.col(c)) for c in (right_key, *rest)}})
     return j.drop("__at", "__alone").filter(_alive())
 
 

@@ -59,6 +59,15 @@ def test_log_of_left_joins_equals_the_state_machine(spark, seed):
     assert got == machine(rows, 2)
 
 
+def test_left_outer_shuffles_each_side_once(spark):
+    left = changelog.appended(spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, p long"), F.col("p"))
+    right = changelog.appended(spark.createDataFrame([("a", 5, "x"), ("a", 4, "y"), ("a", None, "z"), (None, 1, "n")], "rk string, q long, v string"), F.col("q"))
+    out = changelog.left_outer(left, right.drop("q"), "k", "rk")
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+    got = sorted(((r.k, r.v, r[changelog.FROM], r[changelog.TO]) for r in out.collect()), key=str)
+    assert got == sorted([("a", None, 1, 4), ("a", "x", 5, None), ("a", "y", 4, None), ("a", "z", 1, None), ("b", None, 2, None), (None, None, 3, None)], key=str)
+
+
 @pytest.mark.parametrize("rule", ["create", "read_write"])
 def test_idle_left_join_equals_the_state_machine(spark, rule):
     for seed in (4, 5):
