@@ -27,7 +27,7 @@ from martflow.sinks.topics import fan_out, write_append, write_keyed
 from martflow.sources.envelope import LOG_SCHEMA, parse_config_feed, parse_envelope, parse_strict
 from martflow.sources.topics import ARRIVAL, read_topic
 from martflow.streaming import processors
-from martflow.streaming.processors import BEFORE, VISIT, FirstVisitProcessor, UniqueVisitorProcessor, UserJumpProcessor
+from martflow.streaming.processors import BEFORE, VISIT, FirstVisitProcessor, UniqueVisitorProcessor, UserJumpRowProcessor
 
 # The Python worker in which the driver sets up a processor has only the path that the driver process was started with.
 register_pickle_by_value(processors)
@@ -78,8 +78,8 @@ def user_jump_stream(df: DataFrame, key: str, ts: str = "ts", seq: str | Sequenc
     """O4/W1/W3 on a stream: watermark ``delay`` on the event time, entries
     judged when the watermark passes ``ts + within``; rows are freed then, too."""
     w = df.withColumn("event_time", F.timestamp_millis(F.col(ts))).withWatermark("event_time", delay)
-    return w.groupBy(key).transformWithStateInPandas(
-        UserJumpProcessor(df.schema, _order(ts, seq, False), ts, is_entry, within_ms), df.schema, "Append", "EventTime")
+    return w.groupBy(key).transformWithState(
+        UserJumpRowProcessor(df.schema, _order(ts, seq, False), ts, is_entry, within_ms), df.schema, "Append", "EventTime")
 
 
 def base_log_stream(spark: SparkSession, log_topic: str, out_root: str, *, fmt: str = "file",

@@ -9,16 +9,23 @@ unordered, so every processor sorts them first.
 
 from __future__ import annotations
 
+import heapq
+import itertools
+import pickle
+import sys
 from collections.abc import Iterator, Sequence
 from typing import Any
 
 import pandas as pd
+from pyspark.sql import Row
 from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
-from pyspark.sql.types import ArrayType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
 DAY_MS = 86_400_000
 #: Columns that the callers add: the date of the event time and the day before it.
 VISIT, BEFORE = "__visit_dt", "__before_dt"
+#: Of O4's state: the buckets of a group, the most rows of a chunk, the rows of a key that are sorted (or given out) at once.
+GROUP, CHUNK, RUN = 1024, 256, 50_000
 
 
 def _sorted(rows: Iterator[pd.DataFrame], columns: Sequence[str], order: Sequence[str]) -> pd.DataFrame:
@@ -78,11 +85,15 @@ class UniqueVisitorProcessor(StatefulProcessor):
 class UserJumpProcessor(StatefulProcessor):
     """O4 + W1/W3/W5: bounce detection in event time.
 
-    Rows are kept by time bucket, as wide as the pattern limit ``within``.  A bucket is judged by one timer, when the watermark has
-    passed the end of the next bucket: then all rows of both are there, and the successor of each row of the bucket is among
-    them.  An entry is emitted unless its successor is a non-entry less than ``within`` later.  The
-    bucket's rows are then freed.  State is read and written by bucket, a chunk for each micro-batch, so the work
-    is linear in a key's rows.  Rows older than the watermark are late and ignored.
+    Time is cut into buckets as wide as the pattern limit ``within``.  A bucket is judged when the watermark has
+    passed the end of the next one: then all rows of both are there, and the successor of each row of the bucket is among
+    them.  An entry is emitted unless its successor is a non-entry less than ``within`` later.  Rows older than the
+    watermark are late and ignored.
+
+    A call to the state takes far longer than a row, so rows are kept by group, :data:`GROUP` buckets of a key, in chunks of up to
+    :data:`CHUNK` rows, and of rows that are no entry only what orders them.  What arrives together is sorted first and makes a run of
+    chunks; a group's runs are merged as they are read, a chunk of each at a time.  A group has a timer for its first
+    bucket, which judges all buckets that are due, frees their chunks and sets one for the next, and one for its last.
     """
 
     def __init__(self, schema: StructType, order: Sequence[str], ts: str, is_entry: str, within_ms: int):
@@ -92,44 +103,117 @@ class UserJumpProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        bucket = StructType([StructField("bucket", LongType())])
-        chunk = StructType([StructField("bucket", LongType()), StructField("chunk", LongType())])
-        self.chunks = handle.getMapState("chunks", bucket, StructType([StructField("n", LongType())]))
-        self.kept = handle.getMapState("rows", chunk, StructType([StructField("rows", ArrayType(self.schema))]))
+        number = lambda *names: StructType([StructField(n, LongType()) for n in names])
+        # of a group: its runs (their chunks from .. to), the first and last bucket that have a timer, the last bucket judged
+        group = StructType([StructField("begins", ArrayType(LongType())), StructField("ends", ArrayType(LongType())), *number("first", "last", "done").fields])
+        self.groups = handle.getMapState("groups", number("group"), group)
+        self.kept = handle.getMapState("rows", number("group", "chunk"), StructType([StructField("rows", BinaryType())]))
+
+    def _group(self, g: int) -> tuple | None:
+        return tuple(self.groups.getValue((g,))) if self.groups.containsKey((g,)) else None
+
+    def _keep(self, fresh: list) -> None:
+        """Rows ``(order, time, entry, row or None)`` as a run of each group they belong to."""
+        fresh.sort(key=lambda t: t[0])
+        by_group: dict[int, list] = {}
+        for t in fresh:
+            by_group.setdefault(t[1] // self.within // GROUP, []).append(t)
+        for g, rows in by_group.items():
+            buckets = [t[1] // self.within for t in rows]
+            low, high = min(buckets), max(buckets)
+            begins, ends, first, last, done = self._group(g) or ([], [], None, None, None)
+            begin = max(ends, default=0)
+            parts = [rows[i:i + CHUNK] for i in range(0, len(rows), CHUNK)]
+            for n, part in enumerate(parts, begin):
+                self.kept.updateValue((g, n), (pickle.dumps(part),))
+            for b in {b for b, new in ((low, first is None or low < first), (high, last is None or high > last)) if new}:
+                self.handle.registerTimer((b + 2) * self.within)
+            first, last = low if first is None else min(first, low), high if last is None else max(last, high)
+            self.groups.updateValue((g,), ([*begins, begin], [*ends, begin + len(parts)], first, last, done))
+
+    def _arrived(self, rows: Iterator[Sequence], watermark: int) -> None:
+        """Keep these rows (the schema's columns first)."""
+        fresh: list = []
+        for t in rows:
+            if t[self.ts] < watermark:  # W5: late rows ignored
+                continue
+            order = tuple(sys.intern(v) if type(v) is str else v for v in (t[i] for i in self.at))
+            entry = bool(t[self.is_entry])
+            fresh.append((order, int(t[self.ts]), entry, tuple(t[:len(self.names)]) if entry else None))
+            if len(fresh) >= RUN:
+                self._keep(fresh)
+                fresh = []
+        if fresh:
+            self._keep(fresh)
+
+    def _rows(self, g: int, runs: list[list[int]]) -> Iterator[tuple]:
+        """The rows of runs in order; the begin of a run moves on with the chunk that is read."""
+        def rows(run):
+            while run[0] < run[1]:
+                yield from pickle.loads(self.kept.getValue((g, run[0]))[0])
+                run[0] += 1
+        return rows(runs[0]) if len(runs) == 1 else heapq.merge(*map(rows, runs), key=lambda t: t[0])
+
+    def _judged(self, expired: int, watermark: int) -> Iterator[list[tuple]]:
+        """The bounces that a timer finds, in lists of up to :data:`RUN`."""
+        g = (expired // self.within - 2) // GROUP
+        group = self._group(g)
+        if group is None:
+            return
+        begins, ends, first, last, done = group
+        due = min(max(expired, watermark) // self.within - 2, (g + 1) * GROUP - 1)
+        runs = [list(x) for x in zip(begins, ends)]
+        rows = self._rows(g, runs)
+        if last == due == (g + 1) * GROUP - 1 and (beyond := self._group(g + 1)):
+            rows = itertools.chain(rows, itertools.islice(self._rows(g + 1, [list(x) for x in zip(beyond[0], beyond[1])]), 1))
+        out, before, after = [], None, None
+        for t in itertools.chain(rows, [None]):
+            if before is not None:
+                stopped = t is not None and not t[2] and t[1] - before[1] < self.within
+                if before[2] and not stopped:
+                    out.append(before[3])
+                    if len(out) >= RUN:
+                        yield out
+                        out = []
+            if t is None or t[1] // self.within > due:
+                after = t
+                break
+            before = t if done is None or t[1] // self.within > done else None
+        if out:
+            yield out
+        over = last <= due
+        for begin, run in zip(begins, runs):
+            for n in range(begin, run[1] if over else run[0]):
+                self.kept.removeKey((g, n))
+        if over:
+            self.groups.removeKey((g,))
+            return
+        first = after[1] // self.within
+        if first < last:  # the last has its timer
+            self.handle.registerTimer((first + 2) * self.within)
+        runs = [run for run in runs if run[0] < run[1]]
+        self.groups.updateValue((g,), ([r[0] for r in runs], [r[1] for r in runs], first, last, due if done is None else max(due, done)))
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        watermark = timerValues.getCurrentWatermarkInMs()
-        fresh: dict[int, list] = {}
-        for df in rows:
-            for t in df[self.names].astype(object).itertuples(index=False, name=None):
-                if t[self.ts] >= watermark:  # W5: late rows ignored
-                    fresh.setdefault(int(t[self.ts]) // self.within, []).append(t)
-        for b, some in fresh.items():
-            n = self.chunks.getValue((b,))[0] if self.chunks.containsKey((b,)) else 0
-            if not n:
-                self.handle.registerTimer((b + 2) * self.within)
-            self.kept.updateValue((b, n), (some,))
-            self.chunks.updateValue((b,), (n + 1,))
+        self._arrived((t for df in rows for t in zip(*[df[c].tolist() for c in self.names])), timerValues.getCurrentWatermarkInMs())
         return iter([])
 
-    def _bucket(self, b: int) -> list:
-        n = self.chunks.getValue((b,))[0] if self.chunks.containsKey((b,)) else 0
-        rows = [tuple(t) for k in range(n) for t in self.kept.getValue((b, k))[0]]
-        return sorted(rows, key=lambda t: [t[i] for i in self.at])
-
     def handleExpiredTimer(self, key: Any, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
-        b = expiredTimerInfo.getExpiryTimeInMs() // self.within - 2
-        rows, after = self._bucket(b), self._bucket(b + 1)
-        out = []
-        for t, nxt in zip(rows, [*rows[1:], *after[:1], None]):
-            stopped = nxt is not None and not nxt[self.is_entry] and nxt[self.ts] - t[self.ts] < self.within
-            if t[self.is_entry] and not stopped:
-                out.append(t)
-        for k in range(self.chunks.getValue((b,))[0]):
-            self.kept.removeKey((b, k))
-        self.chunks.removeKey((b,))
-        if out:
+        for out in self._judged(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()):
             yield pd.DataFrame(out, columns=self.names)
 
     def close(self) -> None:
         pass
+
+
+class UserJumpRowProcessor(UserJumpProcessor):
+    """The same for ``transformWithState``: rows come and go as rows, as data frames of the few rows of a key take longer than they do."""
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
+        self._arrived(rows, timerValues.getCurrentWatermarkInMs())
+        return iter([])
+
+    def handleExpiredTimer(self, key: Any, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
+        row = Row(*self.names)
+        for out in self._judged(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()):
+            yield from (row(*t) for t in out)
