@@ -6,7 +6,8 @@ weight.  Every document of a source then expects ``target / source size``
 copies.  The expected copies are summed up along the source's documents, one
 random offset is added, and a document is emitted once for each whole number
 that its step crosses.  Documents lie in order of size (by its leading binary digits, within that by a digest of id and text),
-so a source's words miss its target by less than its longest document has.
+so a source's words miss its target by less than its longest document has.  Of a few evenly spread turns of the offset the one is
+used whose words come nearest the target: a source with a few very long documents stays near it too.
 
 The running sum is not one window over a source, which may hold a third of
 all rows: equal rows are counted first, and stand in the order one after another; distinct rows fall into
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from martflow.llm.staging import staged
+from martflow.llm.staging import fits_broadcast, staged
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Weights of the sources in order, repeating; wanted words for each word there is; most copies of a source.
@@ -33,6 +34,8 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 CAP = 2.0
 SEED = "mix-1"
+#: Offsets that are tried for a source.
+DRAWS = 32
 #: Most numbers of one sequence that spreads a row into its repeats.
 STEP = 1 << 16
 
@@ -78,10 +81,23 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, cap:
     return s.select("skey", "source_size", F.coalesce(F.least(F.col("level") * F.col("weight"), "most"), "most").alias("target"))
 
 
-def _copies(offset: Column) -> Column:
-    """Whole numbers that the running sum of expected copies crosses at a row."""
+def _copies(offset: Column, begin: Column, end: Column) -> Column:
+    """Whole numbers that the running sum of expected copies crosses from one rank to another."""
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    return (F.floor(offset + F.col("rank") * rate) - F.floor(offset + (F.col("rank") - 1) * rate)).cast("long")
+    return (F.floor(offset + end.cast("double") * rate) - F.floor(offset + begin.cast("double") * rate)).cast("long")
+
+
+def offsets(placed: DataFrame, seed: str) -> DataFrame:
+    """(skey, offset): of ``DRAWS`` evenly spread turns of a source's random offset, the one whose words come nearest its target.
+
+    ``placed`` has equal rows as one, ``n`` of them behind the first ``begin`` of their source.
+    """
+    turns = [(F.col("unit") + F.lit(j / DRAWS)) - F.floor(F.col("unit") + F.lit(j / DRAWS)) for j in range(DRAWS)]
+    rows = placed.withColumn("unit", _unit(F.concat(F.lit(seed), "skey")))
+    words = [F.sum(_copies(t, F.col("begin"), F.col("begin") + F.col("n")) * F.col("size")) for t in turns]
+    sums = rows.groupBy("skey", "unit", "target").agg(*[w.alias(f"w{j}") for j, w in enumerate(words)])
+    tries = F.array(*[F.struct(F.abs(F.col(f"w{j}") - F.col("target")).alias("miss"), F.lit(j).alias("j"), t.alias("offset")) for j, t in enumerate(turns)])
+    return sums.select("skey", F.array_min(tries)["offset"].alias("offset"))
 
 
 def sampled(docs: DataFrame, doc: str = "doc_id", text: str = "text", source: str = "source", weights=WEIGHTS,
@@ -97,20 +113,23 @@ def sampled(docs: DataFrame, doc: str = "doc_id", text: str = "text", source: st
     cells = staged(cells.join(targets, "skey").select(*_CELL, "before", "source_size", "target"), "cells")
     inside = W.partitionBy(*_CELL).orderBy("size", "doc", "digest", "tag").rowsBetween(W.unboundedPreceding, -1)
     placed = kinds.withColumn("inside", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(cells, _CELL)
-    placed = placed.select(*same, "n", "source_size", "target", (F.col("before") + F.col("inside")).alias("begin"))
+    placed = staged(placed.select(*same, "n", "source_size", "target", (F.col("before") + F.col("inside")).alias("begin")), "placed")
+    turn = staged(offsets(placed, seed), "offsets")
+    turn = F.broadcast(turn) if fits_broadcast(turn, 256) else turn
+    placed = placed.join(turn, "skey")
     if carry:
         texts = rows.dropDuplicates(same).select(*same, "row")
         null_safe = [texts[c].eqNullSafe(placed[c]) for c in same]
         on = null_safe[0]
         for c in null_safe[1:]:
             on &= c
-        placed = texts.join(placed, on).select("row", texts["skey"], texts["size"], "n", "source_size", "target", "begin")
+        placed = texts.join(placed, on).select("row", texts["size"], "n", "source_size", "target", "begin", "offset")
     else:
-        placed = placed.select(F.struct(F.col("doc").alias(doc)).alias("row"), "skey", "size", "n", "source_size", "target", "begin")
+        placed = placed.select(F.struct(F.col("doc").alias(doc)).alias("row"), "size", "n", "source_size", "target", "begin", "offset")
     some = placed.withColumn("low", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(STEP).cast("long"))))
     each = some.withColumn("at", F.explode(F.sequence(F.col("low") + 1, F.least(F.col("n"), F.col("low") + STEP))))
-    each = each.withColumn("rank", (F.col("begin") + F.col("at")).cast("double"))
-    return each.withColumn("copies", _copies(_unit(F.concat(F.lit(seed), "skey")))).select("row", "size", "source_size", "target", "copies")
+    each = each.withColumn("rank", F.col("begin") + F.col("at"))
+    return each.withColumn("copies", _copies(F.col("offset"), F.col("rank") - 1, F.col("rank"))).select("row", "size", "source_size", "target", "copies")
 
 
 def emitted(mixed: DataFrame) -> DataFrame:
@@ -140,7 +159,12 @@ t AS (
 r AS (
   SELECT *, (row_number() OVER (PARTITION BY skey ORDER BY length(bin(size)), substr(bin(size), 1, 3), digit, size, doc_id, digest))::DOUBLE AS k,
          CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate
-  FROM d JOIN t USING (skey))
-SELECT doc_id, size, source_size, target, size * (floor(unit + k * rate) - floor(unit + (k - 1) * rate))::BIGINT AS taken
-FROM r
+  FROM d JOIN t USING (skey)),
+u AS (SELECT skey, j, (unit + j / 32.0::DOUBLE) - floor(unit + j / 32.0::DOUBLE) AS turn FROM t, range(32) AS n(j)),
+w AS (
+  SELECT skey, j, turn, abs(sum(size * (floor(turn + k * rate) - floor(turn + (k - 1) * rate))::BIGINT)::DOUBLE - any_value(target)) AS miss
+  FROM r JOIN u USING (skey) GROUP BY skey, j, turn),
+f AS (SELECT skey, arg_min(turn, (miss, j)) AS turn FROM w GROUP BY skey)
+SELECT doc_id, size, source_size, target, size * (floor(turn + k * rate) - floor(turn + (k - 1) * rate))::BIGINT AS taken
+FROM r JOIN f USING (skey)
 """
